@@ -292,38 +292,56 @@ def metric_right_sizing(
     return hourly.withColumn("always_low", peak < low).orderBy("resource", F.desc("hour"))
 
 
-def alarm_periods(
-    points: DataFrame, *, metric: str, period_seconds: int, statistic: str, comparison: str,
-    threshold: float, evaluation_periods: int,
-) -> DataFrame:
-    """Evaluate an alarm rule per resource and period.
-
-    A period is in ALARM when it and the ``evaluation_periods - 1`` periods before it all breach. A
-    period without data does not breach, so a run of breaches is broken by a gap: among breaching
-    periods, the one ``n - 1`` rows back must lie exactly ``n - 1`` periods earlier.
-    """
-    tests = {">": F.col("stat") > threshold, "<": F.col("stat") < threshold,
-             ">=": F.col("stat") >= threshold, "<=": F.col("stat") <= threshold}
+def period_stats(points: DataFrame, *, metric: str, period_seconds: int, statistic: str) -> DataFrame:
+    """Statistic of a metric per resource and period (``period`` counts periods since the epoch)."""
     period = F.floor(F.unix_seconds("ts") / F.lit(period_seconds)).cast("long")
-    periods = (
+    return (
         points.where(F.col("metric") == metric)
         .groupBy("resource", period.alias("period"))
         .agg(_STATISTICS[statistic]("value").alias("stat"))
-        .withColumn("breach", F.coalesce(tests[comparison], F.lit(False)))
     )
+
+
+def evaluate_alarm(
+    periods: DataFrame, *, period_seconds: int, comparison: str, threshold: float, evaluation_periods: int
+) -> DataFrame:
+    """State of an alarm rule per resource and period.
+
+    A period is in ALARM when it and the ``evaluation_periods - 1`` periods before it all breach. A
+    period without data does not breach, so a run of breaches is broken by a gap: among breaching
+    periods, the one ``n - 1`` rows back must lie exactly ``n - 1`` periods earlier.
+    """
+    stat = F.col("stat")
+    tests = {">": stat > threshold, "<": stat < threshold, ">=": stat >= threshold, "<=": stat <= threshold}
     back = evaluation_periods - 1
-    run = Window.partitionBy("resource", "breach").orderBy("period")
+    run = Window.partitionBy("resource", "breach").orderBy("period")  # one row per period
     earlier = F.lag("period", back).over(run) if back else F.col("period")
     alarm = F.col("breach") & (F.coalesce(earlier, F.lit(-1)) == F.col("period") - back)
-    return periods.withColumn("state", F.when(alarm, "ALARM").otherwise("OK")).select(
-        "resource",
-        F.timestamp_seconds(F.col("period") * period_seconds).alias("period_start"),
-        "stat",
-        "breach",
-        "state",
+    return (
+        periods.withColumn("breach", F.coalesce(tests[comparison], F.lit(False)))
+        .withColumn("state", F.when(alarm, "ALARM").otherwise("OK"))
+        .select(
+            "resource",
+            F.timestamp_seconds(F.col("period") * period_seconds).alias("period_start"),
+            "stat",
+            "breach",
+            "state",
+        )
     )
 
 
+def alarm_periods(
+    points: DataFrame, *, metric: str, period_seconds: int, statistic: str, comparison: str,
+    threshold: float, evaluation_periods: int,
+) -> DataFrame:
+    """Evaluate an alarm rule over metric points."""
+    stats = period_stats(points, metric=metric, period_seconds=period_seconds, statistic=statistic)
+    return evaluate_alarm(
+        stats, period_seconds=period_seconds, comparison=comparison, threshold=threshold,
+        evaluation_periods=evaluation_periods,
+    )
+
+
 # The alarm rules of the platform (metric, period s, statistic, comparison, threshold,
 # evaluation periods). Replica lag is in seconds here.
 ALARM_RULES = {

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ("analytics",)
+_MODULES = ("analytics", "entities", "operations", "streams")
 
 
 def load_all():
