@@ -31,6 +31,29 @@ def value_counts(
     )
 
 
+def _interpolate(
+    rows: DataFrame, keys: Sequence[str], probs: Mapping[str, float]
+) -> DataFrame:
+    """Percentiles from value rows that know their rank range [_end - c, _end) and group size _n."""
+    position = {name: f"((_n - 1) * {float(p)}D)" for name, p in probs.items()}
+
+    def at(rank: str) -> str:
+        return f"max(CASE WHEN {rank} >= _end - c AND {rank} < _end THEN v END)"
+
+    picked = rows.groupBy(*keys).agg(
+        F.max("_n").alias("_n"),
+        *[F.expr(f"{at(f'floor({pos})')} AS `_lo_{name}`") for name, pos in position.items()],
+        *[F.expr(f"{at(f'ceil({pos})')} AS `_hi_{name}`") for name, pos in position.items()],
+    )
+    return picked.selectExpr(
+        *[f"`{k}`" for k in keys],
+        *[
+            f"`_lo_{name}` + ({pos} - floor({pos})) * (`_hi_{name}` - `_lo_{name}`) AS `{name}`"
+            for name, pos in position.items()
+        ],
+    )
+
+
 def percentiles_of_counts(
     counts: DataFrame,
     keys: Sequence[str],
@@ -38,75 +61,51 @@ def percentiles_of_counts(
     direct_limit: int = DIRECT_LIMIT,
     buckets: int = BUCKETS,
 ) -> DataFrame:
-    """Continuous percentiles (linear interpolation) from (keys, v, c) rows: keys + one column each."""
-    cut_at = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    shape = counts.groupBy(*keys).agg(
-        F.sum("c").alias("_n"),
-        F.count(F.lit(1)).alias("_distinct"),
-        F.percentile_approx("v", cut_at, F.lit(buckets * 8)).alias("_cuts"),
+    """Continuous percentiles (linear interpolation) from (keys, v, c) rows: keys + one column each.
+
+    Groups up to ``direct_limit`` distinct values are ordered directly, one group per task. The others
+    are cut at approximate quantiles, and only the buckets that hold a wanted rank are ordered.
+    """
+    large = (
+        counts.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_distinct"), F.sum("c").alias("_n"))
+        .where(F.col("_distinct") > direct_limit)
+        .drop("_distinct")
     )
-    placed = join_null_safe(counts, shape, keys).withColumn(
-        "_bucket",
-        F.when(F.col("_distinct") <= direct_limit, F.lit(0)).otherwise(
-            F.size(F.filter("_cuts", lambda x: x < F.col("v")))
-        ),
+    whole = Window.partitionBy(*keys)
+    ordered = whole.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    direct = join_null_safe(counts, large, keys, "left_anti").select(
+        *keys, "v", "c", F.sum("c").over(ordered).alias("_end"), F.sum("c").over(whole).alias("_n")
     )
 
-    # Rank positions wanted per group, as 0-based row numbers.
-    position = {name: (F.col("_n") - 1) * F.lit(float(p)) for name, p in probs.items()}
-    lower = {name: F.floor(pos).cast("long") for name, pos in position.items()}
-    upper = {name: F.ceil(pos).cast("long") for name, pos in position.items()}
-    wanted = F.array_distinct(F.array(*lower.values(), *upper.values()))
-
-    in_order = Window.partitionBy(*keys).orderBy("_bucket")
-    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    shares = ", ".join(f"{i / buckets}D" for i in range(1, buckets))
+    big = join_null_safe(counts, large, keys)
+    cuts = big.groupBy(*keys).agg(
+        F.expr(f"percentile_approx(v, array({shares}), {buckets * 8})").alias("_cuts")
+    )
+    placed = join_null_safe(big, cuts, keys).select(
+        *keys, "v", "c", "_n", F.size(F.filter("_cuts", lambda x: x < F.col("v"))).alias("_bucket")
+    )
+    before = whole.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)  # a row per bucket
+    holds = " OR ".join(
+        f"({near}((_n - 1) * {float(p)}D) BETWEEN _start AND _start + _size - 1)"
+        for p in set(probs.values())
+        for near in ("floor", "ceil")
+    )
     offsets = (
         placed.groupBy(*keys, "_bucket")
         .agg(F.sum("c").alias("_size"), F.max("_n").alias("_n"))
         .withColumn("_start", F.coalesce(F.sum("_size").over(before), F.lit(0)))
-        .withColumn("_want", wanted)
-        .withColumn(
-            "_want",
-            F.filter(
-                "_want",
-                lambda r: (r >= F.col("_start")) & (r < F.col("_start") + F.col("_size")),
-            ),
-        )
-        .where(F.size("_want") > 0)
-        .select(*keys, "_bucket", "_start", "_want")
-    )
-
-    running = Window.partitionBy(*keys, "_bucket").orderBy("v").rowsBetween(
-        Window.unboundedPreceding, 0
+        .where(holds)
+        .select(*keys, "_bucket", "_start")
     )
-    hits = (
-        join_null_safe(placed.drop("_cuts", "_distinct"), offsets, [*keys, "_bucket"])
-        .withColumn("_end", F.col("_start") + F.sum("c").over(running))
-        .withColumn(
-            "_rank",
-            F.explode(
-                F.filter("_want", lambda r: (r >= F.col("_end") - F.col("c")) & (r < F.col("_end")))
-            ),
-        )
+    running = (
+        Window.partitionBy(*keys, "_bucket").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     )
-
-    def at(rank: Column) -> Column:
-        return F.max(F.when(F.col("_rank") == rank, F.col("v")))
-
-    picked = hits.groupBy(*keys, "_n").agg(
-        *[at(lower[name]).alias(f"_lo_{name}") for name in probs],
-        *[at(upper[name]).alias(f"_hi_{name}") for name in probs],
-    )
-    return picked.select(
-        *keys,
-        *[
-            (
-                F.col(f"_lo_{name}")
-                + (position[name] - lower[name]) * (F.col(f"_hi_{name}") - F.col(f"_lo_{name}"))
-            ).alias(name)
-            for name in probs
-        ],
+    cut = join_null_safe(placed, offsets, [*keys, "_bucket"]).select(
+        *keys, "v", "c", (F.col("_start") + F.sum("c").over(running)).alias("_end"), "_n"
     )
+    return _interpolate(direct, keys, probs).unionByName(_interpolate(cut, keys, probs))
 
 
 def exact_percentiles(

@@ -24,14 +24,12 @@ def join_null_safe(
     left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner"
 ) -> DataFrame:
     """Equi-join where null keys match; the key columns come from the left side."""
-    renamed = right.select(
-        *[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys]
-    )
-    condition = F.lit(True)
-    for i, k in enumerate(keys):
-        test = left[k].eqNullSafe(renamed[f"_r_{k}"])
-        condition = test if i == 0 else condition & test
-    return left.join(renamed, condition, how).drop(*[f"_r_{k}" for k in keys])
+    keys = list(keys)
+    rest = [c for c in right.columns if c not in keys]
+    renamed = right.selectExpr(*[f"`{k}` AS `_r_{k}`" for k in keys], *[f"`{c}`" for c in rest])
+    condition = F.expr(" AND ".join(f"`{k}` <=> `_r_{k}`" for k in keys))
+    joined = left.join(renamed, condition, how)
+    return joined if how == "left_anti" else joined.drop(*[f"_r_{k}" for k in keys])
 
 
 def previous_in_slices(

@@ -6,7 +6,6 @@ from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gaugeworks.sources.model import DriverModel
@@ -40,13 +39,14 @@ def tidy(df: DataFrame) -> DataFrame:
     """Output types both engines share: long, rounded double, string, boolean, date, timestamp."""
     out = []
     for field in df.schema.fields:
-        c = F.col(f"`{field.name}`")
+        c = f"`{field.name}`"
         if isinstance(field.dataType, (T.ShortType, T.IntegerType)):
-            c = c.cast("long")
+            out.append(f"CAST({c} AS LONG) AS {c}")
         elif isinstance(field.dataType, (T.DecimalType, T.DoubleType)):
-            c = F.round(c.cast("double"), DIGITS)
-        out.append(c.alias(field.name))
-    return df.select(*out)
+            out.append(f"round(CAST({c} AS DOUBLE), {DIGITS}) AS {c}")
+        else:
+            out.append(c)
+    return df.selectExpr(*out)
 
 
 _VIEWS = {
