@@ -23,7 +23,7 @@ def value_counts(
     df: DataFrame, keys: Sequence[str], value: Column, weight: Column | None = None
 ) -> DataFrame:
     """Rows (keys, v, c): how often each non-null value occurs in each group."""
-    weighted = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    weighted = F.count("*") if weight is None else F.sum(weight)
     return (
         df.where(value.isNotNull())
         .groupBy(*keys, value.cast("double").alias("v"))
@@ -68,7 +68,7 @@ def percentiles_of_counts(
     """
     large = (
         counts.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_distinct"), F.sum("c").alias("_n"))
+        .agg(F.count("*").alias("_distinct"), F.sum("c").alias("_n"))
         .where(F.col("_distinct") > direct_limit)
         .drop("_distinct")
     )

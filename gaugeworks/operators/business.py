@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 from gaugeworks.functions import timefn
 from gaugeworks.functions.relations import ratio
 
-_ONE = F.lit(1)
-
 
 def tenant_usage(
     fact: DataFrame, *, as_of=None, days: int = 30, sensor_type: str = "sensor",
@@ -27,7 +25,7 @@ def tenant_usage(
         timefn.since(fact, start)
         .groupBy("tenant_id", "tenant_name", "entity_id", "entity_type", "attribute_id")
         .agg(
-            F.count(_ONE).alias("n"),
+            F.count("*").alias("n"),
             F.sum(F.length("value")).alias("chars"),
             F.min("ingested_at").alias("first"),
             F.max("ingested_at").alias("last"),
@@ -73,7 +71,7 @@ def growth_trends(fact: DataFrame, *, as_of=None, days: int = 90) -> DataFrame:
         .groupBy("ingested_date", *keys)
         .agg(
             F.count_distinct("entity_id").alias("active_entities"),
-            F.count(_ONE).alias("daily_events"),
+            F.count("*").alias("daily_events"),
         )
     )
     current = F.col("ingested_date") >= timefn.date(this_month)
@@ -112,7 +110,7 @@ def tenant_cost(
     summed = (
         timefn.since(fact, start)
         .groupBy(*keys, "entity_id", "attribute_id")
-        .agg(F.count(_ONE).alias("n"), F.sum(size).alias("bytes"))
+        .agg(F.count("*").alias("n"), F.sum(size).alias("bytes"))
     )
     totals = summed.groupBy(*keys).agg(
         F.sum("n").alias("event_count"),

@@ -172,6 +172,6 @@ def partition_skew(entities: DataFrame, n: int = 100) -> DataFrame:
     """Rows and share per hash partition of the entity id."""
     counted = entities.groupBy(
         F.pmod(F.xxhash64("entity_id"), F.lit(n)).cast("long").alias("partition_no")
-    ).agg(F.count(F.lit(1)).alias("row_count"))
+    ).agg(F.count("*").alias("row_count"))
     total = F.sum("row_count").over(Window.partitionBy(F.lit(1)))  # at most n rows
     return counted.withColumn("percent", F.round(F.col("row_count") * 100.0 / total, 2))

@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 from gaugeworks.functions import timefn
 from gaugeworks.functions.relations import exact_mean, previous_in_slices, ratio
 
-_ONE = F.lit(1)
-
 
 def status_gaps(status: DataFrame, slice_unit: str = "hour") -> DataFrame:
     """Status events with the previous event of their entity (``prev_status``, ``prev_timestamp``).
@@ -87,7 +85,7 @@ def top_alerting_entities(
     if tenant_id is not None:
         alerts = alerts.where(F.col("tenant_id") == F.lit(tenant_id))
     summed = alerts.groupBy("entity_id", "tenant_name", "entity_type").agg(
-        F.count(_ONE).alias("total_alerts"),
+        F.count("*").alias("total_alerts"),
         F.count_distinct("attribute_id").alias("distinct_alert_types"),
         F.min("ingested_at").alias("first_alert_at"),
         F.max("ingested_at").alias("latest_alert_at"),
@@ -116,12 +114,12 @@ def health_summary(state: DataFrame, *, tenant_id=None) -> DataFrame:
     return (
         state.groupBy("tenant_name", "entity_type", "region", "environment")
         .agg(
-            F.count(_ONE).alias("total_entities"),
+            F.count("*").alias("total_entities"),
             in_state("online").alias("online_count"),
             in_state("offline").alias("offline_count"),
             in_state("warning").alias("warning_count"),
             in_state("error").alias("error_count"),
-            F.round(in_state("online") * F.lit(100.0) / F.count(_ONE), 1).alias("online_percent"),
+            F.round(in_state("online") * F.lit(100.0) / F.count("*"), 1).alias("online_percent"),
             F.avg("alert_count").alias("avg_alerts_per_entity"),
             F.max("alert_count").alias("max_alerts"),
             exact_mean(F.col("uptime_percent")).alias("avg_uptime_percent"),

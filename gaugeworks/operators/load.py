@@ -35,8 +35,8 @@ def flush_staging(staging: DataFrame, *, as_of=None, limit: int = 50_000) -> Flu
     moved = latest_by(stamped, _HISTORY_KEY, [])
     # Identical staged rows are interchangeable: counts decide how many of them stay.
     columns = staging.columns
-    had = staging.groupBy(*columns).agg(F.count(F.lit(1)).alias("_had"))
-    took = chosen.groupBy(*columns).agg(F.count(F.lit(1)).alias("_took"))
+    had = staging.groupBy(*columns).agg(F.count("*").alias("_had"))
+    took = chosen.groupBy(*columns).agg(F.count("*").alias("_took"))
     both = had.unionByName(took, allowMissingColumns=True).groupBy(*columns).agg(
         F.sum("_had").alias("_had"), F.coalesce(F.sum("_took"), F.lit(0)).alias("_took")
     )
@@ -70,7 +70,7 @@ def load_fact(staging: DataFrame, audit: DataFrame, *, as_of=None, lookback_hour
     # A row repeated over batches is loaded once, under the first batch that brought it.
     rows = fresh.groupBy(*schemas.FACT_COLUMNS).agg(F.min("batch_id").alias("batch_id"))
     counted = fresh.select("batch_id").distinct().join(
-        rows.groupBy("batch_id").agg(F.count(F.lit(1)).alias("rows_loaded")), "batch_id", "left"
+        rows.groupBy("batch_id").agg(F.count("*").alias("rows_loaded")), "batch_id", "left"
     )
     audit_rows = counted.select(
         "batch_id", timefn.ts(now).alias("loaded_at"),
@@ -149,7 +149,7 @@ def archive_manifest(values: DataFrame, *, as_of=None, keep_months: int = 12) ->
     month = F.col("year_month") if "year_month" in values.columns else timefn.year_month(F.col("ingested_at"))
     return (
         values.groupBy(month.alias("year_month"))
-        .agg(F.count(F.lit(1)).alias("row_count"))
+        .agg(F.count("*").alias("row_count"))
         .withColumn("action", F.when(F.col("year_month") < oldest, "archive").otherwise("keep"))
         .orderBy("year_month")
     )

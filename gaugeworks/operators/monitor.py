@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 from gaugeworks.functions import timefn
 from gaugeworks.functions.relations import asof_backward, ratio
 
-_ONE = F.lit(1)
-
 
 # --- freshness -----------------------------------------------------------------------------------
 def tenant_freshness(
@@ -28,7 +26,7 @@ def tenant_freshness(
         .groupBy(*keys)
         .agg(
             F.max("ingested_at").alias("latest_event_time"),
-            F.count(_ONE).alias("events_last_hour"),
+            F.count("*").alias("events_last_hour"),
             F.count_distinct("entity_id").alias("active_entities_last_hour"),
         )
     )
@@ -135,7 +133,7 @@ def write_throughput(values: DataFrame, *, as_of=None, minutes: int = 60) -> Dat
         timefn.since(values, start)
         .groupBy(F.date_trunc("minute", "ingested_at").alias("minute"), "tenant_id")
         .agg(
-            F.count(_ONE).alias("events_per_minute"),
+            F.count("*").alias("events_per_minute"),
             F.count_distinct("entity_id").alias("unique_entities"),
         )
         .orderBy(F.desc("minute"), "tenant_id")
@@ -163,7 +161,7 @@ def staging_health(
     now = timefn.ts(timefn.resolve_as_of(as_of))
     return (
         staging.agg(
-            F.count(_ONE).alias("pending_events"),
+            F.count("*").alias("pending_events"),
             F.min("ingested_at").alias("oldest_event"),
             F.max("ingested_at").alias("newest_event"),
         )
@@ -184,7 +182,7 @@ def capacity_projection(
     daily = (
         timefn.since(values, start)
         .groupBy(F.date_trunc("day", "ingested_at").alias("day"))
-        .agg(F.count(_ONE).alias("daily_events"))
+        .agg(F.count("*").alias("daily_events"))
     )
     mean = F.avg("daily_events")
     return daily.agg(
@@ -202,7 +200,7 @@ def daily_activity(values: DataFrame, *, as_of=None, days: int = 30) -> DataFram
     return (
         timefn.since(values, start)
         .groupBy(F.date_trunc("day", "ingested_at").alias("day"), "tenant_id", "entity_id")
-        .agg(F.count(_ONE).alias("n"))
+        .agg(F.count("*").alias("n"))
         .groupBy("day")
         .agg(
             F.sum("n").alias("daily_events"),
@@ -222,7 +220,7 @@ def tenant_resources(
         timefn.since(values, start)
         .groupBy("tenant_id", "entity_id", "attribute_id")
         .agg(
-            F.count(_ONE).alias("n"),
+            F.count("*").alias("n"),
             F.sum(F.length(F.coalesce("value", F.lit("")))).alias("chars"),
             F.min("ingested_at").alias("first"),
             F.max("ingested_at").alias("last"),
@@ -260,8 +258,8 @@ def health_snapshot(
         F.lit(-1),
     )
     parts = [
-        staging.agg(F.count(_ONE).alias("staging_rows")),
-        recent.agg(F.floor(F.count(_ONE) / F.lit(60)).cast("long").alias("recent_throughput_per_sec")),
+        staging.agg(F.count("*").alias("staging_rows")),
+        recent.agg(F.floor(F.count("*") / F.lit(60)).cast("long").alias("recent_throughput_per_sec")),
         beats.where(F.col("source") == source).agg(lag.alias("replica_lag_ms")),
     ]
     one, two, three = [p.withColumn("_one", F.lit(1)) for p in parts]

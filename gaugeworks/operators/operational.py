@@ -13,7 +13,6 @@ from gaugeworks.functions.quantiles import exact_percentiles
 from gaugeworks.functions.relations import exact_mean, join_null_safe
 from gaugeworks.operators.eav import pivot_latest
 
-_ONE = F.lit(1)
 _KEY = ["entity_id", "tenant_id"]
 
 
@@ -127,7 +126,7 @@ def _category_and_metric(
     categories = (
         recent.where(F.col("attribute_id") == category_attribute)
         .groupBy(*_KEY, F.col("value").alias("category"))
-        .agg(F.count(_ONE).alias("copies"))
+        .agg(F.count("*").alias("copies"))
     )
     numeric = attributes.where(F.col("data_type") == "decimal").select("attribute_id", "attribute_name")
     metrics = recent.where(F.col("value_decimal").isNotNull()).join(numeric, "attribute_id")
@@ -146,7 +145,7 @@ def category_metrics(
     start = timefn.resolve_as_of(as_of) - dt.timedelta(days=days)
     categories, metrics = _category_and_metric(values, attributes, category_attribute, start, tenant_id)
     per_entity = metrics.groupBy(*_KEY, "attribute_name").agg(
-        F.count(_ONE).alias("n"), F.sum("value_decimal").alias("total")
+        F.count("*").alias("n"), F.sum("value_decimal").alias("total")
     )
     weighted = F.sum(F.col("total") * F.col("copies").cast("decimal(12,0)")).cast("double")
     return (
@@ -172,7 +171,7 @@ def category_distribution(
     """
     start = timefn.resolve_as_of(as_of) - dt.timedelta(days=days)
     categories, metrics = _category_and_metric(values, attributes, category_attribute, start, tenant_id)
-    per_value = metrics.groupBy(*_KEY, "attribute_name", "value_decimal").agg(F.count(_ONE).alias("n"))
+    per_value = metrics.groupBy(*_KEY, "attribute_name", "value_decimal").agg(F.count("*").alias("n"))
     joined = categories.join(per_value, _KEY).withColumn("weight", F.col("n") * F.col("copies"))
     keys = ["category", "attribute_name"]
     total = F.sum(F.col("value_decimal") * F.col("weight").cast("decimal(12,0)")).cast("double")
@@ -199,7 +198,7 @@ def entity_growth(entities: DataFrame, *, as_of=None, days: int = 90) -> DataFra
     daily = (
         entities.where((F.col("created_at") >= timefn.ts(start)) & ~F.col("is_deleted"))
         .groupBy(F.date_trunc("day", "created_at").alias("day"), "tenant_id", "entity_type")
-        .agg(F.count(_ONE).alias("new_entities"))
+        .agg(F.count("*").alias("new_entities"))
     )
     by_day = Window.partitionBy("tenant_id", "entity_type").orderBy("day")
     return (
@@ -253,7 +252,7 @@ def usage_counts(
         start = timefn.resolve_as_of(as_of) - dt.timedelta(days=days)
         source = timefn.since(values, start).groupBy("tenant_id", "attribute_id").agg(
             F.count_distinct("entity_id").alias("distinct_entities"),
-            F.count(_ONE).alias("total_values"),
+            F.count("*").alias("total_values"),
         )
     else:
         source = stats.select("tenant_id", "attribute_id", "distinct_entities", "total_values")

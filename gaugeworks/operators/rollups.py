@@ -13,8 +13,6 @@ from gaugeworks.functions.quantiles import exact_percentiles
 from gaugeworks.functions.relations import join_null_safe, ratio
 from gaugeworks.operators.health import status_gaps
 
-_ONE = F.lit(1)
-
 
 def attribute_stats(values: DataFrame, attributes: DataFrame) -> DataFrame:
     """Per tenant and attribute: entities, values, oldest and newest reading.
@@ -23,7 +21,7 @@ def attribute_stats(values: DataFrame, attributes: DataFrame) -> DataFrame:
     """
     counted = values.groupBy("tenant_id", "attribute_id").agg(
         F.count_distinct("entity_id").alias("distinct_entities"),
-        F.count(_ONE).alias("total_values"),
+        F.count("*").alias("total_values"),
         F.min("ingested_at").alias("oldest"),
         F.max("ingested_at").alias("newest"),
     )
@@ -86,7 +84,7 @@ def daily_entity_stats(
         .withColumn("date", F.to_date("ingested_at"))
         .groupBy(*keys, "entity_type")
         .agg(
-            F.count(_ONE).alias("total_events"),
+            F.count("*").alias("total_events"),
             F.count(F.when(F.col("attribute_category") == error_category, 1)).alias("total_errors"),
             F.avg(of("temperature")).cast("decimal(10,2)").alias("avg_temperature"),
             F.max(of("temperature")).cast("decimal(10,2)").alias("max_temperature"),
@@ -119,7 +117,7 @@ def hourly_attribute_stats(fact: DataFrame, *, as_of=None, hours: int = 1) -> Da
     value = F.col("value_decimal")
     rows = timefn.since(fact, first).withColumn("hour", F.date_trunc("hour", "ingested_at"))
     basic = rows.groupBy(*keys).agg(
-        F.count(_ONE).alias("sample_count"),
+        F.count("*").alias("sample_count"),
         F.count_distinct("entity_id").alias("distinct_entities"),
         F.avg(value).alias("avg_value"),
         F.min(value).alias("min_value"),
@@ -222,7 +220,7 @@ def payload_alert_counts(
         timefn.since(fact, start)
         .where(F.col("attribute_name") == attribute)
         .groupBy("tenant_id")
-        .agg(F.count(_ONE).alias("count"))
+        .agg(F.count("*").alias("count"))
         .select(
             F.concat(F.lit("agg:alert_count:"), "tenant_id", F.lit(":last_hour")).alias("cache_key"),
             F.to_json(F.struct("count")).alias("payload"),

@@ -72,7 +72,7 @@ def find_entities(
         matched.groupBy("entity_id", "attribute_id")
         .agg(F.max("_needed").alias("_needed"))
         .groupBy("entity_id")
-        .agg(F.count(F.lit(1)).alias("_found"), F.max("_needed").alias("_needed"))
+        .agg(F.count("*").alias("_found"), F.max("_needed").alias("_needed"))
         .where(F.col("_found") == F.col("_needed"))
         .select("entity_id")
     )

@@ -17,8 +17,6 @@ from gaugeworks.functions.quantiles import (
 )
 from gaugeworks.functions.relations import exact_mean, join_null_safe, ratio
 
-_ONE = F.lit(1)
-
 
 def attribute_distribution(
     fact: DataFrame, *, as_of=None, days: int = 7, tenant_id=None, category: str = "performance",
@@ -36,7 +34,7 @@ def attribute_distribution(
     basic = (
         rows.groupBy(*keys)
         .agg(
-            F.count(_ONE).alias("sample_count"),
+            F.count("*").alias("sample_count"),
             F.count_distinct("entity_id").alias("entity_count"),
             exact_mean(value).alias("mean_value"),
             F.stddev(value.cast("double")).alias("stddev_value"),

@@ -12,8 +12,6 @@ from gaugeworks.functions import timefn
 from gaugeworks.functions.quantiles import exact_percentiles
 from gaugeworks.functions.relations import exact_mean, join_null_safe
 
-_ONE = F.lit(1)
-
 
 def _scope(fact: DataFrame, tenant_id, attribute: str | None) -> DataFrame:
     if tenant_id is not None:
@@ -69,7 +67,7 @@ def hourly_event_rate(
         .groupBy(
             F.date_trunc("hour", "ingested_at").alias("hour"), "tenant_id", "tenant_name", "entity_type"
         )
-        .agg(F.count(_ONE).alias("event_count"), F.count_distinct("entity_id").alias("active_entities"))
+        .agg(F.count("*").alias("event_count"), F.count_distinct("entity_id").alias("active_entities"))
     )
     frame = Window.partitionBy("tenant_id", "entity_type").orderBy("hour").rowsBetween(-23, 0)
     count, mean = F.col("event_count"), F.col("moving_avg_24h")
@@ -104,7 +102,7 @@ def daily_attribute_distribution(
     per_entity = (
         timefn.since(fact, start)
         .groupBy(*keys, "tenant_id", "entity_id")
-        .agg(F.count(_ONE).alias("n"), *[F.count(c).alias(name) for name, c in filled.items()])
+        .agg(F.count("*").alias("n"), *[F.count(c).alias(name) for name, c in filled.items()])
     )
     return (
         per_entity.groupBy(*keys)

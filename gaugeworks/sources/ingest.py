@@ -14,6 +14,7 @@ _OPTIONS = {
     "quote": "",
     "escape": "\0",
     "mode": "PERMISSIVE",
+    "columnPruning": "false",  # else a line with too many fields passes when few are read
     "columnNameOfCorruptRecord": _BAD,
     "timestampFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
 }

@@ -242,7 +242,7 @@ class DriverModel:
             .agg(
                 F.max_by(F.struct("event_type", "props"), F.struct("ts", "event_id")).alias("last"),
                 F.max("ts").alias("updated_at"),
-                F.count(F.lit(1)).alias("events"),
+                F.count("*").alias("events"),
                 F.count(F.when(F.col("event_type") == "error", 1)).alias("alerts"),
                 F.count(
                     F.when(

@@ -22,7 +22,7 @@ def hourly_attribute_rollup(fact: DataFrame, watermark: str = WATERMARK) -> Data
             F.window("ingested_at", "1 hour").alias("w"), "tenant_id", "attribute_id", "attribute_name"
         )
         .agg(
-            F.count(F.lit(1)).alias("sample_count"),
+            F.count("*").alias("sample_count"),
             F.approx_count_distinct("entity_id").alias("approx_entities"),
             F.avg(value).alias("avg_value"),
             F.min(value).alias("min_value"),
@@ -40,7 +40,7 @@ def minute_throughput(values: DataFrame, watermark: str = WATERMARK) -> DataFram
         values.withWatermark("ingested_at", watermark)
         .groupBy(F.window("ingested_at", "1 minute").alias("w"), "tenant_id")
         .agg(
-            F.count(F.lit(1)).alias("events_per_minute"),
+            F.count("*").alias("events_per_minute"),
             F.approx_count_distinct("entity_id").alias("approx_entities"),
         )
         .select(F.col("w.start").alias("minute"), "tenant_id", "events_per_minute", "approx_entities")
