@@ -107,3 +107,9 @@ def exact_mean(c: Column) -> Column:
 def ratio(numerator: Column, denominator: Column) -> Column:
     """Division that gives null for a zero denominator."""
     return F.try_divide(numerator, denominator)
+
+
+def with_total(df: DataFrame, column: str, name: str) -> DataFrame:
+    """Add the sum of a column over all rows; the total is one row, joined on a constant."""
+    total = df.agg(F.sum(column).alias(name)).withColumn("_one", F.lit(1))
+    return df.withColumn("_one", F.lit(1)).join(total, "_one").drop("_one")

@@ -5,12 +5,12 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugeworks import schemas
 from gaugeworks.functions import timefn
-from gaugeworks.functions.relations import latest_by
+from gaugeworks.functions.relations import latest_by, with_total
 
 # The seven data types an attribute may have.
 DATA_TYPES = ("string", "integer", "decimal", "boolean", "date", "timestamp", "json")
@@ -173,5 +173,8 @@ def partition_skew(entities: DataFrame, n: int = 100) -> DataFrame:
     counted = entities.groupBy(
         F.pmod(F.xxhash64("entity_id"), F.lit(n)).cast("long").alias("partition_no")
     ).agg(F.count("*").alias("row_count"))
-    total = F.sum("row_count").over(Window.partitionBy(F.lit(1)))  # at most n rows
-    return counted.withColumn("percent", F.round(F.col("row_count") * 100.0 / total, 2))
+    return (
+        with_total(counted, "row_count", "_all")
+        .withColumn("percent", F.round(F.col("row_count") * 100.0 / F.col("_all"), 2))
+        .drop("_all")
+    )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -79,19 +80,18 @@ def load_fact(staging: DataFrame, audit: DataFrame, *, as_of=None, lookback_hour
     return FactLoad(rows, audit_rows, staging.where(F.col("batch_id").isNull()))
 
 
-def write_fact(rows: DataFrame, path: str, *, partitions: tuple[str, ...] = ("year_month",), files_per_month: int = 1) -> None:
-    """Columnar sink by month, sorted by (tenant, time) inside each file for min/max skipping.
+def write_partitioned(
+    rows: DataFrame, path: str, partitions: Sequence[str], sort: Sequence[str]
+) -> None:
+    """Write rows by partition columns, sorted inside each file for min/max skipping.
 
-    ``files_per_month`` spreads a month over that many tasks by entity, so one month, and one large
-    tenant in it, is not written by a single task. Only the partitions present in ``rows`` are replaced
-    (dynamic overwrite), which makes a repeated write of the same batch harmless.
-    """
-    spread = F.pmod(F.xxhash64("entity_id", "ingested_at"), F.lit(files_per_month))
+    The rebalance hint lets the runtime size the write tasks: a large month is split over many tasks,
+    small ones share a task. Only the partitions present in ``rows`` are replaced (dynamic overwrite),
+    which makes a repeated write harmless.
+    """
     (
-        rows.withColumn("_file", spread)
-        .repartition(*partitions, "_file")
-        .drop("_file")
-        .sortWithinPartitions(*partitions, "tenant_id", "ingested_at")
+        rows.hint("rebalance", *[F.col(c) for c in partitions])
+        .sortWithinPartitions(*partitions, *sort)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partitions)
@@ -99,6 +99,11 @@ def write_fact(rows: DataFrame, path: str, *, partitions: tuple[str, ...] = ("ye
     )
 
 
+def write_fact(rows: DataFrame, path: str, *, partitions: Sequence[str] = ("year_month",)) -> None:
+    """Columnar sink by month, each file sorted by (tenant, time)."""
+    write_partitioned(rows, path, partitions, ["tenant_id", "ingested_at"])
+
+
 def read_fact(spark: SparkSession, path: str) -> DataFrame:
     """The fact table; ``year_month`` is its partition column."""
     return spark.read.schema(schemas.FACT).parquet(path)
@@ -106,7 +111,7 @@ def read_fact(spark: SparkSession, path: str) -> DataFrame:
 
 def run_fact_load(
     spark: SparkSession, staging: DataFrame, fact_path: str, audit_path: str, *, as_of=None,
-    load_id: str | None = None, lookback_hours: float = 1, files_per_month: int = 1,
+    load_id: str | None = None, lookback_hours: float = 1,
 ) -> None:
     """Load staged batches into the fact table, then record them.
 
@@ -124,24 +129,11 @@ def run_fact_load(
         load.rows.drop("batch_id").withColumn("load_id", F.lit(load_id)),
         fact_path,
         partitions=("year_month", "load_id"),
-        files_per_month=files_per_month,
     )
     # Evaluated before the append makes new files visible to it: the audit read is fixed in the plan.
     load.audit.write.mode("append").parquet(audit_path)
 
 
-def write_partitioned(rows: DataFrame, path: str, by: str, sort: list[str]) -> None:
-    """Replace the partitions present in ``rows`` (rollup refresh without repeated keys)."""
-    (
-        rows.repartition(by)
-        .sortWithinPartitions(*sort)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(by)
-        .parquet(path)
-    )
-
-
 def archive_manifest(values: DataFrame, *, as_of=None, keep_months: int = 12) -> DataFrame:
     """Months of history with row counts and what to do with them: keep or archive."""
     now = timefn.resolve_as_of(as_of)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gaugeworks.functions import timefn
-from gaugeworks.functions.relations import asof_backward, ratio
+from gaugeworks.functions.relations import asof_backward, ratio, with_total
 
 
 # --- freshness -----------------------------------------------------------------------------------
@@ -100,19 +100,20 @@ def latest_heartbeat(beats: DataFrame) -> DataFrame:
 
 def _lag_label(lag_ms: Column) -> Column:
     return (
-        F.when(lag_ms < 0, "NO_HEARTBEAT").when(lag_ms > 5000, "CRITICAL").when(lag_ms > 3000, "WARNING")
+        F.when(lag_ms.isNull(), "NO_HEARTBEAT").when(lag_ms > 5000, "CRITICAL").when(lag_ms > 3000, "WARNING")
         .otherwise("OK")
     )
 
 
 def heartbeat_status(beats: DataFrame, *, as_of=None, source: str = "primary") -> DataFrame:
-    """One row: lag of a source in milliseconds and its label; -1 without any heartbeat."""
+    """One row: lag of a source in whole milliseconds and its label; -1 without any heartbeat.
+
+    A heartbeat from the future (clock skew) has a negative lag and is OK.
+    """
     now = timefn.ts(timefn.resolve_as_of(as_of))
     newest = beats.where(F.col("source") == source).agg(F.max("timestamp").alias("at"))
-    lag = F.floor((F.unix_micros(now) - F.unix_micros("at")) / F.lit(1000)).cast("long")
-    return newest.select(F.coalesce(lag, F.lit(-1)).alias("lag_ms")).withColumn(
-        "status", _lag_label(F.col("lag_ms"))
-    )
+    lag = F.round((F.unix_micros(now) - F.unix_micros("at")) / F.lit(1000)).cast("long")
+    return newest.select(F.coalesce(lag, F.lit(-1)).alias("lag_ms"), _lag_label(lag).alias("status"))
 
 
 def lagging_sources(beats: DataFrame, *, as_of=None, max_lag_seconds: float = 5) -> DataFrame:
@@ -234,10 +235,12 @@ def tenant_resources(
         F.min("first").alias("first_event"),
         F.max("last").alias("last_event"),
     )
-    everything = F.sum("total_events").over(Window.partitionBy(F.lit(1)))  # one row per tenant
+    everything = F.col("_all")
     return (
-        totals.withColumn("traffic_share", F.round(F.col("total_events") / everything, 4))
+        with_total(totals, "total_events", "_all")
+        .withColumn("traffic_share", F.round(F.col("total_events") / everything, 4))
         .withColumn("hot_tenant", F.col("total_events") > everything * hot_share)
+        .drop("_all")
         .orderBy(F.desc("total_events"), "tenant_id")
         .limit(limit)
     )
@@ -254,8 +257,7 @@ def health_snapshot(
     at = timefn.ts(now)
     recent = timefn.since(values, now - dt.timedelta(minutes=1))
     lag = F.coalesce(
-        F.floor((F.unix_micros(at) - F.unix_micros(F.max("timestamp"))) / F.lit(1000)).cast("long"),
-        F.lit(-1),
+        (F.unix_micros(at) - F.unix_micros(F.max("timestamp"))) / F.lit(1000), F.lit(-1.0)
     )
     parts = [
         staging.agg(F.count("*").alias("staging_rows")),

@@ -45,7 +45,7 @@ def _stored_fact(m):
     from gaugeworks.session import work_path
 
     path = work_path(m.spark, "fact")
-    load.write_fact(m.fact.drop("event_id"), path, files_per_month=4)
+    load.write_fact(m.fact.drop("event_id"), path)
     return timefn.since(load.read_fact(m.spark, path), dt.datetime(2024, 1, 1))
 
 
@@ -217,7 +217,7 @@ def _wide(m):
         )
     )
     readings = m.readings(m.read("events")).select("entity_id", "ingested_at", doc.alias("event"))
-    return readings.join(m.entities.select("entity_id", "tenant_id"), "entity_id")
+    return m.owned(readings, names=False).drop("entity_type")
 
 
 query(
@@ -335,11 +335,10 @@ def _deltas(m):
     doc = F.when(
         F.col("event_type") == "error", jsonfn.build_object(**base, last_error=F.col("event_id"))
     ).otherwise(jsonfn.build_object(**base))
-    return (
-        m.read("events")
-        .select(F.col("user_id").alias("entity_id"), doc.alias("delta"), F.col("ts").alias("occurred_at"))
-        .join(m.entities.select("entity_id", "tenant_id"), "entity_id")
+    events = m.read("events").select(
+        F.col("user_id").alias("entity_id"), doc.alias("delta"), F.col("ts").alias("occurred_at")
     )
+    return m.owned(events, names=False).drop("entity_type")
 
 
 query(
@@ -609,11 +608,8 @@ def change_messages(m):
         F.when(gone, row).alias("before"), F.when(~gone, row).alias("after"), source.alias("source"),
         F.when(gone, "d").otherwise("u").alias("op"), (millis + 123).alias("ts_ms"),
     )
-    return (
-        m.read("events").withColumnRenamed("user_id", "entity_id")
-        .join(m.entities.select("entity_id", "tenant_id"), "entity_id")
-        .select(F.to_json(message).alias("value"))
-    )
+    owned = m.owned(m.read("events").withColumnRenamed("user_id", "entity_id"), names=False)
+    return owned.select(F.to_json(message).alias("value"))
 
 
 query(
@@ -666,9 +662,8 @@ query(
     ),
 )
 def _change_feed(m):
-    versions = m.read("events").withColumnRenamed("user_id", "entity_id").join(
-        m.entities.select("entity_id", "tenant_id"), "entity_id"
-    ).select(
+    owned = m.owned(m.read("events").withColumnRenamed("user_id", "entity_id"), names=False)
+    versions = owned.select(
         "entity_id", "tenant_id", F.col("ts").alias("occurred_at"),
         jsonfn.build_object(
             status=status_of(F.col("event_type")),

@@ -300,10 +300,10 @@ query(
 _BEAT_AT = "2024-01-30 23:57:15"
 query(
     "d8_heartbeat_status",
-    f"""SELECT lag_ms, CASE WHEN lag_ms < 0 THEN 'NO_HEARTBEAT' WHEN lag_ms > 5000 THEN 'CRITICAL'
-            WHEN lag_ms > 3000 THEN 'WARNING' ELSE 'OK' END AS status
-    FROM (SELECT coalesce((epoch_us(TIMESTAMP '{_BEAT_AT}') - epoch_us(max(ts))) // 1000, -1) AS lag_ms
-          FROM events WHERE event_type = 'click')""",
+    f"""SELECT coalesce(lag, -1) AS lag_ms, CASE WHEN lag IS NULL THEN 'NO_HEARTBEAT'
+            WHEN lag > 5000 THEN 'CRITICAL' WHEN lag > 3000 THEN 'WARNING' ELSE 'OK' END AS status
+    FROM (SELECT CAST(round((epoch_us(TIMESTAMP '{_BEAT_AT}') - epoch_us(max(ts))) / 1000.0) AS BIGINT)
+            AS lag FROM events WHERE event_type = 'click')""",
 )(lambda m: monitor.heartbeat_status(_beats(m), as_of=_BEAT_AT, source="click"))
 query(
     "d8_lagging_sources",
@@ -394,7 +394,7 @@ query(
             ',"recent_throughput_per_sec":' ||
             (SELECT count(*) // 60 FROM fact WHERE ingested_at >= {NOW} - INTERVAL 1 MINUTE) ||
             ',"replica_lag_ms":' ||
-            (SELECT coalesce((epoch_us({NOW}) - epoch_us(max(ts))) // 1000, -1) FROM events
+            (SELECT coalesce((epoch_us({NOW}) - epoch_us(max(ts))) / 1000.0::DOUBLE, -1) FROM events
              WHERE event_type = 'view') || '}}' AS health""",
     ),
 )(lambda m: monitor.health_snapshot(m.values, m.values, _beats(m), as_of=AS_OF, source="view"))

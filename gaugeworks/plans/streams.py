@@ -60,7 +60,7 @@ def _dedup(m):
     fact_path, audit_path = work_path(m.spark, "fact"), work_path(m.spark, "audit")
     _drain(
         pipeline.start_fact_load(
-            once, fact_path, audit_path, work_path(m.spark, "ckpt"), interval=None, files_per_month=4
+            once, fact_path, audit_path, work_path(m.spark, "ckpt"), interval=None
         )
     )
     from gaugeworks.operators.load import read_fact

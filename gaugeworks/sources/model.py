@@ -161,15 +161,27 @@ class DriverModel:
             F.col("ts").alias("ingested_at"),
         )
 
+    def owned(self, rows: DataFrame, names: bool = True) -> DataFrame:
+        """Add tenant and type of the entity to rows with an entity_id.
+
+        Every dimension joins as a plain scan, so the planner sees its true size: nation and region are
+        always broadcast, the customers only while they are small.
+        """
+        customer = self.read("customer").select(
+            F.col("c_custkey").alias("entity_id"), "c_nationkey", F.col("c_mktsegment").alias("entity_type")
+        )
+        nation = self.read("nation").select(
+            F.col("n_nationkey").alias("c_nationkey"), F.col("n_regionkey").cast("long").alias("tenant_id")
+        )
+        placed = rows.join(customer, "entity_id").join(nation, "c_nationkey").drop("c_nationkey")
+        return placed.join(self.tenants, "tenant_id") if names else placed
+
     def values_of(self, events: DataFrame) -> DataFrame:
         """History rows: readings with tenant and attribute ids."""
         catalog = self.attributes.select("attribute_id", "attribute_name")
-        owner = self.entities.select("entity_id", "tenant_id")
-        return (
-            self.readings(events)
-            .join(catalog, "attribute_name")
-            .join(owner, "entity_id")
-            .select("event_id", *schemas.columns(schemas.STAGED_VALUES))
+        typed = self.readings(events).join(catalog, "attribute_name")
+        return self.owned(typed, names=False).select(
+            "event_id", *schemas.columns(schemas.STAGED_VALUES)
         )
 
     @cached_property
@@ -179,13 +191,8 @@ class DriverModel:
     def fact_of(self, events: DataFrame) -> DataFrame:
         """Fact rows in one pass over the readings: each dimension is joined once."""
         catalog = self.attributes.select("attribute_id", "attribute_name", "attribute_category")
-        owner = self.entities.join(self.tenants, "tenant_id").select(
-            "entity_id", "tenant_id", "tenant_name", "entity_type"
-        )
         return (
-            self.readings(events)
-            .join(catalog, "attribute_name")
-            .join(owner, "entity_id")
+            self.owned(self.readings(events).join(catalog, "attribute_name"))
             .withColumns(timefn.derived_time_columns(F.col("ingested_at")))
             .select("event_id", *schemas.FACT_COLUMNS)
         )
@@ -221,13 +228,8 @@ class DriverModel:
             F.struct(F.lit(9).cast("long").alias("attribute_id"),
                      F.col("tenant_name").alias("value")),
         )
-        owner = self.entities.join(self.tenants, "tenant_id").select(
-            "entity_id", "tenant_id", "tenant_name", "entity_type"
-        )
         return (
-            self.read("events")
-            .withColumnRenamed("user_id", "entity_id")
-            .join(owner, "entity_id")
+            self.owned(self.read("events").withColumnRenamed("user_id", "entity_id"))
             .select("entity_id", "tenant_id", F.col("ts").alias("ingested_at"), F.explode(pairs).alias("p"))
             .select("entity_id", "tenant_id", "p.attribute_id", "p.value", "ingested_at")
         )
@@ -254,7 +256,6 @@ class DriverModel:
                 F.array_sort(F.collect_set("event_type")).alias("tags"),
             )
         )
-        owner = self.entities.join(self.tenants, "tenant_id")
         document = jsonfn.build_object(
             status=status_of(F.col("last.event_type")),
             priority=F.get_json_object("last.props", "$.k").cast("int"),
@@ -266,7 +267,7 @@ class DriverModel:
             uptime_percent=F.round(F.col("online") * F.lit(100.0) / F.col("events"), 2),
             last_seen=F.date_format("updated_at", "yyyy-MM-dd HH:mm:ss.SSSSSS"),
         )
-        return per_entity.join(owner, "entity_id").select(
+        return self.owned(per_entity).select(
             "entity_id", "tenant_id", document.alias("hot_attrs"), "updated_at"
         )
 

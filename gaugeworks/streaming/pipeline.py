@@ -46,7 +46,7 @@ def batch_counts(readings: DataFrame, width: str = "30 seconds", watermark: str
 
 def start_fact_load(
     fact: DataFrame, fact_path: str, audit_path: str, checkpoint: str, *, name: str = "load",
-    interval: str | None = "30 seconds", files_per_month: int = 1,
+    interval: str | None = "30 seconds",
 ) -> StreamingQuery:
     """Load each micro-batch into the fact table, once.
 
@@ -58,10 +58,7 @@ def start_fact_load(
         label = f"{name}-{epoch:012d}"
         staged = batch.withColumn("batch_id", F.lit(label)).persist()
         try:
-            run_fact_load(
-                batch.sparkSession, staged, fact_path, audit_path, load_id=label,
-                files_per_month=files_per_month,
-            )
+            run_fact_load(batch.sparkSession, staged, fact_path, audit_path, load_id=label)
         finally:
             staged.unpersist()
 
