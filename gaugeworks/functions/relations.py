@@ -110,6 +110,5 @@ def ratio(numerator: Column, denominator: Column) -> Column:
 
 
 def with_total(df: DataFrame, column: str, name: str) -> DataFrame:
-    """Add the sum of a column over all rows; the total is one row, joined on a constant."""
-    total = df.agg(F.sum(column).alias(name)).withColumn("_one", F.lit(1))
-    return df.withColumn("_one", F.lit(1)).join(total, "_one").drop("_one")
+    """Add the sum of a column over all rows, as a scalar subquery."""
+    return df.withColumn(name, df.agg(F.sum(column)).scalar())

@@ -251,24 +251,21 @@ def health_snapshot(
 ) -> DataFrame:
     """One JSON document: staged rows, events per second over the last minute, heartbeat lag.
 
-    Each input is reduced to one row before the three rows are put side by side.
+    Each figure is an aggregate of its own input, read as a scalar subquery.
     """
     now = timefn.resolve_as_of(as_of)
     at = timefn.ts(now)
     recent = timefn.since(values, now - dt.timedelta(minutes=1))
-    lag = F.coalesce(
-        (F.unix_micros(at) - F.unix_micros(F.max("timestamp"))) / F.lit(1000), F.lit(-1.0)
-    )
-    parts = [
-        staging.agg(F.count("*").alias("staging_rows")),
-        recent.agg(F.floor(F.count("*") / F.lit(60)).cast("long").alias("recent_throughput_per_sec")),
-        beats.where(F.col("source") == source).agg(lag.alias("replica_lag_ms")),
-    ]
-    one, two, three = [p.withColumn("_one", F.lit(1)) for p in parts]
-    row = one.join(two, "_one").join(three, "_one")
+    newest = F.max(F.unix_micros("timestamp"))
+    lag = F.coalesce((F.unix_micros(at) - newest) / F.lit(1000), F.lit(-1.0))
+    figures = {
+        "staging_rows": staging.agg(F.count("*")),
+        "recent_throughput_per_sec": recent.agg(F.floor(F.count("*") / F.lit(60)).cast("long")),
+        "replica_lag_ms": beats.where(F.col("source") == source).agg(lag),
+    }
     stamp = F.date_format(at, "yyyy-MM-dd HH:mm:ss").alias("timestamp")
-    names = ["staging_rows", "recent_throughput_per_sec", "replica_lag_ms"]
-    return row.select(F.to_json(F.struct(stamp, *names)).alias("health"))
+    row = F.struct(stamp, *[df.scalar().alias(name) for name, df in figures.items()])
+    return staging.sparkSession.range(1).select(F.to_json(row).alias("health"))
 
 
 # --- metrics and alarms --------------------------------------------------------------------------------

@@ -535,8 +535,8 @@ def _accesses(m):
         F.max(F.length("value")).alias("bytes_per_entity"),
         F.count_distinct("value").alias("distinct_values"),
     )
-    total = per.agg((F.sum("queries") / 4).cast("long").alias("total_queries")).withColumn("_j", F.lit(1))
-    return per.withColumn("_j", F.lit(1)).join(total, "_j").drop("_j")
+    total = per.agg((F.sum("queries") / 4).cast("long")).scalar()
+    return per.withColumn("total_queries", total)
 
 
 query(
