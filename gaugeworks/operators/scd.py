@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from gaugeworks import schemas
 from gaugeworks.functions import timefn
-from gaugeworks.functions.relations import latest_by, previous_in_slices
+from gaugeworks.functions.relations import asof_backward, latest_by, previous_in_slices
 
 
 def _end_of_time() -> Column:
@@ -95,11 +95,25 @@ def scd2_asof(
     at: str,
     take: Sequence[str],
     how: str = "inner",
+    *,
+    few_versions: bool = True,
+    slice_unit: str = "hour",
 ) -> DataFrame:
     """Attach the dimension version valid at the fact's own time (from inclusive, to exclusive).
 
     Versions never overlap, so a fact meets at most one of them and no row is repeated.
+
+    A dimension whose keys have few versions is looked up by key with the validity as a residual; this
+    also works on a stream. With ``few_versions=False`` facts and versions are merged in time order
+    instead: the work is linear even when one key has very many facts and very many versions.
     """
+    if not few_versions:
+        starts = dim.select(*on, F.col("valid_from").alias(at), *take, "valid_to")
+        found = asof_backward(facts, starts, on, at, [*take, "valid_to"], slice_unit)
+        valid = F.col(at) < F.col("valid_to")
+        if how == "inner":
+            return found.where(valid).drop("valid_to")
+        return found.withColumns({c: F.when(valid, F.col(c)) for c in take}).drop("valid_to")
     versions = dim.select(
         *[F.col(k).alias(f"_d_{k}") for k in on],
         *take,

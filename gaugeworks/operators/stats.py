@@ -64,10 +64,12 @@ def attribute_correlation(
     """Correlation and regression between attributes of one entity read within a time band.
 
     Statistically this is a self join of readings less than ``band_seconds`` apart. No pair is ever
-    built: readings are summed per (entity, second), the sums of the partner attribute within the band
-    come from a range window over the seconds, and all coefficients follow from six sums. The work is
-    linear in the readings. A window group is one day of seconds of one entity, whatever the volume;
-    seconds near midnight are copied into the neighbouring day as partners only.
+    built. Readings are summed per (entity, second). The sums of the partner attribute within the band
+    are the difference of two running sums, at ``second + reach`` and at ``second - reach - 1``: each
+    second of the left attribute puts one probe at either point, with opposite signs, into the time
+    order of the partner's seconds. All coefficients follow from six totals over the probes. The work is
+    a sort, whatever the width of the band; a window group is one day of seconds of one entity, whatever
+    the volume. Seconds near midnight are copied into the neighbouring day as partners only.
 
     As in the original, the left reading must lie in the last days; the right one need not.
     """
@@ -85,7 +87,7 @@ def attribute_correlation(
     def sums(i: int, prefix: str, condition: Column) -> list[Column]:
         mine = condition & (F.col("attribute_name") == names[i])
         return [
-            F.count(F.when(mine, 1)).cast("double").alias(f"{prefix}n{i}"),
+            F.count(F.when(mine, 1)).alias(f"{prefix}n{i}"),
             F.coalesce(F.sum(F.when(mine, value)), F.lit(0.0)).alias(f"{prefix}s{i}"),
             F.coalesce(F.sum(F.when(mine, value * value)), F.lit(0.0)).alias(f"{prefix}q{i}"),
         ]
@@ -98,29 +100,54 @@ def attribute_correlation(
         *[c for j in rights for c in sums(j, "b", F.lit(True))],
     )
 
+    # One second becomes partner rows (sign 0) in every day it can reach, and two probes in its own day.
     day = lambda c: F.floor(c / F.lit(86400))
-    own = day(F.col("sec"))
-    copies = F.array_distinct(F.array(own, day(F.col("sec") - reach), day(F.col("sec") + reach)))
-    sliced = seconds.withColumn("own_day", own).withColumn("day", F.explode(copies))
-    in_band = (
-        Window.partitionBy("tenant_id", "entity_id", "day").orderBy("sec").rangeBetween(-reach, reach)
+    sec = F.col("sec")
+    partner_days = F.sequence(day(sec - reach), day(sec + reach))
+
+    def entry(in_day: Column, point: Column, sign: int) -> Column:
+        return F.struct(in_day.alias("day"), point.alias("point"), F.lit(sign).alias("sign"))
+
+    entries = F.concat(
+        F.transform(partner_days, lambda d: entry(d, sec, 0)),
+        F.array(entry(day(sec), sec + reach, 1), entry(day(sec), sec - reach - 1, -1)),
     )
-    is_own = F.col("day") == F.col("own_day")
-    banded = sliced.select(
-        *[F.when(is_own, F.col(c)).otherwise(F.lit(0.0)).alias(c) for c in left_columns],
-        *[F.sum(c).over(in_band).alias(c) for c in right_columns],
+    timeline = seconds.withColumn("e", F.explode(entries)).select(
+        "tenant_id", "entity_id", "e.*", *left_columns, *right_columns
     )
+    is_probe = F.col("sign") != 0
+    so_far = (
+        Window.partitionBy("tenant_id", "entity_id", "day")
+        .orderBy("point", is_probe)
+        .rowsBetween(Window.unboundedPreceding, 0)
+    )
+    probes = timeline.select(
+        "sign",
+        *left_columns,
+        *[
+            F.sum(F.when(is_probe, F.lit(0)).otherwise(F.col(c))).over(so_far).alias(c)
+            for c in right_columns
+        ],
+    ).where(is_probe)
+
+    def exact(c: str) -> Column:
+        return F.col(c).cast("decimal(19,0)")
 
     pairs = list(combinations(range(len(names)), 2))
-    totals = banded.agg(
+    totals = probes.agg(
+        *[
+            # The counts are subtracted exactly; as doubles they could lose their last digits.
+            F.sum(F.col("sign").cast("decimal(1,0)") * exact(f"an{i}") * exact(f"bn{j}")).alias(f"n_{i}_{j}")
+            for i, j in pairs
+        ],
         *[
-            F.sum(F.col(left) * F.col(right)).alias(f"{label}_{i}_{j}")
+            F.sum(F.col("sign") * F.col(left) * F.col(right)).alias(f"{label}_{i}_{j}")
             for i, j in pairs
             for label, left, right in (
-                ("n", f"an{i}", f"bn{j}"), ("x", f"as{i}", f"bn{j}"), ("y", f"an{i}", f"bs{j}"),
-                ("xy", f"as{i}", f"bs{j}"), ("xx", f"aq{i}", f"bn{j}"), ("yy", f"an{i}", f"bq{j}"),
+                ("x", f"as{i}", f"bn{j}"), ("y", f"an{i}", f"bs{j}"), ("xy", f"as{i}", f"bs{j}"),
+                ("xx", f"aq{i}", f"bn{j}"), ("yy", f"an{i}", f"bq{j}"),
             )
-        ]
+        ],
     )
     listed = totals.select(
         F.explode(
@@ -129,7 +156,11 @@ def attribute_correlation(
                     F.struct(
                         F.lit(names[i]).alias("attr1_name"),
                         F.lit(names[j]).alias("attr2_name"),
-                        *[F.col(f"{s}_{i}_{j}").alias(s) for s in ("n", "x", "y", "xy", "xx", "yy")],
+                        F.col(f"n_{i}_{j}").cast("long").alias("pair_count"),
+                        *[
+                            F.col(f"{s}_{i}_{j}").cast("double").alias(s)
+                            for s in ("n", "x", "y", "xy", "xx", "yy")
+                        ],
                     )
                     for i, j in pairs
                 ]
@@ -142,11 +173,11 @@ def attribute_correlation(
     correlation = ratio(co, F.sqrt(var_x * var_y))
     slope = ratio(co, var_x)
     return (
-        listed.where(n > min_pairs)
+        listed.where(F.col("pair_count") > min_pairs)
         .select(
             "attr1_name",
             "attr2_name",
-            n.cast("long").alias("pair_count"),
+            F.col("pair_count"),
             correlation.alias("correlation"),
             (co / n).alias("covariance"),
             slope.alias("regression_slope"),

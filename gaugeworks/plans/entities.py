@@ -497,6 +497,7 @@ query(
         ["entity_id", "tenant_id"],
         "ingested_at",
         ["status"],
+        few_versions=False,  # the status changes with almost every event
     ).drop("tenant_id")
 )
 

@@ -355,8 +355,11 @@ def test_scd2_merge_and_lookup(table):
         "1, timestamp'2023-12-31'", "1, timestamp'2024-01-02'", "1, timestamp'2024-01-05'", "1, timestamp'2024-01-09'",
         names="k, t",
     )
-    found = scd.scd2_asof(facts, merged, ["k"], "t", ["s"], "left")
-    assert [r[1] for r in sorted(rows(found, "t", "s"))] == [None, "a", "x", "x"]
+    for few in (True, False):
+        found = scd.scd2_asof(facts, merged, ["k"], "t", ["s"], "left", few_versions=few)
+        assert [r[1] for r in sorted(rows(found, "t", "s"))] == [None, "a", "x", "x"]
+        inner = scd.scd2_asof(facts, merged, ["k"], "t", ["s"], few_versions=few)
+        assert inner.count() == 3
 
 
 def test_scd2_history_never_overlaps(spark):
