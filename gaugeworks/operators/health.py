@@ -14,12 +14,12 @@ from gaugeworks.functions.relations import exact_mean, previous_in_slices, ratio
 def status_gaps(status: DataFrame, slice_unit: str = "hour") -> DataFrame:
     """Status events with the previous event of their entity (``prev_status``, ``prev_timestamp``).
 
-    The first event of an entity has no predecessor and is dropped. The lag runs in time slices, so an
+    ``status`` has tenant_id, entity_id, status, ingested_at; an entity is known by tenant and id. The first event of an entity has no predecessor and is dropped. The lag runs in time slices, so an
     entity with any number of events is spread over many tasks.
     """
     lagged = previous_in_slices(
         status,
-        ["entity_id"],
+        ["tenant_id", "entity_id"],
         ["ingested_at", "status"],
         ["status", "ingested_at"],
         F.date_trunc(slice_unit, "ingested_at"),
@@ -46,15 +46,16 @@ def entity_uptime(
     if tenant_id is not None:
         rows = rows.where(F.col("tenant_id") == F.lit(tenant_id))
     status = rows.select(
-        "entity_id", "tenant_name", "entity_type", F.col("value").alias("status"), "ingested_at"
-    )
+        "tenant_id", "entity_id", "tenant_name", "entity_type", F.col("value").alias("status"),
+        "ingested_at",
+    )
     seconds = timefn.datediff_boundary("second", F.col("prev_timestamp"), F.col("ingested_at"))
     gaps = status_gaps(status, slice_unit).withColumn("seconds", seconds)
 
     def spent(name: str) -> Column:
         return F.sum(F.when(F.col("status") == name, F.col("seconds")).otherwise(F.lit(0)))
 
-    totals = gaps.groupBy("entity_id", "tenant_name", "entity_type").agg(
+    totals = gaps.groupBy("tenant_id", "entity_id", "tenant_name", "entity_type").agg(
         spent("online").alias("online_seconds"),
         spent("offline").alias("offline_seconds"),
         spent("warning").alias("warning_seconds"),
