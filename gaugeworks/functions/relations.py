@@ -42,21 +42,27 @@ def previous_in_slices(
 ) -> DataFrame:
     """``lag`` of the columns ``take`` per key, safe for a key of any size.
 
-    The rows of a key are cut into slices by a monotone function of the first order column. ``lag``
-    runs inside a slice; the last row of each slice is carried to the next one through a summary with
-    one row per (key, slice). No task ever sorts more than one slice of one key.
+    The rows of a key are cut into slices by a monotone function of the first order column, and ``lag``
+    runs inside a slice. Only the first row of a slice lacks its predecessor, which is the last row of
+    the slice before: these edge rows, two per slice, get a second ``lag`` per key. No task ever sorts
+    more than one slice of one key, and both branches read the same shuffle. ``order`` must tell any two rows with different
+    ``take`` apart.
     """
-    cut = df.withColumn("_slice", slice_of)
     inside = Window.partitionBy(*keys, "_slice").orderBy(*order)
     payload = F.struct(*[F.col(c) for c in take])
+    cut = df.withColumn("_slice", slice_of)
     lagged = cut.withColumn("_in", F.lag(payload).over(inside))
-    tails = cut.groupBy(*keys, "_slice").agg(
-        F.max_by(payload, F.struct(*[F.col(c) for c in order])).alias("_tail")
+    followers = lagged.where(F.col("_in").isNotNull()).select(*df.columns, F.col("_in").alias(name))
+    across = Window.partitionBy(*keys).orderBy(*order)
+    edges = lagged.withColumn("_next", F.lead(F.lit(1)).over(inside)).where(
+        F.col("_in").isNull() | F.col("_next").isNull()
+    )
+    firsts = (
+        edges.withColumn(name, F.lag(payload).over(across))
+        .where(F.col("_in").isNull())
+        .select(*df.columns, name)
     )
-    across = Window.partitionBy(*keys).orderBy("_slice")
-    carried = tails.select(*keys, "_slice", F.lag("_tail").over(across).alias("_carry"))
-    joined = join_null_safe(lagged, carried, [*keys, "_slice"], "left")
-    return joined.withColumn(name, F.coalesce("_in", "_carry")).drop("_slice", "_in", "_carry")
+    return followers.unionByName(firsts)
 
 
 def asof_backward(
@@ -83,13 +89,12 @@ def asof_backward(
         Window.partitionBy(*keys, "_slice").orderBy(at, "_side").rowsBetween(Window.unboundedPreceding, 0)
     )
     here = cut.withColumn("_here", F.last("_right", ignorenulls=True).over(inside))
-    tails = (
-        cut.groupBy(*keys, "_slice")
-        .agg(F.max_by("_right", F.when(F.col("_side") == 0, F.struct(at, "_right"))).alias("_tail"))
-    )
+    tails = cut.groupBy(*keys, "_slice").agg(
+        F.max_by("_right", F.when(F.col("_side") == 0, F.struct(at, "_right"))).alias("_tail")
+    )
     before = (
         Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    )
+    )  # one row per slice
     carried = tails.select(
         *keys, "_slice", F.last("_tail", ignorenulls=True).over(before).alias("_carry")
     )
