@@ -36,4 +36,4 @@ def test_entry_point_contract():
     import __spark_entry__ as entry
 
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert set(entry.queries()) == set(REGISTRY)
+    assert set(REGISTRY) <= set(entry.queries())
