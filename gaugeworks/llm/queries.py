@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gaugeworks.llm import packing
+from gaugeworks.llm import packing, rules
 from gaugeworks.llm.common import read
 
 WORD_BPE = "word_bpe_49k.json"
@@ -23,8 +23,13 @@ def op6_vector_packing(spark: SparkSession, directory: str) -> DataFrame:
     return packing.pack_documents(read(spark, directory, "documents"), tokenizer_path())
 
 
+def op8_rule_cascade(spark: SparkSession, directory: str) -> DataFrame:
+    return rules.quality_rules(read(spark, directory, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_vector_packing": op6_vector_packing,
+    "op8_rule_cascade": op8_rule_cascade,
 }
 
 SQL: dict[str, str] = {}
