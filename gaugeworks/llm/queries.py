@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gaugeworks.llm import packing, rules, shards
+from gaugeworks.llm import packing, quality, rules, shards
 from gaugeworks.llm.common import read
 
 WORD_BPE = "word_bpe_49k.json"
@@ -19,6 +19,10 @@ def tokenizer_path(name: str = WORD_BPE) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_additive_quality(spark: SparkSession, directory: str) -> DataFrame:
+    return quality.quality_scores(read(spark, directory, "documents"), read(spark, directory, "labels"))
+
+
 def op3_best_fit_shards(spark: SparkSession, directory: str) -> DataFrame:
     return shards.shard_documents(read(spark, directory, "documents"), shards=24)
 
@@ -32,6 +36,7 @@ def op8_rule_cascade(spark: SparkSession, directory: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_additive_quality": op2_additive_quality,
     "op3_best_fit_shards": op3_best_fit_shards,
     "op6_vector_packing": op6_vector_packing,
     "op8_rule_cascade": op8_rule_cascade,
