@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 
 from gaugeworks.llm.common import held_out, slim
 
-POSITIVE_ROWS = 10_000  # most confirmed toxic rows the model is fitted on
-UNLABELLED_ROWS = 20_000  # most unlabelled rows
+POSITIVE_ROWS = 6_000  # most confirmed toxic rows the model is fitted on
+UNLABELLED_ROWS = 12_000  # most unlabelled rows
 THRESHOLD = 0.3
 BUCKETS = 1 << 22
 PREFIXES = (4, 5, 7)
@@ -130,7 +130,7 @@ def _voices(rows: list[np.ndarray]) -> np.ndarray:
     group of (near) copies counts about once."""
     if not rows:
         return np.zeros(0)
-    mixed = [(r * 0x9E3779B1) % (1 << 32) for r in rows]
+    mixed = [(r.astype(np.int64) * 0x9E3779B1) % (1 << 32) for r in rows]
     least = np.array([m.min() if len(m) else -1 for m in mixed], np.int64)
     _, group, size = np.unique(least, return_inverse=True, return_counts=True)
     return 1.0 / size[group]
@@ -267,18 +267,17 @@ def fit_toxicity(
 
     def measure(batches):
         for pdf in batches:
-            yield pd.DataFrame(
-                {"doc_id": pdf["doc_id"], "toxic": pdf["toxic"], "x": [buckets_of(t) for t in pdf["text"]]}
-            )
+            x = [buckets_of(t).astype("<i4").tobytes() for t in pdf["text"]]
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "toxic": pdf["toxic"], "x": x})
 
     rows = (
         slim(docs)
         .join(F.broadcast(picked), "doc_id")  # bounded by the row limits above
-        .mapInPandas(measure, "doc_id long, toxic int, x array<int>")
+        .mapInPandas(measure, "doc_id long, toxic int, x binary")
         .toPandas()
         .sort_values(["doc_id", "toxic"], kind="stable")
     )
-    x = [np.asarray(v, np.int64) for v in rows["x"]]
+    x = [np.frombuffer(v, "<i4") for v in rows["x"]]
     toxic = rows["toxic"].to_numpy()
     of = lambda kind: [x[i] for i in np.flatnonzero(toxic == kind)]
     positive, negative = of(1), of(0)
