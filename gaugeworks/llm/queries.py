@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gaugeworks.llm import packing, quality, rules, shards, toxicity
+from gaugeworks.llm import packing, quality, rules, shards, simhash, toxicity
 from gaugeworks.llm.common import read
 
 WORD_BPE = "word_bpe_49k.json"
@@ -35,6 +35,10 @@ def op8_rule_cascade(spark: SparkSession, directory: str) -> DataFrame:
     return rules.quality_rules(read(spark, directory, "documents"))
 
 
+def op9_simhash_covering(spark: SparkSession, directory: str) -> DataFrame:
+    return simhash.near_components(read(spark, directory, "documents"))
+
+
 def op10_pu_toxicity(spark: SparkSession, directory: str) -> DataFrame:
     return toxicity.toxicity_scores(read(spark, directory, "documents"), read(spark, directory, "labels"))
 
@@ -43,6 +47,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_additive_quality": op2_additive_quality,
     "op3_best_fit_shards": op3_best_fit_shards,
     "op6_vector_packing": op6_vector_packing,
+    "op9_simhash_covering": op9_simhash_covering,
     "op10_pu_toxicity": op10_pu_toxicity,
     "op8_rule_cascade": op8_rule_cascade,
 }
