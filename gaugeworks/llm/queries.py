@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gaugeworks.llm import packing, quality, rules, shards, simhash, toxicity
+from gaugeworks.llm import decontaminate, licenses, packing, quality, rules, shards, simhash, toxicity
 from gaugeworks.llm.common import read
 
 WORD_BPE = "word_bpe_49k.json"
@@ -19,6 +19,10 @@ def tokenizer_path(name: str = WORD_BPE) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_bm25_decontamination(spark: SparkSession, directory: str) -> DataFrame:
+    return decontaminate.contaminated(read(spark, directory, "documents"), read(spark, directory, "benchmark"))
+
+
 def op2_additive_quality(spark: SparkSession, directory: str) -> DataFrame:
     return quality.quality_scores(read(spark, directory, "documents"), read(spark, directory, "labels"))
 
@@ -27,6 +31,10 @@ def op3_best_fit_shards(spark: SparkSession, directory: str) -> DataFrame:
     return shards.shard_documents(read(spark, directory, "documents"), shards=24)
 
 
+def op4_license_join(spark: SparkSession, directory: str) -> DataFrame:
+    return licenses.scan_licenses(read(spark, directory, "documents"))
+
+
 def op6_vector_packing(spark: SparkSession, directory: str) -> DataFrame:
     return packing.pack_documents(read(spark, directory, "documents"), tokenizer_path())
 
@@ -44,8 +52,10 @@ def op10_pu_toxicity(spark: SparkSession, directory: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_bm25_decontamination": op1_bm25_decontamination,
     "op2_additive_quality": op2_additive_quality,
     "op3_best_fit_shards": op3_best_fit_shards,
+    "op4_license_join": op4_license_join,
     "op6_vector_packing": op6_vector_packing,
     "op9_simhash_covering": op9_simhash_covering,
     "op10_pu_toxicity": op10_pu_toxicity,
