@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gaugeworks.llm import decontaminate, licenses, packing, quality, rules, shards, simhash, toxicity
+from gaugeworks.llm import anchors, decontaminate, licenses, packing, quality, rules, shards, simhash, toxicity
 from gaugeworks.llm.common import read
 
 WORD_BPE = "word_bpe_49k.json"
@@ -35,6 +35,10 @@ def op4_license_join(spark: SparkSession, directory: str) -> DataFrame:
     return licenses.scan_licenses(read(spark, directory, "documents"))
 
 
+def op5_block_anchors(spark: SparkSession, directory: str) -> DataFrame:
+    return anchors.repeated_words(read(spark, directory, "documents"))
+
+
 def op6_vector_packing(spark: SparkSession, directory: str) -> DataFrame:
     return packing.pack_documents(read(spark, directory, "documents"), tokenizer_path())
 
@@ -56,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_additive_quality": op2_additive_quality,
     "op3_best_fit_shards": op3_best_fit_shards,
     "op4_license_join": op4_license_join,
+    "op5_block_anchors": op5_block_anchors,
     "op6_vector_packing": op6_vector_packing,
     "op9_simhash_covering": op9_simhash_covering,
     "op10_pu_toxicity": op10_pu_toxicity,
