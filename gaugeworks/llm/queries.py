@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gaugeworks.llm import anchors, decontaminate, licenses, packing, quality, rules, shards, simhash, toxicity
+from gaugeworks.llm import anchors, decontaminate, licenses, packing, quality, rules, shards, simhash, suffixes, toxicity
 from gaugeworks.llm.common import read
 
 WORD_BPE = "word_bpe_49k.json"
@@ -43,6 +43,10 @@ def op6_vector_packing(spark: SparkSession, directory: str) -> DataFrame:
     return packing.pack_documents(read(spark, directory, "documents"), tokenizer_path())
 
 
+def op7_suffix_array(spark: SparkSession, directory: str) -> DataFrame:
+    return suffixes.repeated_bytes(read(spark, directory, "documents"))
+
+
 def op8_rule_cascade(spark: SparkSession, directory: str) -> DataFrame:
     return rules.quality_rules(read(spark, directory, "documents"))
 
@@ -64,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_vector_packing": op6_vector_packing,
     "op9_simhash_covering": op9_simhash_covering,
     "op10_pu_toxicity": op10_pu_toxicity,
+    "op7_suffix_array": op7_suffix_array,
     "op8_rule_cascade": op8_rule_cascade,
 }
 
