@@ -13,12 +13,13 @@ import hashlib
 import math
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeworks.llm import chunks as C
-from gaugeworks.llm.common import LAST_ID, body, stored
+from gaugeworks.llm.common import LAST_ID
 
 WINDOW = 13
 BUCKET_BYTES = 6 << 20  # text whose windows one bucket of a round takes
@@ -178,29 +179,36 @@ class Dedup:
             rows.append((None if i == LAST_ID else i, len(listed), len(listed) - len(kept), sha))
         return rows
 
-    def rewrite(self, chunk: C.Chunk, answers: dict) -> list[tuple]:
-        """(doc_id, text_hash, kept text) of documents that lose words; kept words are joined by one blank,
-        or by a line end where the text had one between them."""
+    def rewrite(self, chunk: C.Chunk, answers: dict) -> pa.RecordBatch:
+        """The chunk's whole rows with repeated words cut out. Kept words of a changed text are joined by one
+        blank, or by a line end where the text had one between them."""
         words, gone = self.covered(chunk, answers)
-        rows = []
-        for k, (i, text) in enumerate(zip(chunk.ids.tolist(), chunk.documents(), strict=True)):
+        rest = C.unpacked_rows(chunk.rest)
+        missing = rest.column(rest.schema.names.index("text")).to_pylist()
+        texts, changed = [], []
+        for k, text in enumerate(chunk.documents()):
             out = gone[words.first[k] : words.first[k] + words.counts[k]]
-            if not out.any():
-                continue
-            lines, at = [], 0
-            for line in text.split(b"\n"):
-                listed = line.split()
-                kept = [w for w, g in zip(listed, out[at : at + len(listed)].tolist(), strict=True) if not g]
-                at += len(listed)
-                if kept:
-                    lines.append(b" ".join(kept))
-            kept = b"\n".join(lines).decode("utf-8", "surrogatepass")
-            rows.append((None if i == LAST_ID else i, hashlib.sha256(text).hexdigest(), kept))
-        return rows
-
-
-def _solved(docs: DataFrame, window: int) -> tuple[Dedup, DataFrame]:
-    chunks = C.chunked(docs)
+            changed.append(bool(out.any()))
+            if changed[-1]:
+                lines, at = [], 0
+                for line in text.split(b"\n"):
+                    n = len(line.split())
+                    kept = [w for w, g in zip(line.split(), out[at : at + n].tolist(), strict=True) if not g]
+                    at += n
+                    if kept:
+                        lines.append(b" ".join(kept))
+                text = b"\n".join(lines)
+            texts.append(None if missing[k] else text.decode("utf-8", "surrogatepass"))
+        columns = dict(zip(rest.schema.names, rest.columns, strict=True)) | {"text": pa.array(texts, pa.string())}
+        if "n_chars" in columns and pa.types.is_integer(columns["n_chars"].type):
+            old = columns["n_chars"].to_pylist()
+            n = [len(t) if c and t is not None else o for t, c, o in zip(texts, changed, old, strict=True)]
+            columns["n_chars"] = pa.array(n, columns["n_chars"].type)
+        return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+
+def _solved(docs: DataFrame, window: int, whole_rows: bool = False) -> tuple[Dedup, DataFrame]:
+    chunks = C.chunked(docs, whole_rows=whole_rows)
     n_bytes = chunks.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
     dedup = Dedup(window, n_bytes)
     hits = C.ask(chunks, 1, dedup.probe, Dedup.hit, "anchor-hits")
@@ -220,27 +228,9 @@ def repeated_words(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
 
 def drop_repeated_words(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The documents, all columns, with repeated words cut out of ``text``; the n_chars column, where there is
-    one, follows. Documents that lose nothing keep their text as it is, also those left without any word."""
-    dedup, chunks = _solved(docs, window)
-    changed = stored(
-        C.finish(chunks, "doc_id long, text_sha string, kept string", dedup.rewrite)
-        .groupBy("doc_id", "text_sha")
-        .agg(F.any_value("kept").alias("_kept")),
-        "anchor-texts",
-    ).select(F.col("doc_id").alias("_doc"), F.col("text_sha").alias("_sha"), "_kept")
-    columns = [F.col(f"_row.`{c}`").alias(c) for c in docs.columns if c not in ("text", "n_chars")]
-    marked = docs.select(
-        F.struct(*[f"`{c}`" for c in docs.columns]).alias("_row"),
-        F.col("doc_id").cast("long").alias("_id"),
-        F.sha2(body(docs), 256).alias("_own"),
-    )
-    joined = marked.join(changed, F.col("_id").eqNullSafe(F.col("_doc")) & (F.col("_own") == F.col("_sha")), "left")
-    text = F.coalesce("_kept", F.col("_row.text"))
-    fresh = {"text": text.alias("text")}
-    if "n_chars" in docs.columns:
-        fresh["n_chars"] = F.when(F.col("_kept").isNull(), F.col("_row.n_chars")).otherwise(
-            F.length("_kept").cast(docs.schema["n_chars"].dataType)
-        ).alias("n_chars")
-    rest = {c: column for c, column in zip([c for c in docs.columns if c not in ("text", "n_chars")], columns, strict=True)}
-    return joined.select(*[fresh.get(c, rest.get(c)) for c in docs.columns])
+    """The documents, all columns, with repeated words cut out of ``text``; an n_chars column follows.
+
+    Documents that lose nothing keep their text as it is; one that loses every word stays with an empty text.
+    """
+    dedup, chunks = _solved(docs, window, whole_rows=True)
+    return C.finish(chunks, docs.schema, dedup.rewrite)

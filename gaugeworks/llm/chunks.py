@@ -19,11 +19,11 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeworks.llm.common import LAST_ID, slim, stored
+from gaugeworks.llm.common import LAST_ID, body, slim, stored
 
 CHUNK_BYTES = 4 << 20
 
-CHUNK = "chunk_id long, n_bytes long, n_words long, data binary"
+CHUNK = "chunk_id long, n_bytes long, n_words long, data binary, rest binary"
 PACKET = "chunk_id long, bucket int, payload binary"
 ANSWER = "chunk_id long, round int, bucket int, answer binary, hits long"
 
@@ -62,8 +62,8 @@ def mixed(x: np.ndarray) -> np.ndarray:
 class Chunk:
     """Documents of a chunk: their ids (LAST_ID for a missing one), and the bytes of each."""
 
-    def __init__(self, chunk_id: int, data: bytes):
-        self.chunk_id = chunk_id
+    def __init__(self, chunk_id: int, data: bytes, rest: bytes | None = None):
+        self.chunk_id, self.rest = chunk_id, rest
         self.ids, ends, text = thaw(data)
         self.text = text.tobytes()
         self.ends = ends.astype(np.int64)
@@ -83,31 +83,51 @@ def _rows(rows: list[tuple], schema: str) -> pa.RecordBatch:
     )
 
 
-def chunked(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """Stored chunks of the documents. A document lies whole in one chunk; a larger one is a chunk by itself."""
+def chunked(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, whole_rows: bool = False) -> DataFrame:
+    """Stored chunks of the documents. A document lies whole in one chunk; a larger one is a chunk by itself.
 
-    def gather(batches):
-        ids, texts, size = [], [], 0
-
-        def row():
-            ends = np.cumsum([len(t) for t in texts], dtype=np.int64)
-            data = freeze(np.array(ids, np.int64), ends, np.frombuffer(b"".join(texts), np.uint8))
-            words = sum(len(t.split()) for t in texts)
-            return _rows([(uuid.uuid4().int >> 65, size, words, data)], CHUNK)
+    With ``whole_rows`` a chunk carries all columns of its documents (as one Arrow message), so that a last
+    pass can return them without a join.
+    """
+    own = slim(docs)
+    if whole_rows:
+        row = F.struct(*[f"`{c}`" for c in docs.columns])
+        own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), body(docs).alias("text"), row.alias("row"))
 
+    def gather(batches):
         for batch in batches:
-            for i, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                text = t.as_py().encode("utf-8", "surrogatepass")
-                if texts and size + len(text) > chunk_bytes:
-                    yield row()
-                    ids, texts, size = [], [], 0
-                ids.append(LAST_ID if i is None else i)
-                texts.append(text)
-                size += len(text)
-        if texts:
-            yield row()
-
-    return stored(slim(docs).mapInArrow(gather, CHUNK), "chunks")
+            ids = batch.column(0).to_pylist()
+            texts = [t.as_py().encode("utf-8", "surrogatepass") for t in batch.column(1)]
+            low, size = 0, 0
+            for k in range(len(texts) + 1):
+                full = k == len(texts) or (k > low and size + len(texts[k]) > chunk_bytes)
+                if full and k > low:
+                    part = texts[low:k]
+                    ends = np.cumsum([len(t) for t in part], dtype=np.int64)
+                    part_ids = np.array([LAST_ID if i is None else i for i in ids[low:k]], np.int64)
+                    data = freeze(part_ids, ends, np.frombuffer(b"".join(part), np.uint8))
+                    rest = packed_rows(batch.column(2).slice(low, k - low)) if whole_rows else None
+                    yield _rows([(uuid.uuid4().int >> 65, size, sum(len(t.split()) for t in part), data, rest)], CHUNK)
+                    low, size = k, 0
+                if k < len(texts):
+                    size += len(texts[k])
+
+    return stored(own.mapInArrow(gather, CHUNK), "chunks")
+
+
+def packed_rows(rows: pa.StructArray) -> bytes:
+    """The columns of whole rows but for ``text``, of which only the missing ones are told."""
+    fields = {f.name: rows.field(k) for k, f in enumerate(rows.type)}
+    fields["text"] = fields["text"].is_null() if "text" in fields else None
+    batch = pa.RecordBatch.from_arrays([v for v in fields.values()], names=list(fields))
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def unpacked_rows(data: bytes) -> pa.RecordBatch:
+    return pa.ipc.open_stream(data).read_next_batch()
 
 
 def bucket_slices(sorted_hashes: np.ndarray, bits: int, buckets: int) -> Iterator[tuple[int, slice]]:
@@ -123,10 +143,10 @@ def _chunks_of(batches) -> Iterator[tuple[Chunk, dict[tuple[int, int], bytes]]]:
     for batch in batches:
         names = batch.schema.names
         given = batch.column(names.index("answers")) if "answers" in names else None
-        ids, data = batch.column(names.index("chunk_id")), batch.column(names.index("data"))
+        ids, data, rest = (batch.column(names.index(n)) for n in ("chunk_id", "data", "rest"))
         for k in range(batch.num_rows):
             answers = (given[k].as_py() or []) if given is not None else []
-            yield Chunk(ids[k].as_py(), data[k].as_py()), {(a["round"], a["bucket"]): a["answer"] for a in answers}
+            yield Chunk(ids[k].as_py(), data[k].as_py(), rest[k].as_py()), {(a["round"], a["bucket"]): a["answer"] for a in answers}
 
 
 def answered(chunks: DataFrame, *answers: DataFrame) -> DataFrame:
@@ -135,7 +155,7 @@ def answered(chunks: DataFrame, *answers: DataFrame) -> DataFrame:
     for more in answers[1:]:
         every = every.unionByName(more)
     lists = every.groupBy("chunk_id").agg(F.collect_list(F.struct("round", "bucket", "answer")).alias("answers"))
-    return chunks.select("chunk_id", "data").join(lists, "chunk_id", "left")
+    return chunks.select("chunk_id", "data", "rest").join(lists, "chunk_id", "left")
 
 
 def ask(
@@ -168,11 +188,12 @@ def ask(
     return stored(chunks.mapInArrow(send, PACKET).groupBy("bucket").applyInPandas(meet, ANSWER), name)
 
 
-def finish(chunks: DataFrame, schema: str, work: Callable[[Chunk, dict], list[tuple]]) -> DataFrame:
-    """Rows that ``work`` makes of each answered chunk."""
+def finish(chunks: DataFrame, schema, work: Callable[[Chunk, dict], list[tuple] | pa.RecordBatch]) -> DataFrame:
+    """What ``work`` makes of each answered chunk: rows, or a whole record batch."""
 
     def run(batches):
         for chunk, answers in _chunks_of(batches):
-            yield _rows(work(chunk, answers), schema)
+            made = work(chunk, answers)
+            yield made if isinstance(made, pa.RecordBatch) else _rows(made, schema)
 
     return chunks.mapInArrow(run, schema)
