@@ -7,8 +7,8 @@ a second one sends, for each of those, the text around it (all windows it anchor
 
 A bucket sorts the suffixes that start in its windows, deep-shallow: multikey quicksort on eight-byte
 characters down to SHALLOW bytes, then blind tries for the groups that are still equal. Suffixes equal over
-LENGTH bytes come out side by side, and the smallest doc_id of each such run decides. Texts of an anchor that
-are equal as a whole are one text from the start, so copies cost one suffix.
+LENGTH bytes come out side by side, and the smallest doc_id of each such run decides. Pieces of an anchor that
+are equal as a whole are one piece from the start, so copies cost no sorting.
 """
 
 from __future__ import annotations
@@ -28,11 +28,13 @@ LENGTH = 50
 GRAM = 16
 SHALLOW = 32
 ANCHOR_BUCKET_BYTES = 24 << 20  # text whose anchors one bucket of the first round takes
-CONTEXTS_PER_BUCKET = 40_000
+PIECES_PER_BUCKET = 15_000
+CHUNK_BYTES = 2 << 20
 
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _BYTE = C.mixed(np.arange(1, 257, dtype=np.uint64))
+_WEIGHT = {1 << k: C.mixed(np.array([k + 1], np.uint64))[0] | np.uint64(1) for k in range(8)}
 
 
 # Sorting ---------------------------------------------------------------------------------------------
@@ -169,54 +171,43 @@ def _sliding(x: np.ndarray, size: int, of) -> np.ndarray:
     return of(span[: len(span) - rest], span[rest:]) if rest else span
 
 
-class _Anchors:
-    """Anchors of a chunk: place, hash, document, and the range of window starts each one anchors."""
+class _Pieces:
+    """Runs of windows with one anchor: start, number of windows, anchor, document; and the GRAM-byte hashes."""
 
     def __init__(self, chunk: C.Chunk, length: int, gram: int):
-        text = np.frombuffer(chunk.text, np.uint8)
-        parts, whole = [], length - gram + 1
-        for d, (s, e) in enumerate(zip(chunk.starts.tolist(), chunk.ends.tolist(), strict=True)):
-            if e - s >= length:
-                parts.append((d, s, e))
-        self.place, self.first, self.last, self.doc, self.hash = (np.zeros(0, np.int64) for _ in range(5))
-        self.hash = self.hash.astype(np.uint64)
-        if not parts:
+        text, whole = np.frombuffer(chunk.text, np.uint8), length - gram + 1
+        self.start, self.windows, self.doc = (np.zeros(0, np.int64) for _ in range(3))
+        self.anchor = self.grams = np.zeros(0, np.uint64)
+        if len(text) < length:
             return
-        h = _BYTE[text]
-        have = 1
+        h, have = _BYTE[text], 1
         while have < gram:  # gram is a power of two
-            h = h[:-have] * C.mixed(np.array([have], np.uint64))[0] + h[have:]
+            h = h[:-have] * _WEIGHT[have] + h[have:]
             have *= 2
-        h = C.mixed(h)
-        place, first, last, doc = [], [], [], []
-        for d, s, e in parts:
-            own = h[s : e - gram + 1]
-            least = _sliding(own, whole, np.minimum)  # of each window
-            pad = np.concatenate([np.zeros(whole - 1, np.uint64), least, np.zeros(whole - 1, np.uint64)])
-            chosen = np.flatnonzero(_sliding(pad, whole, np.maximum) == own)
-            # Windows an anchor holds: from the last start with another least value before it, to the next after it.
-            change = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
-            run = np.searchsorted(change, np.arange(len(least)), side="right") - 1
-            ends = np.concatenate([change[1:], [len(least)]])
-            lo, hi = np.maximum(chosen - whole + 1, 0), np.minimum(chosen, len(least) - 1)
-            # A start in [lo, hi] whose least value is the anchor's: such starts are one run of equal values.
-            value = own[chosen]
-            a = np.where(least[lo] == value, lo, np.minimum(ends[run[lo]], hi))
-            b = np.where(least[hi] == value, hi, np.maximum(change[run[hi]] - 1, lo))
-            odd = np.flatnonzero((least[a] != value) | (least[b] != value))
-            for k in odd.tolist():
-                inside = np.flatnonzero(least[lo[k] : hi[k] + 1] == value[k]) + lo[k]
-                a[k], b[k] = inside[0], inside[-1]
-            place.append(chosen + s)
-            first.append(a + s)
-            last.append(b + s)
-            doc.append(np.full(len(chosen), d))
-        self.place, self.first, self.last, self.doc = (np.concatenate(x) for x in (place, first, last, doc))
-        self.hash = h[self.place]
+        self.grams = h = C.mixed(h) | np.uint64(1)
+        least = _sliding(h, whole, np.minimum)
+        for end in chunk.ends[:-1].tolist():  # windows that leave their document
+            least[max(0, end - length + 1) : end] = 0
+        start = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
+        size = np.diff([*start, len(least)])
+        good = least[start] > 0
+        self.start, self.windows, self.anchor = start[good], size[good], least[start[good]]
+        self.doc = np.searchsorted(chunk.ends, self.start, side="right")
+
+    def prints(self, rows: np.ndarray, length: int, gram: int) -> np.ndarray:
+        """A hash of the whole text of pieces, from the hashes of the strings that tile it."""
+        start, last = self.start[rows], self.start[rows] + self.windows[rows] - 1 + length - gram
+        out = C.mixed(self.windows[rows].astype(np.uint64))
+        at, k = np.arange(len(rows)), 0
+        while len(at):
+            out[at] = C.mixed(out[at] * _STEP + self.grams[np.minimum(start[at] + k, last[at])])
+            at = at[start[at] + k < last[at]]
+            k += gram
+        return out
 
 
 class Dedup:
-    """The passes over a chunk."""
+    """The passes over a chunk, for one length and corpus size."""
 
     def __init__(self, length: int, n_bytes: int, gram: int = GRAM, shallow: int = SHALLOW):
         self.length, self.gram, self.shallow = length, gram, shallow
@@ -224,17 +215,16 @@ class Dedup:
         self.bits = min(64, math.ceil(math.log2(max(2, n_bytes / 8))) + 8)
         self.text_buckets = 1
 
-    def _distinct(self, anchors: _Anchors):
-        cut = anchors.hash >> np.uint64(64 - self.bits)
-        return np.unique(cut, return_inverse=True)
+    def _distinct(self, pieces: _Pieces):
+        return np.unique(pieces.anchor >> np.uint64(64 - self.bits), return_inverse=True)
 
     def anchors(self, chunk: C.Chunk, _):
-        anchors = _Anchors(chunk, self.length, self.gram)
-        distinct, index = self._distinct(anchors)
+        pieces = _Pieces(chunk, self.length, self.gram)
+        distinct, index = self._distinct(pieces)
         low = np.full(len(distinct), len(chunk.ids), np.int64)
         high = np.full(len(distinct), -1, np.int64)
-        np.minimum.at(low, index, anchors.doc)
-        np.maximum.at(high, index, anchors.doc)
+        np.minimum.at(low, index, pieces.doc)
+        np.maximum.at(high, index, pieces.doc)
         several = (low < high).astype(np.uint8)
         for bucket, part in C.bucket_slices(distinct, self.bits, self.buckets):
             yield bucket, C.freeze(np.diff(distinct[part], prepend=np.uint64(0)), several[part])
@@ -251,59 +241,49 @@ class Dedup:
         cut = np.split(good[index], np.cumsum([len(s) for _, s in parts])[:-1])
         return [(C.freeze(np.packbits(c)), int(c.sum())) for c in cut]
 
-    def _contexts(self, chunk: C.Chunk, answers: dict):
-        """Anchors in several documents, and their distinct texts in order of the hash: (hash, place of the
-        anchor in it, windows, text, smallest doc_id), with each anchor's index."""
-        anchors = _Anchors(chunk, self.length, self.gram)
-        distinct, index = self._distinct(anchors)
+    def _shared_pieces(self, chunk: C.Chunk, answers: dict):
+        """Pieces whose anchor stands in several documents, in order of the anchor; the group of equal pieces
+        each belongs to, the first one of each group, and the smallest doc_id of each group."""
+        pieces = _Pieces(chunk, self.length, self.gram)
+        distinct, index = self._distinct(pieces)
         hit = np.zeros(len(distinct), bool)
         for bucket, part in C.bucket_slices(distinct, self.bits, self.buckets):
             bits = C.thaw(answers[(1, bucket)])[0]
             hit[part] = np.unpackbits(bits, count=part.stop - part.start).astype(bool)
         chosen = np.flatnonzero(hit[index])
-        chosen = chosen[np.argsort(anchors.hash[chosen], kind="stable")]
-        seen: dict[tuple, int] = {}
-        at = np.empty(len(chosen), np.int64)
-        found = []
-        columns = (anchors.hash, anchors.place, anchors.first, anchors.last, anchors.doc)
-        ids = chunk.ids.tolist()
-        for k, (h, p, a, b, d) in enumerate(zip(*[c[chosen].tolist() for c in columns], strict=True)):
-            key = (h, p - a, chunk.text[a : b + self.length])
-            i = seen.get(key)
-            if i is None:
-                i = seen[key] = len(found)
-                found.append([h, p - a, b - a + 1, key[2], ids[d]])
-            elif ids[d] < found[i][4]:
-                found[i][4] = ids[d]
-            at[k] = i
-        return anchors, chosen, at, found
+        prints = pieces.prints(chosen, self.length, self.gram)
+        order = np.lexsort((prints, pieces.anchor[chosen]))
+        chosen, prints = chosen[order], prints[order]
+        if not len(chosen):
+            return pieces, chosen, chosen, chosen, chosen
+        anchor = pieces.anchor[chosen]
+        new = np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (prints[1:] != prints[:-1])])
+        first = np.flatnonzero(new)
+        least = np.minimum.reduceat(chunk.ids[pieces.doc[chosen]], first)
+        return pieces, chosen, np.cumsum(new) - 1, chosen[first], least
 
     def send_texts(self, chunk: C.Chunk, answers: dict):
-        _, _, _, found = self._contexts(chunk, answers)
-        if not found:
+        pieces, _, _, rows, least = self._shared_pieces(chunk, answers)
+        if not len(rows):
             return
-        hashes = np.array([f[0] for f in found], np.uint64)
-        for bucket, part in C.bucket_slices(hashes, 64, self.text_buckets):
-            own = found[part]
-            yield bucket, C.freeze(
-                hashes[part],
-                np.array([f[1] for f in own], np.uint16),
-                np.array([f[2] for f in own], np.uint16),
-                np.array([f[4] for f in own], np.int64),
-                np.frombuffer(b"".join([f[3] for f in own]), np.uint8),
-            )
+        anchor, windows = pieces.anchor[rows], pieces.windows[rows]
+        start, end = pieces.start[rows].tolist(), (pieces.start[rows] + windows + self.length - 1).tolist()
+        for bucket, part in C.bucket_slices(anchor, 64, self.text_buckets):
+            texts = [chunk.text[a:b] for a, b in zip(start[part], end[part], strict=True)]
+            blob = np.frombuffer(b"".join(texts), np.uint8)
+            yield bucket, C.freeze(anchor[part], windows[part].astype(np.uint32), least[part], blob)
 
     def sort_texts(self, payloads: list[bytes]) -> list[tuple[bytes, int]]:
         """Per text a bit set: which of its windows start in a document before the text's smallest one."""
         parts = [C.thaw(p) for p in payloads]
-        hashes, lead, windows, least = (np.concatenate([p[k] for p in parts]) for k in range(4))
-        blob = np.concatenate([p[4] for p in parts]).tobytes()
+        hashes, windows, least = (np.concatenate([p[k] for p in parts]) for k in range(3))
+        blob = np.concatenate([p[3] for p in parts]).tobytes()
         windows = windows.astype(np.int64)
         size = windows + self.length - 1
         begin = np.concatenate([[0], np.cumsum(size)[:-1]]).astype(np.int64)
         ids: dict[tuple, int] = {}
-        rows = zip(hashes.tolist(), lead.tolist(), begin.tolist(), (begin + size).tolist(), strict=True)
-        index = np.array([ids.setdefault((h, x, blob[s:e]), len(ids)) for h, x, s, e in rows], np.int64)
+        rows = zip(hashes.tolist(), begin.tolist(), (begin + size).tolist(), strict=True)
+        index = np.array([ids.setdefault((h, blob[s:e]), len(ids)) for h, s, e in rows], np.int64)
         n = len(ids)
         smallest = np.full(n, LAST_ID, np.int64)
         np.minimum.at(smallest, index, least)
@@ -324,10 +304,10 @@ class Dedup:
             first = np.flatnonzero(np.concatenate([[True], rank[1:] != rank[:-1]]))
             low = np.minimum.reduceat(owner, first)
             best[(np.repeat(base[several], reps) + inner)[order]] = low[rank]
-        # Windows of one text may be more than 64 in periodic text, so bits are written one after the other.
+        # A piece of periodic text may have any number of windows, so bits are written one after the other.
         where = np.repeat(base[index], windows) + _ramp(windows)
         bits = best[where] < np.repeat(least, windows)
-        cut, out, at = np.cumsum([int(p[2].astype(np.int64).sum()) for p in parts]), [], 0
+        cut, out, at = np.cumsum([int(p[1].astype(np.int64).sum()) for p in parts]), [], 0
         for end in cut.tolist():
             out.append((C.freeze(np.packbits(bits[at:end])), int(bits[at:end].sum())))
             at = end
@@ -335,24 +315,21 @@ class Dedup:
 
     def removed(self, chunk: C.Chunk, answers: dict) -> np.ndarray:
         """Which bytes of the chunk go."""
-        anchors, chosen, at, found = self._contexts(chunk, answers)
+        pieces, chosen, group, rows, least = self._shared_pieces(chunk, answers)
         edge = np.zeros(len(chunk.text) + 1, np.int32)
-        if found:
-            hashes = np.array([f[0] for f in found], np.uint64)
-            windows = np.array([f[2] for f in found], np.int64)
-            least = np.array([f[4] for f in found], np.int64)
+        if len(rows):
+            windows = pieces.windows[rows]
             base = np.cumsum(windows) - windows
             bits = np.zeros(int(windows.sum()), bool)
-            for bucket, part in C.bucket_slices(hashes, 64, self.text_buckets):
+            for bucket, part in C.bucket_slices(pieces.anchor[rows], 64, self.text_buckets):
                 lo, hi = int(base[part.start]), int(base[part.stop - 1] + windows[part.stop - 1])
                 bits[lo:hi] = np.unpackbits(C.thaw(answers[(2, bucket)])[0], count=hi - lo).astype(bool)
-            first = anchors.first[chosen]
-            n = windows[at]
-            gone = bits[np.repeat(base[at], n) + _ramp(n)]
-            gone |= np.repeat(least[at] < chunk.ids[anchors.doc[chosen]], n)
-            starts = (np.repeat(first, n) + _ramp(n))[gone]
-            np.add.at(edge, starts, 1)
-            np.add.at(edge, starts + self.length, -1)
+            n = pieces.windows[chosen]
+            gone = bits[np.repeat(base[group], n) + _ramp(n)]
+            gone |= np.repeat(least[group] < chunk.ids[pieces.doc[chosen]], n)
+            starts = (np.repeat(pieces.start[chosen], n) + _ramp(n))[gone]
+            edge += np.bincount(starts, minlength=len(edge)).astype(np.int32)
+            edge -= np.bincount(starts + self.length, minlength=len(edge)).astype(np.int32)
         return np.cumsum(edge[:-1]) > 0
 
     def digest(self, chunk: C.Chunk, answers: dict) -> list[tuple]:
@@ -384,11 +361,11 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     doc_id, judged on the input. Missing texts count as empty ones; a missing doc_id comes after all others;
     rows with one doc_id never remove each other's bytes. Texts shorter than ``length`` lose nothing.
     """
-    chunks = C.chunked(docs)
+    chunks = C.chunked(docs, CHUNK_BYTES)
     n_bytes = chunks.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
     dedup = Dedup(length, n_bytes)
     shared = C.ask(chunks, 1, dedup.anchors, Dedup.shared, "suffix-anchors")
     hits = shared.agg(F.coalesce(F.sum("hits"), F.lit(0))).first()[0]
-    dedup.text_buckets = max(1, hits // CONTEXTS_PER_BUCKET)
+    dedup.text_buckets = max(1, hits // PIECES_PER_BUCKET)
     earlier = C.ask(C.answered(chunks, shared), 2, dedup.send_texts, dedup.sort_texts, "suffix-order")
     return C.finish(C.answered(chunks, shared, earlier), RESULT, dedup.digest)
