@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from gaugeworks.llm.common import body, slim
 
+TELLING = 0.75  # share of an item's own score that its telling (long) words make
 THRESHOLD = 0.6  # share of an item's own score a passage must reach
 OVERLAP = 0.6  # share of the question's and of the answer's word runs that must be in the passage
 RUN = 5  # words of a run
@@ -66,7 +67,9 @@ class Index:
     def __init__(self, items, frequency: dict[bytes, int], n_items: int, mean_words: float, threshold: float):
         """items: (item_id, question, answer) rows; frequency: items of the whole table that hold a word."""
         self.threshold = threshold - 1e-9
-        self.items, postings, essential = [], {}, set()
+        self.items, postings = [], {}
+        self.telling: dict[bytes, list[tuple[int, float]]] = {}
+        self.least: list[float] = []
         for item_id, question, answer in items:
             q, a = words_of(question), words_of(answer)
             counts: dict[bytes, int] = {}
@@ -82,12 +85,14 @@ class Index:
                 for w, n in counts.items()
             }
             own, rest = sum(weight.values()), 1.0
-            for w, x in sorted(weight.items(), key=lambda v: (-v[1], v[0])):
+            # Long words are rare in any text. A passage at the threshold has at least so much of the score in
+            # the item's telling words, as the others cannot make up for more.
+            for w, x in sorted(weight.items(), key=lambda v: (-len(v[0]), -v[1], v[0])):
                 postings.setdefault(w, []).append((number, x / own))
-                if rest >= self.threshold:  # without this and the lighter words the threshold is out of reach
-                    essential.add(w)
-                rest -= x / own
-        self.essential = frozenset(essential)
+                if rest > 1.0 - TELLING:
+                    self.telling.setdefault(w, []).append((number, x / own))
+                    rest -= x / own
+            self.least.append(self.threshold - rest)
         self.lists = {}
         for w, found in postings.items():
             at, impact = [f[0] for f in found], [f[1] for f in found]
@@ -129,6 +134,14 @@ class Index:
             else:
                 self._advance(cursors, pivot, item)
 
+    def _admits(self, telling: set[bytes]) -> bool:
+        """Whether telling words are enough of some item for the search to be worth while."""
+        part: dict[int, float] = {}
+        for w in telling:
+            for item, impact in self.telling[w]:
+                part[item] = part.get(item, 0.0) + impact
+        return any(x >= self.least[item] for item, x in part.items())
+
     @staticmethod
     def _advance(cursors: list, pivot: int, item: int) -> None:
         """Move the cursors up to the pivot to the first posting at or after ``item``; drop ended ones."""
@@ -141,15 +154,18 @@ class Index:
     def matches(self, text: str, overlap: float = OVERLAP) -> dict[int, tuple[float, float, float]]:
         """Per item of which a passage of the text holds enough: (score, question overlap, answer overlap)."""
         words = words_of(text)
-        rare = self.essential.intersection(words)
-        if not rare:
+        telling = self.telling.keys() & set(words)
+        if not self._admits(telling):
             return {}
         step, best = self.step, {}
         last = max(0, (len(words) - step - 1) // step)
-        starts = set()
+        near: dict[int, set[bytes]] = {}
         for i, w in enumerate(words):
-            if w in rare:
-                starts.update((max(0, min(i // step, last)), max(0, min(i // step - 1, last))))
+            if w in telling:
+                at = min(i // step, last)
+                near.setdefault(at, set()).add(w)
+                near.setdefault(max(0, min(i // step - 1, last)), set()).add(w)
+        starts = [s for s, held in near.items() if self._admits(held)]
         for start in sorted(starts):
             passage = words[start * step : (start + 2) * step]
             for item, score in self.search(set(passage)):
