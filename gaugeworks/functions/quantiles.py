@@ -1,9 +1,9 @@
 """Exact order statistics for groups of any size.
 
 The built-in ``percentile`` holds all distinct values of a group in one buffer. Here a group is first
-reduced to (value, count) rows, which spread over the cluster by value. A group with many distinct
-values is then cut into buckets at approximate quantiles; the buckets only decide where to look, the
-result is read from exact cumulative counts.
+reduced to (value, count) rows, which spread over the cluster by value. Values fall into buckets of a
+fixed relative width, so the counts per bucket are a small histogram; it tells which buckets hold a wanted
+rank, and only their values are ordered. The same steps serve groups of all sizes.
 """
 
 from __future__ import annotations
@@ -15,8 +15,7 @@ from pyspark.sql import functions as F
 
 from gaugeworks.functions.relations import join_null_safe
 
-BUCKETS = 256  # cut points for a large group
-DIRECT_LIMIT = 200_000  # distinct values one task may order without cutting
+STEPS = 512  # buckets per doubling of a value
 
 
 def value_counts(
@@ -54,50 +53,35 @@ def _interpolate(
     )
 
 
-def percentiles_of_counts(
-    counts: DataFrame,
-    keys: Sequence[str],
-    probs: Mapping[str, float],
-    direct_limit: int = DIRECT_LIMIT,
-    buckets: int = BUCKETS,
-) -> DataFrame:
-    """Continuous percentiles (linear interpolation) from (keys, v, c) rows: keys + one column each.
+def bucket_of(v: Column) -> Column:
+    """Bucket number of a double, monotone in the value: STEPS per power of two, mirrored for negative ones.
 
-    Groups up to ``direct_limit`` distinct values are ordered directly, one group per task. The others
-    are cut at approximate quantiles, and only the buckets that hold a wanted rank are ordered.
+    The exponent may come out one too small next to a power of two; the sum is the same then.
     """
-    large = (
-        counts.groupBy(*keys)
-        .agg(F.count("*").alias("_distinct"), F.sum("c").alias("_n"))
-        .where(F.col("_distinct") > direct_limit)
-        .drop("_distinct")
-    )
-    whole = Window.partitionBy(*keys)
-    ordered = whole.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    direct = join_null_safe(counts, large, keys, "left_anti").select(
-        *keys, "v", "c", F.sum("c").over(ordered).alias("_end"), F.sum("c").over(whole).alias("_n")
-    )
-
-    shares = ", ".join(f"{i / buckets}D" for i in range(1, buckets))
-    big = join_null_safe(counts, large, keys)
-    cuts = big.groupBy(*keys).agg(
-        F.expr(f"percentile_approx(v, array({shares}), {buckets * 8})").alias("_cuts")
-    )
-    placed = join_null_safe(big, cuts, keys).select(
-        *keys, "v", "c", "_n", F.size(F.filter("_cuts", lambda x: x < F.col("v"))).alias("_bucket")
-    )
-    before = whole.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)  # a row per bucket
+    size = F.abs(v)
+    exponent = F.floor(F.log2(size))
+    step = F.floor(size * F.pow(F.lit(2.0), 9 - exponent))
+    number = (exponent + 1100) * STEPS + step
+    return F.when(v > 0, number).when(v < 0, -number).otherwise(F.lit(0)).cast("long")
+
+
+def percentiles_of_counts(counts: DataFrame, keys: Sequence[str], probs: Mapping[str, float]) -> DataFrame:
+    """Continuous percentiles (linear interpolation) from (keys, v, c) rows: keys + one column each."""
+    placed = counts.withColumn("_bucket", bucket_of(F.col("v")))
+    whole = Window.partitionBy(*keys)  # a row per bucket
+    before = whole.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     holds = " OR ".join(
         f"({near}((_n - 1) * {float(p)}D) BETWEEN _start AND _start + _size - 1)"
-        for p in set(probs.values())
+        for p in sorted(set(probs.values()))
         for near in ("floor", "ceil")
     )
     offsets = (
         placed.groupBy(*keys, "_bucket")
-        .agg(F.sum("c").alias("_size"), F.max("_n").alias("_n"))
+        .agg(F.sum("c").alias("_size"))
         .withColumn("_start", F.coalesce(F.sum("_size").over(before), F.lit(0)))
+        .withColumn("_n", F.sum("_size").over(whole))
         .where(holds)
-        .select(*keys, "_bucket", "_start")
+        .select(*keys, "_bucket", "_start", "_n")
     )
     running = (
         Window.partitionBy(*keys, "_bucket").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
@@ -105,7 +89,7 @@ def percentiles_of_counts(
     cut = join_null_safe(placed, offsets, [*keys, "_bucket"]).select(
         *keys, "v", "c", (F.col("_start") + F.sum("c").over(running)).alias("_end"), "_n"
     )
-    return _interpolate(direct, keys, probs).unionByName(_interpolate(cut, keys, probs))
+    return _interpolate(cut, keys, probs)
 
 
 def exact_percentiles(
@@ -114,10 +98,9 @@ def exact_percentiles(
     value: Column,
     probs: Mapping[str, float],
     weight: Column | None = None,
-    **limits: int,
 ) -> DataFrame:
     """Continuous percentiles of a column per group; ``weight`` repeats a value that many times."""
-    return percentiles_of_counts(value_counts(df, keys, value, weight), keys, probs, **limits)
+    return percentiles_of_counts(value_counts(df, keys, value, weight), keys, probs)
 
 
 def approx_percentiles(

@@ -11,12 +11,13 @@ from pyspark.sql import functions as F
 def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Newest row per key.
 
-    ``max_by`` over a struct combines on the map side, so a key that owns a large part of the rows
-    reaches the reducer as one row per task: no sort, no hot partition.
+    The largest struct of the order columns and then the others: one aggregate whose buffer is the row. It
+    combines before the shuffle, so a key that owns a large part of the rows reaches the reducer as one row
+    per task; as the buffer is a struct, Spark sorts each task's rows by key to aggregate them.
     """
     rest = [c for c in df.columns if c not in keys]
-    rank = F.struct(*[F.col(c) for c in order], *[F.col(c) for c in rest if c not in order])
-    picked = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), rank).alias("_row"))
+    row = F.struct(*order, *[c for c in rest if c not in order])
+    picked = df.groupBy(*keys).agg(F.max(row).alias("_row"))
     return picked.select(*keys, "_row.*").select(*df.columns)
 
 
@@ -86,7 +87,9 @@ def asof_backward(
     )
     cut = events.withColumn("_slice", F.date_trunc(slice_unit, at))
     inside = (
-        Window.partitionBy(*keys, "_slice").orderBy(at, "_side").rowsBetween(Window.unboundedPreceding, 0)
+        Window.partitionBy(*keys, "_slice")
+        .orderBy(at, "_side", "_right")  # of right rows with one time the largest counts, as in the tails
+        .rowsBetween(Window.unboundedPreceding, 0)
     )
     here = cut.withColumn("_here", F.last("_right", ignorenulls=True).over(inside))
     tails = cut.groupBy(*keys, "_slice").agg(

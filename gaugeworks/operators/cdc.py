@@ -13,25 +13,25 @@ from gaugeworks.functions.relations import previous_in_slices
 
 def newest_change(changes: DataFrame, key: Sequence[str]) -> DataFrame:
     """Last change per key by (ts_ms, lsn): combined on the map side, independent of arrival order."""
-    rest = [c for c in changes.columns if c not in key]
-    order = F.struct("ts_ms", "lsn", *[c for c in rest if c not in ("ts_ms", "lsn")])
-    return (
-        changes.groupBy(*key)
-        .agg(F.max_by(F.struct(*rest), order).alias("_row"))
-        .select(*key, "_row.*")
-    )
+    row = F.struct("ts_ms", "lsn", *[c for c in changes.columns if c not in (*key, "ts_ms", "lsn")])
+    newest = changes.groupBy(*key).agg(F.max(row).alias("_row")).select(*key, "_row.*")
+    return newest.select(*changes.columns)
 
 
 def apply_cdc(state: DataFrame, changes: DataFrame, key: Sequence[str]) -> DataFrame:
     """State after a batch of changes. ``changes`` has the state columns and op, ts_ms, lsn.
 
-    A state that carries ts_ms and lsn is protected against older changes that arrive late; keep deletes
-    as tombstones with ``fold_changes`` when the order across batches is not certain.
+    The state must carry ts_ms and lsn: a change older than what is stored is ignored, whenever it arrives.
+    A state with ``op`` keeps deleted keys as tombstones (read it with ``op <> 'd'``); without ``op`` a
+    deleted key leaves the state, and an older change that comes after its delete would bring it back.
     """
-    last = newest_change(changes, key)
-    untouched = state.join(last.select(*key), list(key), "left_anti")
-    written = last.where(F.col("op") != "d").select(*state.columns)
-    return untouched.unionByName(written)
+    missing = {"ts_ms", "lsn"} - set(state.columns)
+    if missing:
+        raise ValueError(f"the state has no {sorted(missing)}: late changes could not be told from new ones")
+    columns = state.columns
+    known = state if "op" in columns else state.withColumn("op", F.lit("r"))
+    folded = newest_change(known.unionByName(changes.select(*known.columns)), key)
+    return folded if "op" in columns else folded.where("op <> 'd'").select(*columns)
 
 
 def fold_changes(state: DataFrame, changes: DataFrame, key: Sequence[str]) -> DataFrame:

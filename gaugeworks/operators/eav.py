@@ -72,11 +72,15 @@ def _typed(value: Column, data_type: Column) -> dict[str, Column]:
 
 
 def type_values(readings: DataFrame, attributes: DataFrame) -> DataFrame:
-    """Put the text value into the column of its data type; the text stays in ``value``."""
+    """Put the text value into the column of its data type; the text stays in ``value``.
+
+    A typed value that the readings carry already is kept.
+    """
     catalog = attributes.select("attribute_id", "data_type")
+    typed = _typed(F.col("value"), F.col("data_type"))
     return (
         readings.join(catalog, "attribute_id")
-        .withColumns(_typed(F.col("value"), F.col("data_type")))
+        .withColumns({n: F.coalesce(n, c) if n in readings.columns else c for n, c in typed.items()})
         .select(*schemas.columns(schemas.STAGED_VALUES))
     )
 
@@ -169,10 +173,12 @@ def classify_hot_cold(
 
 
 def partition_skew(entities: DataFrame, n: int = 100) -> DataFrame:
-    """Rows and share per hash partition of the entity id."""
-    counted = entities.groupBy(
-        F.pmod(F.xxhash64("entity_id"), F.lit(n)).cast("long").alias("partition_no")
-    ).agg(F.count("*").alias("row_count"))
+    """Rows and share per hash partition of the entity id.
+
+    The hash is the first eight hex digits of the MD5 of the id, which any engine can repeat.
+    """
+    digest = F.conv(F.substring(F.md5(F.col("entity_id").cast("string")), 1, 8), 16, 10).cast("long")
+    counted = entities.groupBy(F.pmod(digest, F.lit(n)).alias("partition_no")).agg(F.count("*").alias("row_count"))
     return (
         with_total(counted, "row_count", "_all")
         .withColumn("percent", F.round(F.col("row_count") * 100.0 / F.col("_all"), 2))

@@ -14,14 +14,18 @@ KEY = ["entity_id", "tenant_id"]
 
 
 def _typed_value(data_type: Column, value: Column) -> Column:
-    """Text value as a JSON fragment of its own type."""
+    """Text value as a JSON fragment of its own type; numbers and booleans in one spelling, so that '+5',
+    '007' and '10.50' are 5, 7 and 10.5. A number without that form (or no number at all) stays text."""
     quoted = F.to_json(F.to_variant_object(F.struct(value.alias("v"))))
     as_text = F.regexp_extract(quoted, r'^\{"v":(.*)\}$', 1)
-    numeric = data_type.isin("integer", "decimal") & value.try_cast("decimal(38,10)").isNotNull()
+    number = value.try_cast("decimal(38,10)")
+    numeric = data_type.isin("integer", "decimal") & number.isNotNull()
+    plain = F.regexp_replace(number.cast("string"), r"\.?0+$", "")
+    truth = value.try_cast("boolean")
     return (
         F.when(value.isNull(), "null")
-        .when(numeric, value)
-        .when((data_type == "boolean") & value.try_cast("boolean").isNotNull(), F.lower(value))
+        .when(numeric, plain)
+        .when((data_type == "boolean") & truth.isNotNull(), truth.cast("string"))
         .when((data_type == "json") & F.try_parse_json(value).isNotNull(), value)
         .otherwise(as_text)
     )
@@ -64,14 +68,8 @@ def upsert_hot(state: DataFrame, deltas: DataFrame, *, as_of=None) -> DataFrame:
     """
     now = timefn.ts(timefn.resolve_as_of(as_of))
     exploded = deltas.select(
-        *KEY, "occurred_at", "delta", F.explode_outer(F.map_keys(jsonfn.as_typed_map(F.col("delta")))).alias("attribute_name"),
-    ).select(
-        *KEY, "attribute_name", "occurred_at",
-        F.when(
-            F.col("attribute_name").isNotNull(),
-            F.to_json(F.element_at(jsonfn.as_typed_map(F.col("delta")), F.col("attribute_name"))),
-        ).alias("fragment"),
-    )
+        *KEY, "occurred_at", F.explode_outer(jsonfn.as_typed_map(F.col("delta"))).alias("attribute_name", "_value")
+    ).select(*KEY, "attribute_name", "occurred_at", F.to_json("_value").alias("fragment"))
     newest = latest_by(exploded, [*KEY, "attribute_name"], ["occurred_at"])
     folded = newest.groupBy(*KEY).agg(
         jsonfn.object_agg(F.col("attribute_name"), F.col("fragment")).alias("_delta")
@@ -118,18 +116,25 @@ def backfill_hot(
 
 
 def divergence_report(values: DataFrame, attributes: DataFrame, state: DataFrame) -> DataFrame:
-    """Per hot attribute: entities whose stored value differs from history, and those missing."""
-    hot = attributes.where("is_hot").select("attribute_id", "attribute_name")
+    """Per hot attribute: entities whose stored value differs from history, and those missing.
+
+    Both sides are compared as the JSON fragments of the attribute's type that a store is built of.
+    """
+    hot = attributes.where("is_hot").select("attribute_id", "attribute_name", "data_type")
+    typed = values.select(*KEY, "attribute_id", "value", "ingested_at").join(hot, "attribute_id")
     newest = latest_by(
-        values.select(*KEY, "attribute_id", "value", "ingested_at").join(hot, "attribute_id"),
+        typed.select(
+            *KEY, "attribute_id", "attribute_name", "ingested_at",
+            F.to_json(F.try_parse_json(_typed_value(F.col("data_type"), F.col("value")))).alias("_history"),
+        ),
         [*KEY, "attribute_id", "attribute_name"],
         ["ingested_at"],
-    ).select(*KEY, "attribute_name", F.col("value").alias("_history"), F.lit(True).alias("_in_history"))
+    ).select(*KEY, "attribute_name", "_history", F.lit(True).alias("_in_history"))
     stored = (
         state.select(
-            *KEY,
-            F.explode(jsonfn.as_text_map(F.col("hot_attrs"))).alias("attribute_name", "_stored"),
+            *KEY, F.explode(jsonfn.as_typed_map(F.col("hot_attrs"))).alias("attribute_name", "_value")
         )
+        .select(*KEY, "attribute_name", F.to_json("_value").alias("_stored"))
         .join(hot.select("attribute_name"), "attribute_name")
         .withColumn("_in_store", F.lit(True))
     )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from gaugeworks.functions import timefn
 from gaugeworks.functions.quantiles import exact_percentiles
-from gaugeworks.functions.relations import join_null_safe, ratio
+from gaugeworks.functions.relations import join_null_safe, latest_by, ratio
 from gaugeworks.operators.health import status_gaps
 
 
@@ -56,17 +56,18 @@ def status_seconds_by_day(status: DataFrame, first: dt.datetime, last: dt.dateti
 
 
 def daily_entity_stats(
-    fact: DataFrame, status: DataFrame, *, as_of=None, days: int = 2, lookback_days: int = 7,
+    fact: DataFrame, status: DataFrame, entities: DataFrame, *, as_of=None, days: int = 2,
     names: Mapping[str, str] | None = None, error_category: str = "diagnostic",
 ) -> DataFrame:
     """Rows of the daily entity table for the last days (today and yesterday by default).
 
     The original leaves the body open; this is its definition here. Events: all readings of the day.
     Errors: readings of the diagnostic category. Temperature, cpu and memory: means of the named
-    attributes. Uptime: seconds of gaps that end in "online", cut at midnight; events up to
-    ``lookback_days`` before the first day are read so that its opening gap is known.
+    attributes. Uptime: seconds of gaps that end in "online", cut at midnight. A day has a row when the entity
+    has a reading or a part of a gap in it. Of the status history before the first day the last event of
+    each entity is kept, however old, so the opening gap is whole.
 
-    ``status`` has entity_id, tenant_id, status, ingested_at.
+    ``status`` has entity_id, tenant_id, status, ingested_at; ``entities`` entity_id, tenant_id, entity_type.
     """
     now = timefn.resolve_as_of(as_of)
     last = now.replace(hour=0, minute=0, second=0, microsecond=0) + dt.timedelta(days=1)
@@ -82,7 +83,7 @@ def daily_entity_stats(
     metrics = (
         timefn.since(fact, first, until=last)
         .withColumn("date", F.to_date("ingested_at"))
-        .groupBy(*keys, "entity_type")
+        .groupBy(*keys)
         .agg(
             F.count("*").alias("total_events"),
             F.count(F.when(F.col("attribute_category") == error_category, 1)).alias("total_errors"),
@@ -93,11 +94,17 @@ def daily_entity_stats(
             F.avg(of("memory")).cast("decimal(10,2)").alias("avg_memory_percent"),
         )
     )
-    history = timefn.since(status, first - dt.timedelta(days=lookback_days), until=last)
+    status = status.select("entity_id", "tenant_id", "status", "ingested_at")
+    opening = latest_by(
+        status.where(F.col("ingested_at") < timefn.ts(first)), ["entity_id", "tenant_id"], ["ingested_at"]
+    )
+    history = timefn.since(status, first, until=last).select(*opening.columns).unionByName(opening)
     spent = status_seconds_by_day(history, first, last)
     share = ratio(F.col("online_seconds") * F.lit(100.0), F.col("total_seconds"))
     return (
-        metrics.join(spent, keys, "left")
+        metrics.join(spent, keys, "full_outer")
+        .join(entities.select("entity_id", "tenant_id", "entity_type"), ["entity_id", "tenant_id"], "left")
+        .fillna(0, ["total_events", "total_errors"])
         .withColumn("uptime_minutes", F.floor(F.col("online_seconds") / 60).cast("int"))
         .withColumn("downtime_minutes", F.floor(F.col("offline_seconds") / 60).cast("int"))
         .withColumn("uptime_percent", F.round(share, 2).cast("decimal(5,2)"))

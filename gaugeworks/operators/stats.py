@@ -81,7 +81,10 @@ def attribute_correlation(
     )
     if tenant_id is not None:
         rows = rows.where(F.col("tenant_id") == F.lit(tenant_id))
-    value = F.col("value_decimal").cast("double")
+    # Values are taken from a centre of their attribute, exactly, so that no offset eats the digits of the sums.
+    centres = rows.groupBy("attribute_name").agg(F.avg("value_decimal").cast("decimal(20,5)").alias("_centre"))
+    rows = rows.join(centres, "attribute_name")
+    value = (F.col("value_decimal") - F.col("_centre")).cast("double")
     in_range = F.col("ingested_at") >= timefn.ts(start)
 
     def sums(i: int, prefix: str, condition: Column) -> list[Column]:
@@ -172,8 +175,13 @@ def attribute_correlation(
     var_x, var_y = F.col("xx") - x * x / n, F.col("yy") - y * y / n
     correlation = ratio(co, F.sqrt(var_x * var_y))
     slope = ratio(co, var_x)
+    centre = lambda k: centres.select(
+        F.col("attribute_name").alias(f"attr{k}_name"), F.col("_centre").cast("double").alias(f"_centre{k}")
+    )
     return (
         listed.where(F.col("pair_count") > min_pairs)
+        .join(centre(1), "attr1_name")
+        .join(centre(2), "attr2_name")
         .select(
             "attr1_name",
             "attr2_name",
@@ -181,7 +189,7 @@ def attribute_correlation(
             correlation.alias("correlation"),
             (co / n).alias("covariance"),
             slope.alias("regression_slope"),
-            ((y - slope * x) / n).alias("regression_intercept"),
+            ((y - slope * x) / n + F.col("_centre2") - slope * F.col("_centre1")).alias("regression_intercept"),
             (correlation * correlation).alias("r_squared"),
         )
         .orderBy(F.desc(F.abs("correlation")))

@@ -363,13 +363,13 @@ def _mean(attribute: str) -> str:
     return exact_round_mean(f"sum(value_decimal) {only}", f"count(*) {only}", 5, 2)
 
 
-def _daily_ctes(days: int, lookback: int) -> dict[str, str]:
+def _daily_ctes(days: int) -> dict[str, str]:
     last = f"({NOW} + INTERVAL 1 DAY)"
     first = f"({last} - INTERVAL {days} DAY)"
     return {
         "g": f"""SELECT entity_id, tenant_id, status, ingested_at AS b,
                 lag(ingested_at) OVER (PARTITION BY entity_id ORDER BY ingested_at) AS a
-            FROM fact WHERE ingested_at >= {first} - INTERVAL {lookback} DAY AND ingested_at < {last}""",
+            FROM fact WHERE ingested_at < {last}""",
         "d": f"SELECT unnest(generate_series({first}, {last} - INTERVAL 1 DAY, INTERVAL 1 DAY)) AS day",
         "up": """SELECT entity_id, tenant_id, CAST(day AS DATE) AS date, status,
                 date_diff('second', greatest(a, day), least(b, day + INTERVAL 1 DAY)) AS s
@@ -378,24 +378,29 @@ def _daily_ctes(days: int, lookback: int) -> dict[str, str]:
                 sum(CASE WHEN status = 'online' THEN s ELSE 0 END) AS on_s,
                 sum(CASE WHEN status = 'offline' THEN s ELSE 0 END) AS off_s, sum(s) AS all_s
             FROM up GROUP BY ALL""",
-        "m": f"""SELECT entity_id, tenant_id, entity_type, CAST(ingested_at AS DATE) AS date,
+        "m": f"""SELECT entity_id, tenant_id, CAST(ingested_at AS DATE) AS date,
                 count(*) AS total_events, count(*) FILTER (attribute_name = 'error') AS total_errors,
                 {_mean('click')} AS avg_temperature,
                 max(value_decimal) FILTER (attribute_name = 'click') AS max_temperature,
                 min(value_decimal) FILTER (attribute_name = 'click') AS min_temperature,
                 {_mean('view')} AS avg_cpu_percent, {_mean('purchase')} AS avg_memory_percent
             FROM fact WHERE ingested_at >= {first} AND ingested_at < {last} GROUP BY ALL""",
-        "daily": """SELECT m.*, CAST(floor(on_s / 60) AS BIGINT) AS uptime_minutes,
+        "grid": "SELECT ent.*, CAST(day AS DATE) AS date FROM ent CROSS JOIN d",
+        "daily": """SELECT grid.entity_id, grid.tenant_id, grid.entity_type, grid.date,
+                coalesce(total_events, 0) AS total_events, coalesce(total_errors, 0) AS total_errors,
+                m.* EXCLUDE (entity_id, tenant_id, date, total_events, total_errors), CAST(floor(on_s / 60) AS BIGINT) AS uptime_minutes,
                 CAST(floor(off_s / 60) AS BIGINT) AS downtime_minutes,
                 round(CAST(on_s * 100 AS DOUBLE) / nullif(all_s, 0), 2) AS uptime_percent
-            FROM m LEFT JOIN spent USING (entity_id, tenant_id, date)""",
+            FROM grid LEFT JOIN m USING (entity_id, tenant_id, date)
+            LEFT JOIN spent USING (entity_id, tenant_id, date)
+            WHERE total_events IS NOT NULL OR all_s IS NOT NULL""",
     }
 
 
-def _daily(m, days: int, lookback: int):
+def _daily(m, days: int):
     status = m.status_fact.select("entity_id", "tenant_id", F.col("value").alias("status"), "ingested_at")
     return rollups.daily_entity_stats(
-        m.fact, status, as_of=AS_OF, days=days, lookback_days=lookback, names=_NAMES
+        m.fact, status, m.entities, as_of=AS_OF, days=days, names=_NAMES
     )
 
 
@@ -408,9 +413,9 @@ query(
             {num('min_temperature')} AS min_temperature, {num('avg_cpu_percent')} AS avg_cpu_percent,
             {num('avg_memory_percent')} AS avg_memory_percent, uptime_minutes, downtime_minutes,
             uptime_percent FROM daily""",
-        **_daily_ctes(2, 7),
+        **_daily_ctes(2),
     ),
-)(lambda m: _daily(m, 2, 7).drop("computed_at"))
+)(lambda m: _daily(m, 2).drop("computed_at"))
 
 def _daily_mean(c: str) -> str:
     return exact_round_mean(f"sum(CAST({c} AS DECIMAL(10,2)))", f"count({c})", 2, 2)
@@ -426,9 +431,9 @@ query(
             CAST(sum(total_errors) AS BIGINT) AS total_errors, min(date) AS start_date,
             max(date) AS end_date
         FROM daily WHERE date >= DATE '2024-01-01' GROUP BY ALL""",
-        **_daily_ctes(31, 7),
+        **_daily_ctes(31),
     ),
-)(lambda m: rollups.read_daily_rollup(_daily(m, 31, 7), as_of=AS_OF))
+)(lambda m: rollups.read_daily_rollup(_daily(m, 31), as_of=AS_OF))
 
 
 def _hourly_ctes(hours: int) -> dict[str, str]:

@@ -555,8 +555,15 @@ query(
     ),
 )(lambda m: eav.classify_hot_cold(_accesses(m), max_cardinality=1300))
 
-# The hash differs from any other engine's: only rows and totals can be checked (see the tests).
-query("b17_partition_skew")(lambda m: eav.partition_skew(m.entities))
+query(
+    "b17_partition_skew",
+    over(
+        "ent",
+        f"""SELECT partition_no, row_count, {num('round(row_count * 100.0::DOUBLE / sum(row_count) OVER (), 2)')} AS percent
+        FROM (SELECT CAST('0x' || substr(md5(CAST(entity_id AS VARCHAR)), 1, 8) AS BIGINT) % 100 AS partition_no,
+            count(*) AS row_count FROM ent GROUP BY 1)""",
+    ),
+)(lambda m: eav.partition_skew(m.entities))
 
 _JSON_SQL = """SELECT entity_id, status, CAST(priority AS BIGINT) AS priority,
     '[' || array_to_string(list_transform(tags, lambda x: '"' || x || '"'), ',') || ']' AS tags,
@@ -635,13 +642,39 @@ query(
     ),
 )(
     lambda m: cdc.apply_cdc(
-        m.entities.select(
-            "entity_id", "tenant_id", F.lit("new").alias("status"), F.lit(0.0).alias("value")
-        ),
+        _first_state(m),
         cdc_source.unwrap(cdc_source.parse_changes(change_messages(m), CDC_ROW)),
         ["entity_id", "tenant_id"],
-    )
+    ).drop("ts_ms", "lsn")
+)
+
+
+def _first_state(m):
+    return m.entities.select(
+        "entity_id", "tenant_id", F.lit("new").alias("status"), F.lit(0.0).alias("value"),
+        F.lit(0).cast("long").alias("ts_ms"), F.lit(0).cast("long").alias("lsn"),
+    )
+
+
+@query(
+    "a8_apply_cdc_out_of_order",
+    over(
+        "fact",
+        """SELECT ent.entity_id, ent.tenant_id, coalesce(l.status, 'new') AS status, coalesce(l.value, 0) AS value
+        FROM ent LEFT JOIN l USING (entity_id) WHERE l.status IS DISTINCT FROM 'signup'""",
+        l="""SELECT entity_id, arg_max(attribute_name, ingested_at) AS status,
+            CAST(arg_max(value, ingested_at) AS DOUBLE) AS value FROM fact GROUP BY entity_id""",
+    ),
 )
+def _late_changes(m):
+    """The newest changes are stored first; older ones, deletes among them, arrive afterwards."""
+    changes = cdc_source.unwrap(cdc_source.parse_changes(change_messages(m), CDC_ROW))
+    state, key = _first_state(m).withColumn("op", F.lit("r")), ["entity_id", "tenant_id"]
+    cuts = [F.expr(f"unix_millis(TIMESTAMP '2024-01-{day} 00:00:00+00:00')") for day in ("20", "08")]
+    at = F.col("ts_ms")
+    for part in (at >= cuts[0], (at < cuts[0]) & (at >= cuts[1]), at < cuts[1]):
+        state = cdc.apply_cdc(state, changes.where(part), key)
+    return state.where("op <> 'd'").drop("op", "ts_ms", "lsn")
 
 
 @query(

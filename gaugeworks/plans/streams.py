@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import functions as F
 
 from gaugeworks import schemas
@@ -13,15 +15,38 @@ from gaugeworks.sources.model import DriverModel
 from gaugeworks.streaming import pipeline, rollups, state
 
 
+CUTS = ("2024-01-23", "2024-01-16", "2024-01-08")  # the newest part of the events arrives first
+
+
 class StreamModel(DriverModel):
-    """The driver model with the events table as a stream."""
+    """The driver model with the events table as a stream, as it is stored."""
 
     def read(self, table: str):
         return self.event_stream() if table == "events" else super().read(table)
 
 
-def _stream(m: DriverModel) -> StreamModel:
-    return StreamModel(m.spark, m.directory)
+class LateStreamModel(DriverModel):
+    """The driver model with the events in four parts, newest first, one file in each micro-batch."""
+
+    @cached_property
+    def parts(self) -> str:
+        folder, events = work_path(self.spark, "events-in"), super().read("events")
+        at = F.col("ts")
+        cuts = [F.expr(f"TIMESTAMP '{c} 00:00:00+00:00'") for c in CUTS]
+        ranges = [at >= cuts[0], *[(at < b) & (at >= a) for b, a in zip(cuts, cuts[1:], strict=False)], at < cuts[-1]]
+        for i, part in enumerate(ranges):
+            events.where(part).write.parquet(f"{folder}/{i}")
+        return folder
+
+    def read(self, table: str):
+        if table != "events":
+            return super().read(table)
+        reader = self.spark.readStream.schema(super().read("events").schema)
+        return reader.options(maxFilesPerTrigger="1", recursiveFileLookup="true").parquet(self.parts)
+
+
+def _stream(m: DriverModel) -> LateStreamModel:
+    return LateStreamModel(m.spark, m.directory)
 
 
 def _drain(query_handle) -> None:
@@ -38,7 +63,7 @@ _FACT_COLUMNS = [
 
 @query("d1_stream_enrichment", over("fact", _FACT))
 def _enrichment(m):
-    s = _stream(m)
+    s = StreamModel(m.spark, m.directory)
     enriched = pipeline.enrich_stream(
         s.values.drop("value_date"), m.dim_tenants, m.dim_attributes, m.dim_entities
     )
@@ -53,14 +78,13 @@ def _enrichment(m):
 
 @query("d2_stream_dedup", over("fact", _FACT))
 def _dedup(m):
-    """Every reading arrives twice; the fact table holds it once."""
+    """Every reading arrives twice, older ones after newer ones; the fact table holds it once."""
     s = _stream(m)
     fact = s.fact.drop("event_id")
-    once = pipeline.deduplicate(fact.unionByName(fact))
     fact_path, audit_path = work_path(m.spark, "fact"), work_path(m.spark, "audit")
     _drain(
-        pipeline.start_fact_load(
-            once, fact_path, audit_path, work_path(m.spark, "ckpt"), interval=None
+        pipeline.start_merge_load(
+            fact.unionByName(fact), fact_path, audit_path, work_path(m.spark, "ckpt"), interval=None
         )
     )
     from gaugeworks.operators.load import read_fact
@@ -89,12 +113,17 @@ query(
 
 query(
     "d4_stream_late_routing",
-    over("fact", "SELECT event_id, ingested_at, 'on_time' AS route FROM fact"),
+    over(
+        "fact",
+        f"""SELECT event_id, ingested_at, CASE WHEN ingested_at >= TIMESTAMP '{CUTS[0]}' OR ingested_at >=
+            (SELECT max(ingested_at) FROM fact) - INTERVAL 10 MINUTE THEN 'on_time' ELSE 'late' END AS route
+        FROM fact""",
+    ),
 )(lambda m: _routed(m))
 
 
 def _routed(m):
-    """One file arrives in one micro-batch, so no row is late (the tests split the input)."""
+    """All parts after the first are older than the mark it sets."""
     on_time, late = work_path(m.spark, "on-time"), work_path(m.spark, "late")
     readings = _stream(m).values.select("event_id", "ingested_at")
     _drain(
@@ -132,6 +161,7 @@ query(
         f"""SELECT date_trunc('hour', ingested_at) AS hour, tenant_id, attribute_id, attribute_name,
             count(*) AS sample_count, {num('min(value_decimal)')} AS min_value,
             {num('max(value_decimal)')} AS max_value,
+            {num('CAST(sum(value_decimal) AS DOUBLE) / count(value_decimal)')} AS avg_value,
             {num('stddev_samp(value_decimal::DOUBLE)')} AS stddev_value FROM fact GROUP BY ALL""",
     ),
 )(
@@ -139,7 +169,7 @@ query(
         m,
         rollups.hourly_attribute_rollup(_stream(m).fact),
         ["hour", "tenant_id", "attribute_id", "attribute_name"],
-    ).drop("approx_entities", "avg_value")
+    ).drop("approx_entities")
 )
 
 query(
@@ -180,32 +210,45 @@ def _stream_alarm(m):
     )
 
 
-def _ingest_stream(m):
-    """Ingest files arrive as a stream and are loaded as typed history."""
+def _ingested(m):
+    """Ingest files, some of them with broken lines, as a stream: (history path, quarantine path)."""
     from gaugeworks.operators.eav import type_values
     from gaugeworks.sources import ingest
 
     landing = work_path(m.spark, "landing")
-    ingest.write_ingest(m.values.drop("event_id"), landing)
-    lines = ingest.well_formed(ingest.read_ingest(m.spark, landing, streaming=True))
-    typed = type_values(
-        lines.select("entity_id", "tenant_id", "attribute_id", "value", "ingested_at"), m.attributes
-    )
-    out = work_path(m.spark, "history")
+    ingest.write_ingest(m.values.drop("event_id"), f"{landing}/good")
+    broken = m.read("events").where("event_type = 'error'")
+    broken.select(F.concat(F.lit("broken line "), "event_id").alias("line")).write.text(f"{landing}/bad")
+    history, quarantine = work_path(m.spark, "history"), work_path(m.spark, "quarantine")
+
+    def load(batch, epoch):
+        """Both sinks are keyed by the epoch, so a repeated one writes over itself."""
+        typed = type_values(ingest.well_formed(batch), m.attributes)
+        typed.write.mode("overwrite").parquet(f"{history}/epoch={epoch}")
+        ingest.malformed(batch).write.mode("overwrite").parquet(f"{quarantine}/epoch={epoch}")
+
+    lines = ingest.read_ingest(m.spark, landing, streaming=True, recursiveFileLookup="true")
     _drain(
-        typed.writeStream.format("parquet").option("checkpointLocation", work_path(m.spark, "ckpt"))
-        .trigger(availableNow=True).start(out)
+        lines.writeStream.foreachBatch(load).option("checkpointLocation", work_path(m.spark, "ckpt"))
+        .trigger(availableNow=True).start()
     )
-    return m.spark.read.schema(schemas.STAGED_VALUES).parquet(out).select(
-        "entity_id", "tenant_id", "attribute_id", "value", "value_decimal", "ingested_at"
-    )
+    return history, quarantine
 
 
 query(
     "a2_ingest_stream",
     over(
         "fact",
-        f"""SELECT entity_id, tenant_id, attribute_id, value, {num('value_decimal')} AS value_decimal,
+        f"""SELECT entity_id, tenant_id, attribute_id, value, value_int, {num('value_decimal')} AS value_decimal,
             ingested_at FROM fact""",
     ),
-)(_ingest_stream)
+)(
+    lambda m: m.spark.read.schema(schemas.STAGED_VALUES).parquet(_ingested(m)[0]).select(
+        "entity_id", "tenant_id", "attribute_id", "value", "value_int", "value_decimal", "ingested_at"
+    )
+)
+
+query(
+    "a2_ingest_quarantine",
+    "SELECT 'broken line ' || event_id AS line FROM events WHERE event_type = 'error'",
+)(lambda m: m.spark.read.schema("line string").parquet(_ingested(m)[1]).select("line"))

@@ -82,9 +82,9 @@ class DriverModel:
         )
 
     def event_stream(self, **options: str) -> DataFrame:
-        """The events table as a file stream."""
+        """The events table as a file stream, be it one file or a folder of parts."""
         reader = self.spark.readStream.schema(_DRIVER_SCHEMAS["events"])
-        return reader.options(pathGlobFilter="events.parquet", **options).parquet(self.directory)
+        return reader.options(**options).parquet(f"{self.directory}/events.parquet*")
 
     # --- dimensions -------------------------------------------------------------------------
     @cached_property

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
+from gaugeworks import schemas
 from gaugeworks.functions import timefn
 from gaugeworks.operators.enrich import enrich_fact
 from gaugeworks.operators.load import run_fact_load
@@ -29,15 +30,24 @@ def enrich_stream(
     return enrich_fact(values, dim_tenants, dim_attributes, dim_entities)
 
 
+def watermarked(df: DataFrame, at: str, watermark: str | None) -> DataFrame:
+    """The stream with a watermark, or as it is: then no late row is dropped, and state keeps every group."""
+    return df if watermark is None else df.withWatermark(at, watermark)
+
+
 def deduplicate(readings: DataFrame, watermark: str = WATERMARK) -> DataFrame:
-    """One row per (tenant, entity, attribute, time) within the watermark; state is bounded by it."""
+    """One row per (tenant, entity, attribute, time) within the watermark; state is bounded by it.
+
+    Rows older than the watermark are dropped. Where input may be older than that, load it with
+    ``start_merge_load``, which compares with the stored fact instead.
+    """
     return readings.withWatermark("ingested_at", watermark).dropDuplicatesWithinWatermark(READING_KEY)
 
 
-def batch_counts(readings: DataFrame, width: str = "30 seconds", watermark: str = WATERMARK) -> DataFrame:
+def batch_counts(readings: DataFrame, width: str = "30 seconds", watermark: str | None = None) -> DataFrame:
     """Readings per tenant in tumbling windows."""
     return (
-        readings.withWatermark("ingested_at", watermark)
+        watermarked(readings, "ingested_at", watermark)
         .groupBy(F.window("ingested_at", width).alias("w"), "tenant_id")
         .agg(F.count("*").alias("events"))
         .select(F.col("w.start").alias("window_start"), "tenant_id", "events")
@@ -70,6 +80,47 @@ def start_fact_load(
     )
 
 
+def start_merge_load(
+    fact: DataFrame, fact_path: str, audit_path: str, checkpoint: str, *, name: str = "load",
+    interval: str | None = "30 seconds",
+) -> StreamingQuery:
+    """Load each micro-batch so that every reading is in the fact once, in whatever order it comes.
+
+    A batch is reduced to one row per reading key and compared with the stored fact, of which only the months
+    and the time span of the batch are read. Late rows are thus merged, repeated ones dropped; there is no
+    state to bound. A repeated epoch compares with the other loads and writes over itself.
+    """
+
+    def load(batch: DataFrame, epoch: int) -> None:
+        spark, label = batch.sparkSession, f"{name}-{epoch:012d}"
+        fresh = batch.dropDuplicates(READING_KEY).persist()
+        try:
+            low, high, months = fresh.agg(
+                F.min("ingested_at"), F.max("ingested_at"), F.collect_set("year_month")
+            ).first()
+            try:
+                known = spark.read.schema(f"{schemas.FACT}, load_id string").parquet(fact_path)
+            except AnalysisException:
+                known = None
+            rows = fresh
+            if known is not None and months:
+                near = known.where(
+                    F.col("year_month").isin(months) & F.col("ingested_at").between(low, high) & (F.col("load_id") != label)
+                )
+                rows = fresh.join(near.select(*READING_KEY), READING_KEY, "left_anti")
+            staged = rows.withColumn("batch_id", F.lit(label))
+            run_fact_load(spark, staged, fact_path, audit_path, load_id=label)
+        finally:
+            fresh.unpersist()
+
+    return (
+        fact.writeStream.foreachBatch(load)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger_of(interval))
+        .start()
+    )
+
+
 def split_late(batch: DataFrame, high_water: dt.datetime | None, delay: dt.timedelta) -> tuple[DataFrame, DataFrame]:
     """Rows on time and rows older than the highest time of earlier batches minus the delay."""
     if high_water is None:

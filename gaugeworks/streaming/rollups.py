@@ -6,25 +6,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-from gaugeworks.streaming.pipeline import WATERMARK, trigger_of
+from gaugeworks.functions.relations import exact_mean
+from gaugeworks.streaming.pipeline import trigger_of, watermarked
 
 
-def hourly_attribute_rollup(fact: DataFrame, watermark: str = WATERMARK) -> DataFrame:
+def hourly_attribute_rollup(fact: DataFrame, watermark: str | None = None) -> DataFrame:
     """Hourly statistics per tenant and attribute.
 
     A stream cannot count distinct values exactly, so ``approx_entities`` is a sketch (about 5% error)
-    under its own name; the batch rollup holds the exact count and the percentiles.
+    under its own name; the batch rollup holds the exact count and the percentiles. Without a watermark
+    late rows change their old hour; the state is then one row per hour and attribute.
     """
     value = F.col("value_decimal")
     return (
-        fact.withWatermark("ingested_at", watermark)
+        watermarked(fact, "ingested_at", watermark)
         .groupBy(
             F.window("ingested_at", "1 hour").alias("w"), "tenant_id", "attribute_id", "attribute_name"
         )
         .agg(
             F.count("*").alias("sample_count"),
             F.approx_count_distinct("entity_id").alias("approx_entities"),
-            F.avg(value).alias("avg_value"),
+            exact_mean(value).alias("avg_value"),
             F.min(value).alias("min_value"),
             F.max(value).alias("max_value"),
             F.stddev(value.cast("double")).alias("stddev_value"),
@@ -34,10 +36,10 @@ def hourly_attribute_rollup(fact: DataFrame, watermark: str = WATERMARK) -> Data
     )
 
 
-def minute_throughput(values: DataFrame, watermark: str = WATERMARK) -> DataFrame:
+def minute_throughput(values: DataFrame, watermark: str | None = None) -> DataFrame:
     """Events and approximate entities per minute and tenant."""
     return (
-        values.withWatermark("ingested_at", watermark)
+        watermarked(values, "ingested_at", watermark)
         .groupBy(F.window("ingested_at", "1 minute").alias("w"), "tenant_id")
         .agg(
             F.count("*").alias("events_per_minute"),
@@ -48,12 +50,11 @@ def minute_throughput(values: DataFrame, watermark: str = WATERMARK) -> DataFram
 
 
 def metric_periods(
-    points: DataFrame, metric: str, period_seconds: int, watermark: str = WATERMARK
+    points: DataFrame, metric: str, period_seconds: int, watermark: str | None = None
 ) -> DataFrame:
     """Per resource and period: the four statistics an alarm rule may use."""
     return (
-        points.where(F.col("metric") == metric)
-        .withWatermark("ts", watermark)
+        watermarked(points.where(F.col("metric") == metric), "ts", watermark)
         .groupBy(F.window("ts", f"{period_seconds} seconds").alias("w"), "resource")
         .agg(
             F.avg("value").alias("Average"),

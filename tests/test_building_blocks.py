@@ -128,6 +128,14 @@ def test_latest_by_equals_row_number(spark):
     assert rows(relations.latest_by(df, ["k"], ["t"])) == rows(ranked)
 
 
+def test_asof_ties_do_not_depend_on_the_input_order(spark):
+    left = spark.sql("SELECT 1 AS k, timestamp'2024-01-01 10:00:00' AS t")
+    made = [("b",), ("a",), ("c",)]
+    for order in (made, made[::-1]):
+        right = spark.createDataFrame(order, "x string").coalesce(1).selectExpr("1 AS k", "timestamp'2024-01-01 10:00:00' AS t", "x")
+        assert relations.asof_backward(left, right, ["k"], "t", ["x"]).first().x == "c"
+
+
 def test_asof_backward_equals_last_value(spark):
     df = _events(spark)
     left = df.where("id % 2 = 0").select("k", "t", "id")
@@ -139,11 +147,18 @@ def test_asof_backward_equals_last_value(spark):
     assert rows(got, "id", "rid") == rows(expected, "id", "rid")
 
 
-@pytest.mark.parametrize("limit,buckets", [(10_000, 16), (50, 16), (0, 4)])
-def test_percentiles_on_both_paths(spark, limit, buckets):
-    df = _events(spark)
+def test_buckets_follow_the_order_of_values(spark):
+    values = sorted({s * m * 2.0**e for e in range(-40, 60, 3) for m in (1, 1 - 2**-53, 1.3, 1 + 2**-52) for s in (1, -1)} | {0.0})
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = [r.b for r in df.orderBy("v").select(quantiles.bucket_of(F.col("v")).alias("b")).collect()]
+    assert got == sorted(got)
+
+
+@pytest.mark.parametrize("scale,shift", [(1.0, 0.0), (-1e-6, 0.0), (1.0, 1e9), (1e12, -3e14)])
+def test_percentiles(spark, scale, shift):
+    df = _events(spark).withColumn("v", F.col("v") * scale + shift)
     probs = {"p0": 0.0, "p5": 0.05, "p50": 0.5, "p95": 0.95, "p100": 1.0}
-    got = quantiles.exact_percentiles(df, ["k"], F.col("v"), probs, direct_limit=limit, buckets=buckets)
+    got = quantiles.exact_percentiles(df, ["k"], F.col("v"), probs)
     expected = df.where("v IS NOT NULL").groupBy("k").agg(
         *[F.percentile("v", F.lit(p)).alias(n) for n, p in probs.items()]
     )
@@ -157,7 +172,7 @@ def test_weighted_percentiles_equal_repeated_rows(spark):
     repeated = df.where("w > 0").withColumn("x", F.explode(F.sequence(F.lit(1), F.col("w"))))
     probs = {"a": 0.3, "b": 0.9}
     got = quantiles.exact_percentiles(
-        df.where("w > 0"), ["k"], F.col("v"), probs, weight=F.col("w"), direct_limit=10, buckets=8
+        df.where("w > 0"), ["k"], F.col("v"), probs, weight=F.col("w")
     )
     expected = quantiles.exact_percentiles(repeated, ["k"], F.col("v"), probs)
     assert rows(got) == rows(expected)

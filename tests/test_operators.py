@@ -3,6 +3,7 @@
 import datetime as dt
 import itertools
 import json
+from decimal import Decimal
 
 import numpy as np
 import pytest
@@ -390,8 +391,63 @@ def test_changes_fold_the_same_in_any_split(spark, table):
         first = spark.createDataFrame(listed[cut:], changes.schema)
         second = spark.createDataFrame(listed[:cut], changes.schema)
         assert rows(cdc.fold_changes(cdc.fold_changes(state, first, ["k"]), second, ["k"])) == once
-    applied = cdc.apply_cdc(state.select("k", "v"), changes, ["k"])
-    assert rows(applied) == [(1, "x"), (3, "cc")]
+    applied = cdc.apply_cdc(state.drop("op"), changes, ["k"])
+    assert rows(applied, "k", "v") == [(1, "x"), (3, "cc")]
+    with pytest.raises(ValueError, match="late"):
+        cdc.apply_cdc(state.select("k", "v"), changes, ["k"])
+
+
+def test_late_change_is_ignored(table):
+    names = "k, v, op, ts_ms, lsn"
+    state = table("1, 'new', 'u', 100L, 10L", "2, 'gone', 'd', 100L, 11L", names=names)
+    late = table("1, 'old', 'u', 50L, 5L", "2, 'old', 'u', 50L, 6L", names=names)
+    assert rows(cdc.apply_cdc(state, late, ["k"])) == rows(state)
+
+
+def test_daily_rows_of_days_with_downtime_only(table):
+    """Offline from the first of January to noon of the third: the second has no reading, but a row."""
+    status = table(
+        "1L, 1L, 'online', timestamp'2023-11-01 00:00:00'", "1L, 1L, 'offline', timestamp'2024-01-03 12:00:00'",
+        names="entity_id, tenant_id, status, ingested_at",
+    )
+    fact = status.selectExpr(
+        "entity_id", "tenant_id", "'status' AS attribute_name", "'state' AS attribute_category",
+        "CAST(NULL AS decimal(20,5)) AS value_decimal", "ingested_at", "date_format(ingested_at, 'yyyy-MM') AS year_month",
+    )
+    entities = table("1L, 1L, 'sensor'", names="entity_id, tenant_id, entity_type")
+    out = rollups.daily_entity_stats(fact, status, entities, as_of=dt.datetime(2024, 1, 3, 18), days=3)
+    got = rows(out.selectExpr("string(date)", "entity_type", "total_events", "downtime_minutes"))
+    assert got == [("2024-01-01", "sensor", 0, 1440), ("2024-01-02", "sensor", 0, 1440), ("2024-01-03", "sensor", 1, 720)]
+
+
+def test_hot_numbers_keep_their_value(table):
+    attributes = table("1L, 'n', 'integer', true", "2L, 'd', 'decimal', true", "3L, 'b', 'boolean', true",
+                       names="attribute_id, attribute_name, data_type, is_hot")
+    at = "timestamp'2024-01-09'"
+    values = table(
+        f"1L, 1L, 1L, '007', {at}", f"1L, 1L, 2L, '+10.50', {at}", f"1L, 1L, 3L, 'yes', {at}", f"2L, 1L, 1L, '100', {at}",
+        f"2L, 1L, 2L, 'n/a', {at}", names="entity_id, tenant_id, attribute_id, value, ingested_at",
+    )
+    store = hot.build_hot_projection(values, attributes)
+    assert rows(store, "hot_attrs") == [('{"b":true,"d":10.5,"n":7}',), ('{"d":"n/a","n":100}',)]
+    report = hot.divergence_report(values, attributes, store)
+    assert rows(report, "differing", "missing_in_store", "missing_in_history") == [(0, 0, 0)] * 3
+
+
+@pytest.mark.parametrize("offset", [0, 10**6, 10**8])
+def test_correlation_far_from_zero(spark, offset):
+    rng = np.random.default_rng(0)
+    x = np.round(rng.normal(size=300), 5)
+    y = np.round(2 * x + rng.normal(size=300), 5)
+    made = [(k, name, Decimal(str(round(v + offset, 5))), k) for k in range(300) for name, v in (("a", x[k]), ("b", y[k]))]
+    fact = spark.createDataFrame(made, "entity_id long, attribute_name string, value_decimal decimal(20,5), s long").selectExpr(
+        "entity_id", "1L AS tenant_id", "attribute_name", "value_decimal",
+        "timestamp_seconds(unix_seconds(timestamp'2024-01-09 00:00:00') + s * 100) AS ingested_at", "'2024-01' AS year_month",
+    )
+    r = stats.attribute_correlation(fact, ["a", "b"], as_of=dt.datetime(2024, 1, 10), min_pairs=1).first()
+    slope, _ = np.polyfit(x, y, 1)
+    assert abs(r.correlation - np.corrcoef(x, y)[0, 1]) < 1e-9 and abs(r.regression_slope - slope) < 1e-9
+    assert abs(r.covariance - np.cov(x, y, bias=True)[0, 1]) < 1e-9
 
 
 # --- operational ----------------------------------------------------------------------------------------

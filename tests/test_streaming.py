@@ -101,8 +101,8 @@ def test_change_state_survives_disorder_and_compaction(spark, tmp_path, compact_
     assert rows(table.current()) == [(1, "c"), (3, "n")]
     everything = spark.createDataFrame([(m,) for b in messages for m in b], "value string")
     flat = cdc_source.unwrap(cdc_source.parse_changes(everything, row))
-    start = spark.createDataFrame([], row)
-    assert rows(cdc.apply_cdc(start, flat, ["entity_id"])) == rows(table.current())
+    start = spark.createDataFrame([], f"{row}, ts_ms long, lsn long")
+    assert rows(cdc.apply_cdc(start, flat, ["entity_id"]), "entity_id", "status") == rows(table.current())
 
 
 def test_fact_load_from_a_restarted_stream_is_exactly_once(spark, tmp_path):
@@ -131,6 +131,36 @@ def test_fact_load_from_a_restarted_stream_is_exactly_once(spark, tmp_path):
     assert rows(loaded, "entity_id", "ingested_at") == rows(model.fact, "entity_id", "ingested_at")
 
 
+def test_merge_load_takes_late_and_repeated_rows_once(spark, tmp_path):
+    from gaugeworks.operators.load import read_fact
+    from gaugeworks.sources.model import DriverModel
+
+    model = DriverModel(spark, "/root/testdata/sf0.001")
+    events = model.read("events")
+    folder = tmp_path / "in"
+    for i, part in enumerate(("ts >= '2024-01-20'", "ts < '2024-01-10'", "ts >= '2024-01-05' AND ts < '2024-01-22'")):
+        events.where(part).coalesce(1).write.parquet(f"{folder}/{i}")
+        time.sleep(0.02)
+    stream = (
+        spark.readStream.schema(events.schema).options(recursiveFileLookup="true", maxFilesPerTrigger="1").parquet(str(folder))
+    )
+    args = [str(tmp_path / p) for p in ("fact", "audit", "ck")]
+    pipeline.start_merge_load(model.fact_of(stream).drop("event_id"), *args, interval=None).awaitTermination()
+    loaded = read_fact(spark, args[0])
+    assert rows(loaded, "entity_id", "ingested_at") == rows(model.fact, "entity_id", "ingested_at")
+
+
+def test_event_stream_reads_a_file_and_a_folder(spark, tmp_path):
+    from gaugeworks.sources.model import DriverModel
+
+    events = DriverModel(spark, "/root/testdata/sf0.001").read("events")
+    events.repartition(3).write.parquet(str(tmp_path / "t" / "events.parquet"))
+    for k, directory in enumerate(("/root/testdata/sf0.001", str(tmp_path / "t"))):
+        out = str(tmp_path / f"out{k}")
+        _drain(DriverModel(spark, directory).event_stream().select("event_id"), out, str(tmp_path / f"ck{k}"))
+        assert spark.read.parquet(out).count() == events.count()
+
+
 def test_missing_heartbeat_is_reported(spark, tmp_path):
     folder = tmp_path / "in"
     schema = "source string, timestamp timestamp"
