@@ -191,7 +191,8 @@ class _Pieces:
         start = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
         size = np.diff([*start, len(least)])
         good = least[start] > 0
-        self.start, self.windows, self.anchor = start[good], size[good], least[start[good]]
+        # Least values crowd at the low end; mixed again, they spread evenly over the buckets.
+        self.start, self.windows, self.anchor = start[good], size[good], C.mixed(least[start[good]])
         self.doc = np.searchsorted(chunk.ends, self.start, side="right")
 
     def prints(self, rows: np.ndarray, length: int, gram: int) -> np.ndarray:
