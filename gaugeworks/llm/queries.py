@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gaugeworks.llm import anchors, decontaminate, licenses, packing, quality, rules, shards, simhash, suffixes, toxicity
+from gaugeworks.llm import anchors, decontaminate, licenses, oracles, packing, quality, rules, shards, simhash, suffixes, toxicity
 from gaugeworks.llm.common import read
 
 WORD_BPE = "word_bpe_49k.json"
@@ -72,4 +72,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_rule_cascade": op8_rule_cascade,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op4_license_join": oracles.LICENSE_JOIN,
+    "op5_block_anchors": oracles.BLOCK_ANCHORS,
+    "op7_suffix_array": oracles.SUFFIX_ARRAY,
+    "op8_rule_cascade": oracles.RULE_CASCADE,
+}
