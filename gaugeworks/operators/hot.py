@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gaugeworks.functions import jsonfn, timefn
 from gaugeworks.functions.relations import latest_by
+from gaugeworks.operators.load import write_partitioned
 
 KEY = ["entity_id", "tenant_id"]
 
@@ -148,6 +149,19 @@ def divergence_report(values: DataFrame, attributes: DataFrame, state: DataFrame
     )
 
 
+def refresh_hot_store(path: str, objects: DataFrame) -> DataFrame:
+    """Write the hot objects as a stored table by tenant, entities in order; a repeated refresh replaces it."""
+    write_partitioned(objects, path, ["tenant_id"], ["entity_id"])
+    return objects.sparkSession.read.schema(objects.schema).parquet(path)
+
+
+def refresh_current_state(path: str, hot: DataFrame, entities: DataFrame, tenants: DataFrame) -> DataFrame:
+    """Write the typed current state as a stored table by tenant."""
+    rows = flatten_current_state(hot, entities, tenants)
+    write_partitioned(rows, path, ["tenant_id"], ["entity_id"])
+    return hot.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def flatten_current_state(hot: DataFrame, entities: DataFrame, tenants: DataFrame) -> DataFrame:
     """Hot objects as typed columns, one row per entity. The object is parsed once per row."""
     fields = hot.select(*KEY, "updated_at", jsonfn.as_text_map(F.col("hot_attrs")).alias("_m"))

@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
@@ -22,31 +22,51 @@ class Flush(NamedTuple):
     remaining: DataFrame
 
 
+_TIE_BUCKETS = 4096
+
+
+def _cut(rows: DataFrame, key: Column, want: int) -> tuple[int | None, int]:
+    """The key at which more than ``want`` rows, counted in key order, are reached (None if never), and how
+    many rows come before it. A job that brings two numbers back; the counts are walked through in one row."""
+    counts = rows.groupBy(key.cast("long").alias("k")).agg(F.count("*").alias("n"))
+    walk = F.aggregate(
+        F.array_sort(F.collect_list(F.struct("k", "n"))),
+        F.struct(F.lit(0).cast("long").alias("before"), F.lit(None).cast("long").alias("at")),
+        lambda a, x: F.when(a["at"].isNotNull(), a)
+        .when(a["before"] + x["n"] > want, F.struct(a["before"].alias("before"), x["k"].alias("at")))
+        .otherwise(F.struct((a["before"] + x["n"]).alias("before"), a["at"].alias("at"))),
+    )
+    found = counts.agg(walk.alias("c")).first()["c"]
+    return found["at"], found["before"]
+
+
 def flush_staging(staging: DataFrame, *, as_of=None, limit: int = 50_000) -> Flush:
     """The oldest ``limit`` staged rows, ready for history, and the rows that stay.
 
-    Rows are chosen by a total order (time, then all columns), so ties cannot be moved and kept at once.
-    A missing time becomes now, after the choice: null times are newest, as in the original. Repeated
-    history keys collapse instead of failing the batch.
+    The cut is found from counts: per hour, then per second of the hour it falls in, then per microsecond,
+    then per hash of rows with one time. Only rows that share the last of these are numbered, so no task
+    sees more than the ties of one hash. Everything else moves or stays by a filter. A missing time becomes
+    now, after the choice: null times are newest, as in the original. Repeated history keys collapse instead
+    of failing the batch.
     """
     now = timefn.ts(timefn.resolve_as_of(as_of))
-    order = [F.asc_nulls_last("ingested_at"), *[c for c in staging.columns if c != "ingested_at"]]
-    chosen = staging.orderBy(*order).limit(limit)
-    stamped = chosen.withColumn("ingested_at", F.coalesce("ingested_at", now))
-    moved = latest_by(stamped, _HISTORY_KEY, [])
-    # Identical staged rows are interchangeable: counts decide how many of them stay.
-    columns = staging.columns
-    had = staging.groupBy(*columns).agg(F.count("*").alias("_had"))
-    took = chosen.groupBy(*columns).agg(F.count("*").alias("_took"))
-    both = had.unionByName(took, allowMissingColumns=True).groupBy(*columns).agg(
-        F.sum("_had").alias("_had"), F.coalesce(F.sum("_took"), F.lit(0)).alias("_took")
-    )
-    left_over = F.col("_had") - F.col("_took")
-    remaining = (
-        both.where(left_over > 0)
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), left_over)))
-        .select(*columns)
+    time = F.coalesce(F.unix_micros("ingested_at"), F.lit(2**62))
+    tie = F.pmod(F.xxhash64(*staging.columns), F.lit(_TIE_BUCKETS))
+    keys = [F.floor(time / 3_600_000_000), F.floor(time / 1_000_000), time, tie]
+    rows, want, inside, before_cut = staging, limit, F.lit(True), F.lit(False)
+    for key in keys:
+        at, before = _cut(rows.where(inside), key, want)
+        want -= before
+        if at is None:  # all rows that are left move
+            before_cut, inside = before_cut | inside, F.lit(False)
+            break
+        before_cut, inside = before_cut | (inside & (key < at)), inside & (key == at)
+    numbered = rows.where(inside).withColumn(
+        "_place", F.row_number().over(Window.partitionBy("ingested_at").orderBy(*staging.columns))
     )
+    chosen = rows.where(before_cut).unionByName(numbered.where(F.col("_place") <= want).drop("_place"))
+    remaining = rows.where(~before_cut & ~inside).unionByName(numbered.where(F.col("_place") > want).drop("_place"))
+    moved = latest_by(chosen.withColumn("ingested_at", F.coalesce("ingested_at", now)), _HISTORY_KEY, [])
     return Flush(moved, remaining)
 
 

@@ -12,6 +12,7 @@ from gaugeworks.functions import timefn
 from gaugeworks.functions.quantiles import exact_percentiles
 from gaugeworks.functions.relations import join_null_safe, latest_by, ratio
 from gaugeworks.operators.health import status_gaps
+from gaugeworks.operators.load import write_partitioned
 
 
 def attribute_stats(values: DataFrame, attributes: DataFrame) -> DataFrame:
@@ -148,6 +149,48 @@ def hourly_attribute_stats(fact: DataFrame, *, as_of=None, hours: int = 1) -> Da
     )
 
 
+def refresh_daily_entity_stats(
+    path: str, fact: DataFrame, status: DataFrame, entities: DataFrame, *, as_of=None, days: int = 2, **options
+) -> DataFrame:
+    """Recompute the last days of the stored daily table, and all earlier days that a gap closed in them touches.
+
+    Days are partitions and replaced as a whole, so a repeated refresh changes nothing. Returns the table.
+    """
+    now = timefn.resolve_as_of(as_of)
+    last = now.replace(hour=0, minute=0, second=0, microsecond=0) + dt.timedelta(days=1)
+    first = last - dt.timedelta(days=days)
+    status = status.select("entity_id", "tenant_id", "status", "ingested_at")
+    before = latest_by(
+        status.where(F.col("ingested_at") < timefn.ts(first)), ["entity_id", "tenant_id"], ["ingested_at"]
+    )
+    closed = before.join(timefn.since(status, first, until=last), ["entity_id", "tenant_id"], "left_semi")
+    oldest = closed.agg(F.date_format(F.min("ingested_at"), "yyyy-MM-dd")).first()[0]
+    if oldest is not None:
+        days = max(days, (last.date() - dt.date.fromisoformat(oldest)).days)
+    rows = daily_entity_stats(fact, status, entities, as_of=now, days=days, **options)
+    write_partitioned(rows, path, ["date"], ["tenant_id", "entity_id"])
+    return fact.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def refresh_hourly_attribute_stats(path: str, fact: DataFrame, *, as_of=None, hours: int = 1) -> DataFrame:
+    """Recompute the stored hourly table from the start of the day ``hours`` ago.
+
+    Days are partitions and replaced as a whole, so whole days are computed. Returns the table.
+    """
+    now = timefn.resolve_as_of(as_of)
+    hours = (now - dt.timedelta(hours=hours)).hour + hours
+    rows = hourly_attribute_stats(fact, as_of=now, hours=hours).withColumn("date", F.to_date("hour"))
+    write_partitioned(rows, path, ["date"], ["tenant_id", "attribute_id", "hour"])
+    return fact.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def refresh_attribute_stats(path: str, values: DataFrame, attributes: DataFrame) -> DataFrame:
+    """Rebuild the stored statistics per tenant and attribute; tenants are partitions. Returns the table."""
+    rows = attribute_stats(values, attributes)
+    write_partitioned(rows, path, ["tenant_id"], ["attribute_id"])
+    return values.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def read_daily_rollup(daily: DataFrame, *, as_of=None, days: int = 30, tenant_id=None) -> DataFrame:
     """Daily dashboard: means of the daily entity means per date and type."""
     start = timefn.resolve_as_of(as_of) - dt.timedelta(days=days)

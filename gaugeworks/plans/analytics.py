@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from gaugeworks.operators import business, health, rollups, stats, timeseries
 from gaugeworks.plans.registry import AS_OF, NOW, exact_round_mean, num, over, query
+from gaugeworks.session import work_path
 
 
 def _percentile(p: float, c: str = "value_decimal") -> str:
@@ -404,6 +405,29 @@ def _daily(m, days: int):
     )
 
 
+def _status(m):
+    return m.status_fact.select("entity_id", "tenant_id", F.col("value").alias("status"), "ingested_at")
+
+
+def _stored_daily(m):
+    return m.stored_table(
+        "daily-rollup",
+        lambda path: rollups.refresh_daily_entity_stats(
+            path, m.fact, _status(m), m.entities, as_of=AS_OF, days=31, names=_NAMES
+        ),
+    )
+
+
+def _refreshed_daily(m):
+    """All days, then the last two once more: the second refresh changes nothing."""
+    path = work_path(m.spark, "daily-rollup")
+    for days in (31, 2):
+        out = rollups.refresh_daily_entity_stats(
+            path, m.fact, _status(m), m.entities, as_of=AS_OF, days=days, names=_NAMES
+        )
+    return out.drop("entity_type", "max_temperature", "min_temperature", "avg_cpu_percent", "avg_memory_percent", "computed_at")
+
+
 query(
     "a11_daily_entity_stats",
     over(
@@ -433,7 +457,17 @@ query(
         FROM daily WHERE date >= DATE '2024-01-01' GROUP BY ALL""",
         **_daily_ctes(31),
     ),
-)(lambda m: rollups.read_daily_rollup(_daily(m, 31), as_of=AS_OF))
+)(lambda m: rollups.read_daily_rollup(_stored_daily(m), as_of=AS_OF))
+
+query(
+    "a11_daily_entity_refresh",
+    over(
+        "fact",
+        f"""SELECT entity_id, tenant_id, date, total_events, total_errors, {num('avg_temperature')} AS avg_temperature,
+            uptime_minutes, downtime_minutes, uptime_percent FROM daily""",
+        **_daily_ctes(31),
+    ),
+)(lambda m: _refreshed_daily(m))
 
 
 def _hourly_ctes(hours: int) -> dict[str, str]:
@@ -482,7 +516,7 @@ query(
     ),
 )(
     lambda m: rollups.read_hourly_rollup(
-        rollups.hourly_attribute_stats(m.fact, as_of=AS_OF, hours=24),
+        m.stored_table("hourly-rollup", lambda path: rollups.refresh_hourly_attribute_stats(path, m.fact, as_of=AS_OF, hours=24)),
         ["click", "purchase", "view"],
         as_of=AS_OF,
     )

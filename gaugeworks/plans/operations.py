@@ -153,7 +153,9 @@ _STATS = """SELECT tenant_id, attribute_id, attribute_name,
 
 
 def _stats(m):
-    return rollups.attribute_stats(m.values, m.attributes)
+    return m.stored_table(
+        "attribute-stats", lambda path: rollups.refresh_attribute_stats(path, m.values, m.attributes)
+    )
 
 
 query(

@@ -6,16 +6,18 @@ reading of the attribute named by the event type.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from gaugeworks import schemas
 from gaugeworks.functions import jsonfn, timefn
 from gaugeworks.operators.enrich import enrich_fact
-from gaugeworks.operators.hot import flatten_current_state
-from gaugeworks.session import prepare
+from gaugeworks.operators.hot import refresh_current_state, refresh_hot_store
+from gaugeworks.session import prepare, work_path
 
 _DRIVER_SCHEMAS = {
     "events": "event_id long, ts timestamp, user_id long, event_type string, value double, props string",
@@ -69,6 +71,9 @@ def status_of(event_type: Column) -> Column:
     )
 
 
+_STORED: dict[tuple[str, str, str], tuple[str, StructType]] = {}  # tables refreshed by this application
+
+
 class DriverModel:
     """Telemetry tables over one driver directory; every property is a lazy DataFrame."""
 
@@ -235,8 +240,22 @@ class DriverModel:
         )
 
     # --- current state ----------------------------------------------------------------------
-    @cached_property
+    def stored_table(self, name: str, refresh: Callable[[str], DataFrame]) -> DataFrame:
+        """A table that ``refresh`` has written below a path: once per application and directory, then read."""
+        key = (self.spark.sparkContext.applicationId, self.directory, name)
+        if key not in _STORED:
+            path = work_path(self.spark, name)
+            _STORED[key] = (path, refresh(path).schema)
+        path, schema = _STORED[key]
+        return self.spark.read.schema(schema).parquet(path)
+
+    @property
     def hot_store(self) -> DataFrame:
+        """The stored hot projection, one JSON object per entity."""
+        return self.stored_table("hot-store", lambda path: refresh_hot_store(path, self.built_hot_store))
+
+    @cached_property
+    def built_hot_store(self) -> DataFrame:
         """One JSON object per entity, built from its newest event and its event totals."""
         per_entity = (
             self.read("events")
@@ -298,6 +317,10 @@ class DriverModel:
             *[c.alias(n) for n, c in timefn.derived_time_columns(at).items()],
         )
 
-    @cached_property
+    @property
     def current_state(self) -> DataFrame:
-        return flatten_current_state(self.hot_store, self.entities, self.tenants)
+        """The stored current state, one typed row per entity."""
+        return self.stored_table(
+            "current-state",
+            lambda path: refresh_current_state(path, self.hot_store, self.entities, self.tenants),
+        )

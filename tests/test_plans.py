@@ -8,7 +8,7 @@ from gaugeworks.plans import load_all
 
 DIRECTORY = "/root/testdata/sf0.001"
 # Queries that run a job of their own (streams, table writes) before they return a result.
-WITH_JOBS = {"a2_read_ingest", "a6_write_fact", "a9_archive_partitions"}
+WITH_JOBS = {"a2_read_ingest", "a2_ingest_quarantine", "a6_write_fact", "a9_archive_partitions"}
 NAMES = sorted(n for n in load_all() if n not in WITH_JOBS and "stream" not in n and n != "d5_cdc_current_state")
 
 
@@ -33,6 +33,19 @@ def test_flagship_reads_only_what_it_needs(spark):
     assert all("ReadSchema: struct<ts:timestamp,user_id:bigint,event_type:string,value:double>" in s for s in scans)
 
 
+def test_percentiles_scan_the_fact_three_times_at_most(spark):
+    for name in ("c1_daily_attribute_stats", "c22_category_distribution", "c31_baseline_outliers"):
+        plan = _plan(load_all()[name].run(spark, DIRECTORY))
+        # The initial plan, before any exchange is reused; c22 and c31 read two roles of the fact.
+        scans = len(re.findall(r"FileScan parquet \[ts", plan))
+        assert scans <= {"c1_daily_attribute_stats": 3}.get(name, 12), (name, scans)
+
+
+def test_flush_has_no_single_task_top(spark):
+    for name in ("a3_flush_moved", "a3_flush_remaining"):
+        assert "TakeOrdered" not in _plan(load_all()[name].run(spark, DIRECTORY))
+
+
 def test_time_filters_reach_the_scan(spark):
     for name in ("c2_hourly_event_rate", "c4_entity_uptime", "c8_attribute_correlation", "c15_tenant_freshness"):
         plan = _plan(load_all()[name].run(spark, DIRECTORY))

@@ -14,6 +14,14 @@ _spec.loader.exec_module(oracle)
 
 DIRECTORY = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 REGISTRY = load_all()
+# With 1000 events these have no row by their own thresholds and limits; any other empty result fails.
+EMPTY_AT_SMALLEST = {
+    "a3_flush_remaining",
+    "a4_load_audit",
+    "a4_load_fact",
+    "c8_attribute_correlation",
+    "c8_attribute_correlation_month",
+}
 
 
 @pytest.fixture(scope="module")
@@ -29,7 +37,8 @@ def test_matches_sql(spark, duck, name):
         assert df.count() > 0
         return
     problem = oracle.compare(duck, df, entry.sql)
-    assert problem in (None, "both sides are empty"), problem
+    expected = "both sides are empty" if name in EMPTY_AT_SMALLEST and DIRECTORY.endswith("sf0.001") else None
+    assert problem == expected, problem
 
 
 def test_entry_point_contract():
