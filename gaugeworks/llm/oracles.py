@@ -1,6 +1,6 @@
 """DuckDB SQL for the corpus queries that SQL can express.
 
-Shards (a packing), token ids, XXH64 fingerprints, fitted classifiers and passages retrieved by rank have no
+Repeated bytes take SQL minutes on whole tables. Shards (a packing), token ids, XXH64 fingerprints, fitted classifiers and passages retrieved by rank have no
 SQL; tests compare those with brute force, a round trip or held-out labels.
 """
 
@@ -85,22 +85,3 @@ FROM b LEFT JOIN m USING (doc_id)"""
 
 
 LICENSE_JOIN = _license_join()
-
-SUFFIX_ARRAY = """
-WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents),
-g AS (SELECT doc_id, i, md5(substr(h, 2 * i + 1, 100)) AS s
-      FROM (SELECT doc_id, h, unnest(range(0, n - 49)) AS i FROM d)),
-f AS (SELECT s, min(doc_id) AS first_doc FROM g GROUP BY s),
-hit AS (SELECT g.doc_id, g.i FROM g JOIN f USING (s) WHERE first_doc < g.doc_id),
-runs AS (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER w + 50 THEN 0 ELSE 1 END AS new FROM hit
-      WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
-spans AS (SELECT doc_id, min(i) AS a, max(i) + 50 AS b
-      FROM (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM runs) GROUP BY doc_id, span),
-o AS (SELECT *, coalesce(lag(b) OVER w, 0) AS from_, lead(a) OVER w AS next_ FROM spans WINDOW w AS (PARTITION BY doc_id ORDER BY a)),
-k AS (SELECT doc_id, CAST(sum(b - a) AS BIGINT) AS gone, count(*) AS n_spans,
-      string_agg(substr(h, 2 * from_ + 1, 2 * (a - from_)), '' ORDER BY a)
-        || substr(any_value(h), 2 * max(b) + 1) AS kept
-      FROM o JOIN d USING (doc_id) GROUP BY doc_id)
-SELECT d.doc_id, CAST(n AS BIGINT) AS n_bytes, coalesce(gone, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
-    sha256(unhex(coalesce(kept, h))) AS kept_sha256
-FROM d LEFT JOIN k USING (doc_id)"""

@@ -75,6 +75,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 SQL: dict[str, str] = {
     "op4_license_join": oracles.LICENSE_JOIN,
     "op5_block_anchors": oracles.BLOCK_ANCHORS,
-    "op7_suffix_array": oracles.SUFFIX_ARRAY,
     "op8_rule_cascade": oracles.RULE_CASCADE,
 }
