@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeworks.llm.common import body, slim, stored
+from gaugeworks.llm.common import arrow_rows, body, slim, stored
 from gaugeworks.llm.graph import components
 
 BITS = 4  # differing bits of linked fingerprints
@@ -31,6 +31,7 @@ SHINGLE = 4
 SEED = 42
 PAIRWISE = 64
 ROWS_PER_BUCKET = 250_000
+PAIR_ROWS = 500
 
 GOLAY = 0xC75  # generator polynomial of the code, fixed value
 BLOCKS = ((0, 21), (21, 21), (42, 22))  # first bit and width
@@ -261,16 +262,16 @@ def drop_near_copies(docs: DataFrame, similarity: float = 0.8, shingle: int = 5,
 
     def hold(batches):
         for batch in batches:
-            a, b = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            ok = pa.array([_jaccard(x, y, shingle) >= similarity for x, y in zip(a, b, strict=True)], pa.bool_())
+            texts = zip(batch.column(2), batch.column(3), strict=True)
+            ok = pa.array([_jaccard(x.as_py(), y.as_py(), shingle) >= similarity for x, y in texts], pa.bool_())
             yield batch.select([0, 1]).filter(ok)
 
-    held = stored(
-        stored(pairs, "near-pairs").join(side("a"), "key_a").join(side("b"), "key_b")
-        .select("key_a", "key_b", "text_a", "text_b")
-        .mapInArrow(hold, "key_a string, key_b string"),
-        "near-links",
-    )
+    paired = stored(pairs, "near-pairs").join(side("a"), "key_a").join(side("b"), "key_b")
+    with arrow_rows(docs.sparkSession, PAIR_ROWS):  # a row has two whole texts
+        held = stored(
+            paired.select("key_a", "key_b", "text_a", "text_b").mapInArrow(hold, "key_a string, key_b string"),
+            "near-links",
+        )
     roots = components(held.select(F.col("key_a").alias("a"), F.col("key_b").alias("b")))
     rooted = texts.select("text_key", "doc").join(roots.withColumnRenamed("node", "text_key"), "text_key", "left")
     stay = rooted.groupBy(F.coalesce("root", "text_key").alias("root")).agg(F.min(F.struct("doc", "text_key")).alias("s"))
