@@ -68,7 +68,7 @@ def previous_in_slices(
 
 def asof_backward(
     left: DataFrame, right: DataFrame, keys: Sequence[str], at: str, take: Sequence[str],
-    slice_unit: str = "hour",
+    slice_unit: str = "second",
 ) -> DataFrame:
     """Attach to each left row the newest right row of its key at or before its time.
 

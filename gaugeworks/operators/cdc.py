@@ -43,7 +43,7 @@ def fold_changes(state: DataFrame, changes: DataFrame, key: Sequence[str]) -> Da
 
 
 def change_feed(
-    versions: DataFrame, *, processed_at=None, slice_unit: str = "day",
+    versions: DataFrame, *, processed_at=None, slice_unit: str = "second",
     order: Sequence[str] = ("occurred_at", "hot_attrs"),
 ) -> DataFrame:
     """Events with the old and new value of every changed key.

@@ -11,7 +11,7 @@ from gaugeworks.functions import timefn
 from gaugeworks.functions.relations import exact_mean, previous_in_slices, ratio
 
 
-def status_gaps(status: DataFrame, slice_unit: str = "hour") -> DataFrame:
+def status_gaps(status: DataFrame, slice_unit: str = "second") -> DataFrame:
     """Status events with the previous event of their entity (``prev_status``, ``prev_timestamp``).
 
     ``status`` has tenant_id, entity_id, status, ingested_at; an entity is known by tenant and id. The first event of an entity has no predecessor and is dropped. The lag runs in time slices, so an
@@ -34,7 +34,7 @@ def status_gaps(status: DataFrame, slice_unit: str = "hour") -> DataFrame:
 
 def entity_uptime(
     fact: DataFrame, *, as_of=None, days: int = 30, tenant_id=None, attribute: str = "status",
-    slice_unit: str = "hour",
+    slice_unit: str = "second",
 ) -> DataFrame:
     """Seconds per status and uptime share per entity.
 

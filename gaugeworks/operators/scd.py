@@ -97,7 +97,7 @@ def scd2_asof(
     how: str = "inner",
     *,
     few_versions: bool = True,
-    slice_unit: str = "hour",
+    slice_unit: str = "second",
 ) -> DataFrame:
     """Attach the dimension version valid at the fact's own time (from inclusive, to exclusive).
 

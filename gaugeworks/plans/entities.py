@@ -436,7 +436,7 @@ def _status_dimension(m, until=None):
     if until is not None:
         history = history.where(F.col("changed_at") < F.expr(f"TIMESTAMP '{until} 00:00:00+00:00'"))
     return scd.scd2_from_history(
-        history, ["entity_id", "tenant_id"], ["status"], "changed_at", F.date_trunc("day", "changed_at")
+        history, ["entity_id", "tenant_id"], ["status"], "changed_at", F.date_trunc("second", "changed_at")
     )
 
 

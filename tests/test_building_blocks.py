@@ -128,6 +128,20 @@ def test_latest_by_equals_row_number(spark):
     assert rows(relations.latest_by(df, ["k"], ["t"])) == rows(ranked)
 
 
+def test_slices_of_a_hot_key_stay_small(spark):
+    """Nine of ten rows belong to one key in one hour: no slice and no list of edge rows grows with them."""
+    df = spark.range(20_000).selectExpr(
+        "IF(id % 10 = 0, id, 0) AS k", "timestamp_seconds(1704067200 + (id * 7) % 3600) AS t", "id"
+    )
+    slices = df.groupBy("k", F.date_trunc("second", "t")).count()
+    assert slices.agg(F.max("count")).first()[0] <= 10
+    got = relations.previous_in_slices(df, ["k"], ["t", "id"], ["id"], F.date_trunc("second", "t"))
+    from pyspark.sql import Window
+
+    lag = F.lag("id").over(Window.partitionBy("k").orderBy("t", "id"))
+    assert rows(got.select("id", "_prev.id")) == rows(df.select("id", lag.alias("p")))
+
+
 def test_asof_ties_do_not_depend_on_the_input_order(spark):
     left = spark.sql("SELECT 1 AS k, timestamp'2024-01-01 10:00:00' AS t")
     made = [("b",), ("a",), ("c",)]
