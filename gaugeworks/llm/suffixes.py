@@ -28,8 +28,8 @@ LENGTH = 50
 GRAM = 16
 SHALLOW = 32
 ANCHOR_BUCKET_BYTES = 24 << 20  # text whose anchors one bucket of the first round takes
-PIECES_PER_BUCKET = 15_000
-CHUNK_BYTES = 2 << 20
+PIECES_PER_BUCKET = 40_000
+CHUNK_BYTES = 4 << 20
 
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 _STEP = np.uint64(0x9E3779B97F4A7C15)
