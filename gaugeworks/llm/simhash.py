@@ -10,6 +10,11 @@ of the other bits: of k + 1 groups at least one is equal.
 Distinct fingerprints, not documents, are replicated: copies are one row before any comparison. What one
 anchor holds is bounded by the ball around it. Within an anchor up to PAIRWISE fingerprints are compared
 pair by pair; larger ones are searched from their centre, which gives a tree of links instead of all pairs.
+
+Near copies that are verified (``drop_near_copies``) need every candidate pair, not a tree. They are proposed by
+min-hashes of the shingle set, whose chance to agree is the Jaccard similarity itself, whatever was edited:
+BANDS keys of BAND_ROWS min-hashes each. Links to the centre of a key come first and are verified; then all
+pairs of a key are proposed that these links have not connected.
 """
 
 from __future__ import annotations
@@ -23,6 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gaugeworks.llm.chunks import mixed
 from gaugeworks.llm.common import arrow_rows, body, slim, stored
 from gaugeworks.llm.graph import components
 
@@ -32,6 +38,8 @@ SEED = 42
 PAIRWISE = 64
 ROWS_PER_BUCKET = 250_000
 PAIR_ROWS = 500
+BANDS, BAND_ROWS = 32, 4  # a pair at similarity 0.8 shares no key with probability (1 - 0.8**4)**32 = 5e-8
+CENTRE_BANDS = 8  # keys whose centres are linked first
 
 GOLAY = 0xC75  # generator polynomial of the code, fixed value
 BLOCKS = ((0, 21), (21, 21), (42, 22))  # first bit and width
@@ -83,17 +91,6 @@ def shingle_hashes(text: str, size: int = SHINGLE, seed: int = SEED) -> np.ndarr
     return np.fromiter((digest(join(words[i : i + size]), seed) for i in range(n)), np.uint64, n)
 
 
-def word_fingerprint(text: str, least: int = 4, seed: int = SEED) -> int:
-    """Fingerprint of the words alone, each weighted by the root of its count; short words count only where
-    there are no others. A few changed words move few bits of it."""
-    counts: dict[bytes, int] = {}
-    for w in text.encode("utf-8", "surrogatepass").lower().split():
-        counts[w] = counts.get(w, 0) + 1
-    long = {w: n for w, n in counts.items() if len(w) >= least} or counts
-    hashes = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in long), np.uint64, len(long))
-    return fingerprint(hashes, np.sqrt(np.fromiter(long.values(), np.float64, len(long))))
-
-
 def text_fingerprint(text: str) -> int:
     return fingerprint(shingle_hashes(text))
 
@@ -232,13 +229,112 @@ def _jaccard(a: str, b: str, size: int) -> float:
     return len(x & y) / len(x | y) if x or y else 1.0
 
 
-def drop_near_copies(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, bits: int = 6) -> DataFrame:
+_MINHASH = np.random.default_rng(SEED).integers(0, 2**64, (2, BANDS * BAND_ROWS), np.uint64) | np.uint64(1)
+
+
+def band_keys(shingles: np.ndarray) -> np.ndarray:
+    """BANDS keys of a set of shingle hashes; each mixes BAND_ROWS min-hashes. Empty sets have keys of their own."""
+    if not len(shingles):
+        return np.arange(BANDS, dtype=np.uint64)
+    least = np.fromiter((((shingles ^ c) * m).min() for c, m in _MINHASH.T), np.uint64, BANDS * BAND_ROWS)
+    keys = np.arange(BANDS, dtype=np.uint64)
+    for column in least.reshape(BANDS, BAND_ROWS).T:
+        keys = mixed(keys ^ column)
+    return keys
+
+
+def _runs(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and size of the runs of rows that are equal in all columns."""
+    n = len(columns[0])
+    start = np.flatnonzero(np.concatenate([[n > 0], np.logical_or.reduce([x[1:] != x[:-1] for x in columns])]))
+    return start, np.diff(np.concatenate([start, [n]]))
+
+
+def centre_links(key: np.ndarray, node: np.ndarray, fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A link from each row to the row of its key that is nearest to the majority of the fingerprints."""
+    order = np.lexsort((node, key))
+    node, fp = node[order], fp[order].view(np.uint64)
+    start, size = _runs(key[order])
+    a, b = [node[start[size == 2]]], [node[start[size == 2] + 1]]
+    for s, n in zip(start[size > 2], size[size > 2], strict=True):
+        part = slice(s, s + n)
+        a.append(np.full(n, node[s + np.bitwise_count(fp[part] ^ np.uint64(fingerprint(fp[part]))).argmin()]))
+        b.append(node[part])
+    return np.concatenate(a), np.concatenate(b)
+
+
+def open_pairs(key: np.ndarray, node: np.ndarray, root: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of rows with one key and different roots."""
+    order = np.lexsort((node, root, key))
+    key, node, root = key[order], node[order], root[order]
+    start, size = _runs(key)
+    end = np.repeat(start + size, size)  # of the key
+    inner, n = _runs(key, root)
+    after = np.repeat(inner + n, n)  # first row of the next root
+    reps = end - after
+    first = np.repeat(np.arange(len(key)), reps)
+    second = np.repeat(after, reps) + np.arange(int(reps.sum())) - np.repeat(np.cumsum(reps) - reps, reps)
+    return node[first], node[second]
+
+
+def _jaccard(a: str, b: str, size: int) -> float:
+    x, y = (set(shingle_hashes(t, size).tolist()) for t in (a, b))
+    return len(x & y) / len(x | y) if x or y else 1.0
+
+
+def _sketches(texts: DataFrame, shingle: int) -> DataFrame:
+    """(node, fp, bands) of texts: fingerprint and band keys of their shingles."""
+
+    def run(batches):
+        for batch in batches:
+            sets = [np.unique(shingle_hashes(t.as_py(), shingle)) for t in batch.column(1)]
+            fp = np.fromiter((fingerprint(x) for x in sets), np.uint64, len(sets)).view(np.int64)
+            bands = pa.array([band_keys(x).view(np.int64) for x in sets], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp), bands], names=["node", "fp", "bands"])
+
+    return texts.select("node", "text").mapInArrow(run, "node long, fp long, bands array<long>")
+
+
+def _met(nodes: DataFrame, bands: int, extra: str, pairs) -> DataFrame:
+    """Distinct (a, b), a < b, of what ``pairs`` makes of the rows (key, node, extra) that meet in a bucket."""
+    buckets = max(1, nodes.count() * bands // ROWS_PER_BUCKET)
+
+    def link(pdf: pd.DataFrame) -> pd.DataFrame:
+        a, b = pairs(*(pdf[c].to_numpy() for c in ("key", "node", extra)))
+        found = pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+        return found[found["a"] < found["b"]].drop_duplicates()
+
+    rows = nodes.select(F.explode(F.slice("bands", 1, bands)).alias("key"), "node", extra)
+    return (
+        rows.groupBy(F.pmod(F.xxhash64("key"), F.lit(buckets)).alias("bucket"))
+        .applyInPandas(link, "a long, b long")
+        .distinct()
+    )
+
+
+def _held(pairs: DataFrame, texts: DataFrame, similarity: float, shingle: int, name: str) -> DataFrame:
+    """The stored pairs (a, b) of nodes whose shingle sets are similar enough."""
+    side = lambda c: texts.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}"))
+
+    def hold(batches):
+        for batch in batches:
+            both = zip(batch.column(2), batch.column(3), strict=True)
+            ok = pa.array([_jaccard(x.as_py(), y.as_py(), shingle) >= similarity for x, y in both], pa.bool_())
+            yield batch.select([0, 1]).filter(ok)
+
+    paired = stored(pairs, f"{name}-pairs").join(side("a"), "a").join(side("b"), "b")
+    with arrow_rows(pairs.sparkSession, PAIR_ROWS):  # a row has two whole texts
+        return stored(paired.select("a", "b", "text_a", "text_b").mapInArrow(hold, "a long, b long"), f"{name}-links")
+
+
+def drop_near_copies(docs: DataFrame, similarity: float = 0.8, shingle: int = 5) -> DataFrame:
     """The documents, all columns, without near copies: of each group the smallest doc_id stays.
 
-    Fingerprints of words within ``bits`` bits propose links; a link holds when the word-shingle sets have
-    at least the given Jaccard similarity, and a group is what held links connect. Equal texts are one text
-    from the start. Missing and empty texts are copies of each other; of rows with equal text and doc_id one
-    stays, whichever; a missing doc_id comes last.
+    A link holds when the word-shingle sets have at least the given Jaccard similarity, and a group is what
+    held links connect. Texts that share a band key are candidates; each candidate pair is compared exactly
+    unless links that hold connect the two already. Equal texts are one text from the start. Missing and empty
+    texts are copies of each other; of rows with equal text and doc_id one stays, whichever; a missing doc_id
+    comes last.
     """
     columns = [f"`{c}`" for c in docs.columns]
     key = F.sha2(body(docs), 256)
@@ -246,35 +342,17 @@ def drop_near_copies(docs: DataFrame, similarity: float = 0.8, shingle: int = 5,
     texts = stored(
         docs.select(key.alias("text_key"), order.alias("doc"), body(docs).alias("text"))
         .groupBy("text_key")
-        .agg(F.min("doc").alias("doc"), F.any_value("text").alias("text")),
+        .agg(F.min("doc").alias("doc"), F.any_value("text").alias("text"))
+        .withColumn("node", F.monotonically_increasing_id()),
         "near-texts",
     )
-    prints = stored(fingerprints(texts, word_fingerprint, "text_key"), "near-fingerprints")
-    nodes = stored(prints.groupBy("fp").agg(F.min("text_key").alias("lead")), "near-nodes")
-    links = fingerprint_links(nodes, bits, 0).distinct()
-    lead = lambda c: nodes.select(F.col("fp").alias(c), F.col("lead").alias(f"key_{c}"))
-    pairs = links.join(lead("a"), "a").join(lead("b"), "b").select("key_a", "key_b").unionByName(
-        prints.join(nodes, "fp")
-        .where("text_key <> lead")
-        .select(F.col("lead").alias("key_a"), F.col("text_key").alias("key_b"))
-    )
-    side = lambda c: texts.select(F.col("text_key").alias(f"key_{c}"), F.col("text").alias(f"text_{c}"))
-
-    def hold(batches):
-        for batch in batches:
-            texts = zip(batch.column(2), batch.column(3), strict=True)
-            ok = pa.array([_jaccard(x.as_py(), y.as_py(), shingle) >= similarity for x, y in texts], pa.bool_())
-            yield batch.select([0, 1]).filter(ok)
-
-    paired = stored(pairs, "near-pairs").join(side("a"), "key_a").join(side("b"), "key_b")
-    with arrow_rows(docs.sparkSession, PAIR_ROWS):  # a row has two whole texts
-        held = stored(
-            paired.select("key_a", "key_b", "text_a", "text_b").mapInArrow(hold, "key_a string, key_b string"),
-            "near-links",
-        )
-    roots = components(held.select(F.col("key_a").alias("a"), F.col("key_b").alias("b")))
-    rooted = texts.select("text_key", "doc").join(roots.withColumnRenamed("node", "text_key"), "text_key", "left")
-    stay = rooted.groupBy(F.coalesce("root", "text_key").alias("root")).agg(F.min(F.struct("doc", "text_key")).alias("s"))
+    nodes = stored(_sketches(texts, shingle), "near-sketches")
+    near = _held(_met(nodes, CENTRE_BANDS, "fp", centre_links), texts, similarity, shingle, "near-centre")
+    joined = nodes.join(components(near), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    more = _held(_met(joined, BANDS, "root", open_pairs), texts, similarity, shingle, "near-open")
+    roots = components(near.unionByName(more))
+    rooted = texts.select("node", "text_key", "doc").join(roots, "node", "left")
+    stay = rooted.groupBy(F.coalesce("root", "node").alias("root")).agg(F.min(F.struct("doc", "text_key")).alias("s"))
     stay = stay.select(F.col("s.text_key").alias("_key"), F.col("s.doc").alias("_doc"))
     marked = docs.select(F.struct(*columns).alias("_row"), key.alias("_key"), order.alias("_doc"))
     kept = marked.join(stay, ["_key", "_doc"])

@@ -369,6 +369,42 @@ def test_near_copies(spark):
     assert sorted(r["doc_id"] for r in simhash.drop_near_copies(docs).collect()) == list(range(0, 48, 4))
 
 
+def grown(rng, n):
+    return [f"{rng.choice('bcdfg')}{rng.randrange(10**6)}" for _ in range(n)]
+
+
+def kept_by_brute_force(rows, similarity=0.8):
+    """Ids that stay: the smallest of each group that pairs of at least this Jaccard similarity connect."""
+    sets = {i: set(simhash.shingle_hashes(t, 5).tolist()) for i, t in rows}
+    group = {i: i for i in sets}
+    for i in sorted(sets):
+        for j in sets:
+            x, y = sets[i], sets[j]
+            if i < j and group[i] != group[j] and len(x & y) >= similarity * len(x | y):
+                old, new = sorted((group[i], group[j]), reverse=True)
+                group = {k: new if g == old else g for k, g in group.items()}
+    return sorted(set(group.values()))
+
+
+def kept_near_copies(spark, rows):
+    return sorted(r["doc_id"] for r in simhash.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+
+
+def test_near_copies_below_a_common_centre(spark):
+    """Many texts within reach of one fingerprint that are not similar to it hold near copies of each other."""
+    rng = random.Random(3)
+    words = grown(rng, 400)
+    texts = []
+    for _ in range(60):  # the same words in blocks of another order: one bag of words, few common shingles
+        blocks = [words[k : k + 8] for k in range(0, 400, 8)]
+        rng.shuffle(blocks)
+        b = [w for block in blocks for w in block]
+        texts += [b, b[:-3] + grown(rng, 3)]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    want = kept_by_brute_force(rows)
+    assert kept_near_copies(spark, rows) == want and want == list(range(0, 120, 2))
+
+
 def test_pipeline_stages(spark, texts):
     docs = spark.read.parquet(f"{DIRECTORY}/documents.parquet")
     marked = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{DIRECTORY}/labels.parquet").collect()}
