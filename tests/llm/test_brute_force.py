@@ -428,6 +428,16 @@ def test_near_copies_of_every_kind_are_candidates(kind):
     assert of > 100 and found == of
 
 
+def test_near_copies_among_equal_bags_of_words(spark):
+    """Texts of the same words in other orders are not alike, yet near copies among them are found."""
+    rng = random.Random(5)
+    words, rows = grown(rng, 200), []
+    for k in range(12):
+        rng.shuffle(words)
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join([*words[:-2], words[-1], words[-2]]))]
+    assert kept_near_copies(spark, rows) == kept_by_brute_force(rows) == list(range(0, 24, 2))
+
+
 def test_pipeline_stages(spark, texts):
     docs = spark.read.parquet(f"{DIRECTORY}/documents.parquet")
     marked = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{DIRECTORY}/labels.parquet").collect()}
