@@ -236,7 +236,9 @@ def band_keys(shingles: np.ndarray) -> np.ndarray:
     """BANDS keys of a set of shingle hashes; each mixes BAND_ROWS min-hashes. Empty sets have keys of their own."""
     if not len(shingles):
         return np.arange(BANDS, dtype=np.uint64)
-    least = np.fromiter((((shingles ^ c) * m).min() for c, m in _MINHASH.T), np.uint64, BANDS * BAND_ROWS)
+    flip, factor = _MINHASH
+    parts = (shingles[lo : lo + 1_000, None] for lo in range(0, len(shingles), 1_000))
+    least = np.minimum.reduce([((part ^ flip) * factor).min(0) for part in parts])
     keys = np.arange(BANDS, dtype=np.uint64)
     for column in least.reshape(BANDS, BAND_ROWS).T:
         keys = mixed(keys ^ column)
