@@ -1,12 +1,12 @@
 """DuckDB SQL for the corpus queries that SQL can express.
 
-Repeated bytes take SQL minutes on whole tables. Shards (a packing), token ids, XXH64 fingerprints, fitted classifiers and passages retrieved by rank have no
+Repeated bytes take SQL minutes on whole tables. Shards (a packing), token ids, XXH64 fingerprints, lattice hashing, fitted classifiers and passages retrieved by rank have no
 SQL; tests compare those with brute force, a round trip or held-out labels.
 """
 
 from __future__ import annotations
 
-from gaugeworks.llm import licenses, rules
+from gaugeworks.llm import licenses, phrases, rules, tries
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -85,3 +85,59 @@ FROM b LEFT JOIN m USING (doc_id)"""
 
 
 LICENSE_JOIN = _license_join()
+
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+COLLOCATIONS = f"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang,
+        unnest(string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+    FROM documents),
+p AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS words FROM d),
+n AS (SELECT lang, sum(len(words)) AS n FROM p GROUP BY lang),
+g AS (SELECT lang, m, words, unnest(range(1, len(words) - m + 2)) AS i FROM p, range(1, {phrases.LONGEST + 1}) AS r(m)),
+f AS (SELECT lang, m, words[i:i + m - 1] AS words, count(*) AS f FROM g GROUP BY ALL HAVING f >= {phrases.LEAST}),
+part AS (SELECT lang, words, f, len, unnest(range(1, m - len + 2)) AS i
+    FROM (SELECT *, unnest(range(2, m)) AS len FROM f)),
+inside AS (SELECT lang, words[i:i + len - 1] AS words, max(f) AS most FROM part GROUP BY ALL),
+cut AS (SELECT c.lang, c.words, c.f AS a, k, l.f AS l, r.f AS r, ({phrases.SCALE}::HUGEINT * c.f) // (l.f + r.f) AS score
+    FROM (SELECT *, unnest(range(1, m)) AS k FROM f WHERE m > 1) c
+    JOIN f l ON l.lang = c.lang AND l.words = c.words[1:k]
+    JOIN f r ON r.lang = c.lang AND r.words = c.words[k + 1:]),
+best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, k) = 1),
+ranked AS (SELECT lang, array_to_string(b.words, ' ') AS phrase, a, l, r, score
+    FROM best b LEFT JOIN inside USING (lang, words)
+    WHERE coalesce(100 * most < {phrases.COVERED_PERCENT} * a, true))
+SELECT lang, CAST(row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS BIGINT) AS rank, phrase,
+    CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN n USING (lang) QUALIFY rank <= {phrases.TOP}"""
+
+# One step of CRC-32 per bit; a list holds each byte of the digits and seven zeros.
+_CRC = """xor(list_reduce(flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+        lambda x: [CAST(ord(x) AS UBIGINT), 0, 0, 0, 0, 0, 0, 0])),
+    lambda a, b: xor(xor(a, b) >> 1, 3988292384 * (xor(a, b) & 1)), CAST(4294967295 AS UBIGINT)), 4294967295)"""
+
+CONVERSATION_TRIE = f"""
+WITH t AS (SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS place
+    FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+          WHERE conv_id IS NOT NULL)),
+c AS (SELECT conv_id, {_CRC} % {tries.HEADS} AS h FROM (SELECT DISTINCT conv_id FROM t)),
+s AS (SELECT c.conv_id, 0 AS part, place, role, text FROM c
+        JOIN t ON t.conv_id = c.conv_id - c.conv_id % {tries.EVERY} AND place < h
+      UNION ALL SELECT conv_id, 1, place, role, text FROM c JOIN t USING (conv_id) WHERE place >= h),
+q AS (SELECT conv_id, length(text) AS chars, md5(length(role) || ' ' || role || text) AS turn,
+        row_number() OVER (PARTITION BY conv_id ORDER BY part, place) AS depth FROM s),
+p AS (SELECT conv_id, depth, chars, string_agg(turn, '') OVER (PARTITION BY conv_id ORDER BY depth) AS path FROM q
+      UNION ALL SELECT conv_id, 0, 0, '' FROM c),
+m AS (SELECT *, depth = max(depth) OVER (PARTITION BY conv_id) AS ends FROM p),
+v AS (SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * max(chars) AS own,
+        CAST(bool_and(ends) AS INT) AS leaf,
+        sha256(coalesce(string_agg(CASE WHEN ends THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id), '')) AS ends_sha256
+      FROM m GROUP BY path, depth),
+up AS (SELECT left(path, 32 * k) AS path, sum(leaf) AS n_leaves, sum(own) AS saved_tokens
+       FROM (SELECT *, unnest(range(0, depth + 1)) AS k FROM v) GROUP BY ALL),
+down AS (SELECT left(path, 32 * (depth - 1)) AS path, count(*) AS n_children FROM v WHERE depth > 0 GROUP BY ALL)
+SELECT v.conv_id, v.depth, o.conv_id AS parent_conv_id, v.n_convs, CAST(coalesce(n_children, 0) AS BIGINT) AS n_children,
+    CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, v.ends_sha256
+FROM v JOIN up USING (path) LEFT JOIN down USING (path)
+LEFT JOIN v o ON v.depth > 0 AND o.path = left(v.path, 32 * (v.depth - 1))"""

@@ -6,7 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gaugeworks.llm import anchors, decontaminate, licenses, oracles, packing, quality, rules, shards, simhash, suffixes, toxicity
+from gaugeworks.llm import (
+    anchors,
+    decontaminate,
+    lattice,
+    licenses,
+    oracles,
+    packing,
+    phrases,
+    quality,
+    rules,
+    shards,
+    simhash,
+    suffixes,
+    toxicity,
+    tries,
+)
 from gaugeworks.llm.common import read
 
 WORD_BPE = "word_bpe_49k.json"
@@ -59,6 +74,18 @@ def op10_pu_toxicity(spark: SparkSession, directory: str) -> DataFrame:
     return toxicity.toxicity_scores(read(spark, directory, "documents"), read(spark, directory, "labels"))
 
 
+def op11_lattice_embeddings(spark: SparkSession, directory: str) -> DataFrame:
+    return lattice.similar_vectors(read(spark, directory, "embeddings"))
+
+
+def op12_phrase_collocations(spark: SparkSession, directory: str) -> DataFrame:
+    return phrases.collocations(read(spark, directory, "documents"))
+
+
+def op13_conversation_trie(spark: SparkSession, directory: str) -> DataFrame:
+    return tries.conversation_trie(read(spark, directory, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bm25_decontamination": op1_bm25_decontamination,
     "op2_additive_quality": op2_additive_quality,
@@ -70,10 +97,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_pu_toxicity": op10_pu_toxicity,
     "op7_suffix_array": op7_suffix_array,
     "op8_rule_cascade": op8_rule_cascade,
+    "op11_lattice_embeddings": op11_lattice_embeddings,
+    "op12_phrase_collocations": op12_phrase_collocations,
+    "op13_conversation_trie": op13_conversation_trie,
 }
 
 SQL: dict[str, str] = {
     "op4_license_join": oracles.LICENSE_JOIN,
     "op5_block_anchors": oracles.BLOCK_ANCHORS,
     "op8_rule_cascade": oracles.RULE_CASCADE,
+    "op12_phrase_collocations": oracles.COLLOCATIONS,
+    "op13_conversation_trie": oracles.CONVERSATION_TRIE,
 }
