@@ -11,10 +11,11 @@ Distinct fingerprints, not documents, are replicated: copies are one row before
 anchor holds is bounded by the ball around it. Within an anchor up to PAIRWISE fingerprints are compared
 pair by pair; larger ones are searched from their centre, which gives a tree of links instead of all pairs.
 
-Near copies that are verified (``drop_near_copies``) need every candidate pair, not a tree. They are proposed by
-min-hashes of the shingle set, whose chance to agree is the Jaccard similarity itself, whatever was edited:
-BANDS keys of BAND_ROWS min-hashes each. Links to the centre of a key come first and are verified; then all
-pairs of a key are proposed that these links have not connected.
+Near copies that are verified (``drop_near_copies``) need more than close fingerprints: texts with one side grown
+or cut are far apart in them. Candidates are proposed by min-hashes of the shingle set, whose chance to agree is
+the Jaccard similarity itself, whatever was edited: BANDS keys of BAND_ROWS min-hashes each. What keys connect is
+a cluster; its texts meet once and are compared exactly, those that links connect already not again. Clusters
+with very much text are first thinned by links between close fingerprints, then cut into blocks.
 """
 
 from __future__ import annotations
@@ -38,8 +39,8 @@ SEED = 42
 PAIRWISE = 64
 ROWS_PER_BUCKET = 250_000
 PAIR_ROWS = 500
+BLOCK_BYTES = 8 << 20  # text of a cluster that one task compares with itself
 BANDS, BAND_ROWS = 32, 4  # a pair at similarity 0.8 shares no key with probability (1 - 0.8**4)**32 = 5e-8
-CENTRE_BANDS = 8  # keys whose centres are linked first
 
 GOLAY = 0xC75  # generator polynomial of the code, fixed value
 BLOCKS = ((0, 21), (21, 21), (42, 22))  # first bit and width
@@ -69,16 +70,13 @@ def _patterns(weight: int) -> np.ndarray:
     return np.array([f + [2**32 - 1] * (width - len(f)) for f in found], np.uint64)
 
 
-def fingerprint(hashes: np.ndarray, weights: np.ndarray | None = None) -> int:
-    """Bits that are set in over half of the hashes (by weight); zero for none."""
-    if not len(hashes):
-        return 0
-    bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    if weights is None:
-        over = 2 * bits.sum(0, dtype=np.int64) > len(hashes)
-    else:
-        over = 2 * (weights @ bits) > weights.sum()
-    return int(np.packbits(over, bitorder="little").view("<u8")[0])
+def fingerprint(hashes: np.ndarray) -> int:
+    """Bits that are set in over half of the hashes; zero for none. Hashes are unpacked in parts, for long texts."""
+    ones = np.zeros(64, np.int64)
+    for lo in range(0, len(hashes), 65_536):
+        part = hashes[lo : lo + 65_536].view(np.uint8).reshape(-1, 8)
+        ones += np.unpackbits(part, axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
 def shingle_hashes(text: str, size: int = SHINGLE, seed: int = SEED) -> np.ndarray:
@@ -224,11 +222,6 @@ def near_components(docs: DataFrame, bits: int = BITS, refine: int | None = None
     )
 
 
-def _jaccard(a: str, b: str, size: int) -> float:
-    x, y = (set(shingle_hashes(t, size).tolist()) for t in (a, b))
-    return len(x & y) / len(x | y) if x or y else 1.0
-
-
 _MINHASH = np.random.default_rng(SEED).integers(0, 2**64, (2, BANDS * BAND_ROWS), np.uint64) | np.uint64(1)
 
 
@@ -245,73 +238,87 @@ def band_keys(shingles: np.ndarray) -> np.ndarray:
     return keys
 
 
-def _runs(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start and size of the runs of rows that are equal in all columns."""
-    n = len(columns[0])
-    start = np.flatnonzero(np.concatenate([[n > 0], np.logical_or.reduce([x[1:] != x[:-1] for x in columns])]))
-    return start, np.diff(np.concatenate([start, [n]]))
+def shingle_set(text: str, size: int) -> np.ndarray:
+    """Distinct shingle hashes of a text, in order; one that stands for nothing if it has no words."""
+    found = np.unique(shingle_hashes(text, size))
+    return found if len(found) else np.zeros(1, np.uint64)
 
 
-def centre_links(key: np.ndarray, node: np.ndarray, fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A link from each row to the row of its key that is nearest to the majority of the fingerprints."""
-    order = np.lexsort((node, key))
-    node, fp = node[order], fp[order].view(np.uint64)
-    start, size = _runs(key[order])
-    a, b = [node[start[size == 2]]], [node[start[size == 2] + 1]]
-    for s, n in zip(start[size > 2], size[size > 2], strict=True):
-        part = slice(s, s + n)
-        a.append(np.full(n, node[s + np.bitwise_count(fp[part] ^ np.uint64(fingerprint(fp[part]))).argmin()]))
-        b.append(node[part])
-    return np.concatenate(a), np.concatenate(b)
-
+def similar(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return common / (len(a) + len(b) - common) >= similarity
 
-def open_pairs(key: np.ndarray, node: np.ndarray, root: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All pairs of rows with one key and different roots."""
-    order = np.lexsort((node, root, key))
-    key, node, root = key[order], node[order], root[order]
-    start, size = _runs(key)
-    end = np.repeat(start + size, size)  # of the key
-    inner, n = _runs(key, root)
-    after = np.repeat(inner + n, n)  # first row of the next root
-    reps = end - after
-    first = np.repeat(np.arange(len(key)), reps)
-    second = np.repeat(after, reps) + np.arange(int(reps.sum())) - np.repeat(np.cumsum(reps) - reps, reps)
-    return node[first], node[second]
 
+def joined_groups(sets: list[np.ndarray], group: np.ndarray, side: np.ndarray | None, similarity: float) -> np.ndarray:
+    """Groups of sets, the given ones joined wherever two sets are similar; with sides only pairs across them.
 
-def _jaccard(a: str, b: str, size: int) -> float:
-    x, y = (set(shingle_hashes(t, size).tolist()) for t in (a, b))
-    return len(x & y) / len(x | y) if x or y else 1.0
+    Sets go by size, each compared with the larger ones in reach that its group does not hold yet: its members are
+    marked and counted in all those at once.
+    """
+    if len(sets) == 2:
+        near = group[0] != group[1] and similar(sets[0], sets[1], similarity)
+        return np.full(2, group.min()) if near else group
+    size = np.array([len(x) for x in sets])
+    order = np.argsort(size, kind="stable")
+    group, size = group[order], size[order]
+    side = None if side is None else side[order]
+    values, ids = np.unique(np.concatenate([sets[k] for k in order]), return_inverse=True)
+    start = np.concatenate([[0], np.cumsum(size)])
+    mark = np.zeros(len(values), bool)
+    last = np.searchsorted(size, np.floor(size / similarity).astype(np.int64) + 1, side="right")
+    for i in range(len(size)):
+        open_ = group[i + 1 : last[i]] != group[i]
+        if side is not None:
+            open_ &= side[i + 1 : last[i]] != side[i]
+        other = i + 1 + np.flatnonzero(open_)
+        if not len(other):
+            continue
+        mark[ids[start[i] : start[i + 1]]] = True
+        n = size[other]
+        first = np.cumsum(n) - n
+        common = np.add.reduceat(mark[ids[np.repeat(start[other] - first, n) + np.arange(int(n.sum()))]], first, dtype=np.int64)
+        mark[ids[start[i] : start[i + 1]]] = False
+        near = other[common / (size[i] + n - common) >= similarity]
+        if len(near):
+            these = np.unique(np.append(group[near], group[i]))
+            group[np.isin(group, these)] = these[0]
+    out = np.empty_like(group)
+    out[order] = group
+    return out
 
 
 def _sketches(texts: DataFrame, shingle: int) -> DataFrame:
-    """(node, fp, bands) of texts: fingerprint and band keys of their shingles."""
+    """(node, size, fp, bands) of texts: bytes, fingerprint and band keys of their shingles."""
 
     def run(batches):
         for batch in batches:
-            sets = [np.unique(shingle_hashes(t.as_py(), shingle)) for t in batch.column(1)]
+            sets = [shingle_set(t.as_py(), shingle) for t in batch.column(1)]
             fp = np.fromiter((fingerprint(x) for x in sets), np.uint64, len(sets)).view(np.int64)
             bands = pa.array([band_keys(x).view(np.int64) for x in sets], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp), bands], names=["node", "fp", "bands"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(2), pa.array(fp), bands], names=["node", "size", "fp", "bands"]
+            )
 
-    return texts.select("node", "text").mapInArrow(run, "node long, fp long, bands array<long>")
+    sized = texts.select("node", "text", F.octet_length("text").cast("long").alias("size"))
+    return sized.mapInArrow(run, "node long, size long, fp long, bands array<long>")
 
 
-def _met(nodes: DataFrame, bands: int, extra: str, pairs) -> DataFrame:
-    """Distinct (a, b), a < b, of what ``pairs`` makes of the rows (key, node, extra) that meet in a bucket."""
-    buckets = max(1, nodes.count() * bands // ROWS_PER_BUCKET)
+def _clusters(sketches: DataFrame) -> DataFrame:
+    """Stored (node, cluster) of the texts that a chain of shared band keys connects with another one."""
+    keys = sketches.select(F.explode("bands").alias("key"), "node")
+    heads = keys.groupBy("key").agg(F.min("node").alias("head"), F.max("node").alias("end")).where("head < end")
+    stars = keys.join(heads, "key").where("node <> head")
+    roots = components(stars.select(F.col("node").alias("a"), F.col("head").alias("b")))
+    return stored(roots.select("node", F.col("root").alias("cluster")), "near-clusters")
 
-    def link(pdf: pd.DataFrame) -> pd.DataFrame:
-        a, b = pairs(*(pdf[c].to_numpy() for c in ("key", "node", extra)))
-        found = pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
-        return found[found["a"] < found["b"]].drop_duplicates()
 
-    rows = nodes.select(F.explode(F.slice("bands", 1, bands)).alias("key"), "node", extra)
-    return (
-        rows.groupBy(F.pmod(F.xxhash64("key"), F.lit(buckets)).alias("bucket"))
-        .applyInPandas(link, "a long, b long")
-        .distinct()
-    )
+def _fingerprint_pairs(nodes: DataFrame) -> DataFrame:
+    """(a, b) of nodes (node, fp): with the first of an equal fingerprint, and between close fingerprints."""
+    first = stored(nodes.groupBy("fp").agg(F.min("node").alias("head")), "near-prints")
+    same = nodes.join(first, "fp").where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b"))
+    end = lambda c: first.select(F.col("fp").alias(c), F.col("head").alias(f"node_{c}"))
+    close = fingerprint_links(first).where("a <> b").distinct().join(end("a"), "a").join(end("b"), "b")
+    return same.unionByName(close.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")))
 
 
 def _held(pairs: DataFrame, texts: DataFrame, similarity: float, shingle: int, name: str) -> DataFrame:
@@ -320,8 +327,8 @@ def _held(pairs: DataFrame, texts: DataFrame, similarity: float, shingle: int, n
 
     def hold(batches):
         for batch in batches:
-            both = zip(batch.column(2), batch.column(3), strict=True)
-            ok = pa.array([_jaccard(x.as_py(), y.as_py(), shingle) >= similarity for x, y in both], pa.bool_())
+            both = ((shingle_set(x.as_py(), shingle), shingle_set(y.as_py(), shingle)) for x, y in zip(*batch.columns[2:], strict=True))
+            ok = pa.array([similar(x, y, similarity) for x, y in both], pa.bool_())
             yield batch.select([0, 1]).filter(ok)
 
     paired = stored(pairs, f"{name}-pairs").join(side("a"), "a").join(side("b"), "b")
@@ -329,14 +336,80 @@ def _held(pairs: DataFrame, texts: DataFrame, similarity: float, shingle: int, n
         return stored(paired.select("a", "b", "text_a", "text_b").mapInArrow(hold, "a long, b long"), f"{name}-links")
 
 
+def _cut(placed: DataFrame, texts: DataFrame, similarity: float, shingle: int) -> tuple[DataFrame, DataFrame | None]:
+    """Rows (cluster, node, unit, bx, by, side) of the comparisons to make, and links found on the way.
+
+    A cluster of up to BLOCK_BYTES is one comparison. Of a larger one the texts that links between close
+    fingerprints connect are a unit; it is cut into blocks, those of its largest unit and those of the rest, and
+    all pairs of blocks are compared but those within the largest unit.
+    """
+    whole = {"unit": F.col("node"), "bx": F.lit(0), "by": F.lit(0), "side": F.lit(0)}
+    columns = ["cluster", "node", *whole]
+    large = placed.groupBy("cluster").agg(F.sum("size").alias("total")).where(F.col("total") > BLOCK_BYTES)
+    large = stored(large, "near-large")
+    if large.isEmpty():
+        return placed.withColumns(whole).select(columns), None
+    small = placed.join(large, "cluster", "left_anti").withColumns(whole).select(columns)
+    big = stored(placed.join(large, "cluster"), "near-big")
+    links = _held(_fingerprint_pairs(big), texts, similarity, shingle, "near-close")
+    big = big.join(components(links), "node", "left").withColumn("unit", F.coalesce("root", "node"))
+    big = stored(big.select("cluster", "node", "size", "total", "unit"), "near-units")
+    units = big.groupBy("cluster", "unit").agg(F.sum("size").alias("n"))
+    top = units.groupBy("cluster").agg(F.max(F.struct("n", "unit")).alias("top"))
+    blocks = lambda n: F.ceil(n / BLOCK_BYTES).cast("int")
+    big = big.join(top, "cluster").withColumns(
+        {"others": blocks(F.col("total") - F.col("top.n")), "tops": blocks(F.col("top.n"))}
+    )
+    h = F.xxhash64("node")
+    in_top = F.col("unit") == F.col("top.unit")
+    mine = F.when(in_top, F.col("others") + F.pmod(h, F.col("tops"))).otherwise(F.pmod(h, F.col("others"))).cast("int")
+    last = F.when(in_top, F.col("others") - 1).otherwise(F.col("others") + F.col("tops") - 1).cast("int")
+    big = big.where("others > 0").withColumn("mine", mine)
+    big = big.withColumn("partner", F.explode(F.sequence(F.lit(0), last)))
+    big = big.select(
+        "cluster", "node", "unit",
+        F.least("mine", "partner").alias("bx"),
+        F.greatest("mine", "partner").alias("by"),
+        (F.col("mine") > F.col("partner")).cast("int").alias("side"),
+    )
+    return small.unionByName(big), links
+
+
+def _linked_texts(rows: DataFrame, n_bytes: int, similarity: float, shingle: int) -> DataFrame:
+    """(a, b) that connect the similar texts of each comparison: rows of ``_cut`` with text."""
+    buckets = max(1, n_bytes // (2 * BLOCK_BYTES))
+    task = ["cluster", "bx", "by"]
+
+    def meet(pdf: pd.DataFrame) -> pd.DataFrame:
+        a, b = [], []
+        for (_, bx, by), part in pdf.groupby(task, sort=False):
+            if len(part) < 2:
+                continue
+            sets = [shingle_set(t, shingle) for t in part["text"]]
+            node, side = part["node"].to_numpy(), part["side"].to_numpy()
+            group = joined_groups(sets, part["unit"].to_numpy().copy(), None if bx == by else side, similarity)
+            names, index = np.unique(group, return_inverse=True)
+            least = np.full(len(names), np.iinfo(np.int64).max)
+            np.minimum.at(least, index, node)
+            far = least[index] != node
+            a.append(node[far])
+            b.append(least[index][far])
+        none = np.zeros(0, np.int64)
+        return pd.DataFrame({"a": np.concatenate([none, *a]), "b": np.concatenate([none, *b])})
+
+    bucket = F.pmod(F.xxhash64(*task), F.lit(buckets)).alias("bucket")
+    return rows.groupBy(bucket).applyInPandas(meet, "a long, b long")
+
+
 def drop_near_copies(docs: DataFrame, similarity: float = 0.8, shingle: int = 5) -> DataFrame:
     """The documents, all columns, without near copies: of each group the smallest doc_id stays.
 
     A link holds when the word-shingle sets have at least the given Jaccard similarity, and a group is what
-    held links connect. Texts that share a band key are candidates; each candidate pair is compared exactly
-    unless links that hold connect the two already. Equal texts are one text from the start. Missing and empty
-    texts are copies of each other; of rows with equal text and doc_id one stays, whichever; a missing doc_id
-    comes last.
+    held links connect. Texts that share a band key are candidates; what keys connect is compared exactly, a pair
+    only if links that hold do not connect the two already. Equal texts are one text from the start. Missing and
+    empty texts are copies of each other; a text of any length is compared whole; of rows with equal text and
+    doc_id one stays, whichever; a missing doc_id comes last. An empty table stays empty, and columns of any name
+    stay as they are.
     """
     columns = [f"`{c}`" for c in docs.columns]
     key = F.sha2(body(docs), 256)
@@ -348,11 +421,12 @@ def drop_near_copies(docs: DataFrame, similarity: float = 0.8, shingle: int = 5)
         .withColumn("node", F.monotonically_increasing_id()),
         "near-texts",
     )
-    nodes = stored(_sketches(texts, shingle), "near-sketches")
-    near = _held(_met(nodes, CENTRE_BANDS, "fp", centre_links), texts, similarity, shingle, "near-centre")
-    joined = nodes.join(components(near), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    more = _held(_met(joined, BANDS, "root", open_pairs), texts, similarity, shingle, "near-open")
-    roots = components(near.unionByName(more))
+    sketches = stored(_sketches(texts, shingle), "near-sketches")
+    placed = stored(sketches.select("node", "size", "fp").join(_clusters(sketches), "node"), "near-placed")
+    n_bytes = placed.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    rows, links = _cut(placed, texts, similarity, shingle)
+    found = _linked_texts(rows.join(texts.select("node", "text"), "node"), n_bytes, similarity, shingle)
+    roots = components(found if links is None else found.unionByName(links))
     rooted = texts.select("node", "text_key", "doc").join(roots, "node", "left")
     stay = rooted.groupBy(F.coalesce("root", "node").alias("root")).agg(F.min(F.struct("doc", "text_key")).alias("s"))
     stay = stay.select(F.col("s.text_key").alias("_key"), F.col("s.doc").alias("_doc"))

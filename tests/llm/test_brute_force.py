@@ -390,6 +390,34 @@ def kept_near_copies(spark, rows):
     return sorted(r["doc_id"] for r in simhash.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect())
 
 
+@pytest.mark.parametrize("block_bytes", [simhash.BLOCK_BYTES, 3_000])
+def test_near_copies_in_blocks(spark, monkeypatch, block_bytes):
+    """One cluster whose texts mostly are not similar to each other, with links of every kind inside."""
+    monkeypatch.setattr(simhash, "BLOCK_BYTES", block_bytes)
+    rng = random.Random(9)
+    words, rows = grown(rng, 60), []
+    for k in range(90):
+        w = list(words)
+        for i in rng.sample(range(60), rng.choice((0, 1, 1, 2, 3))):
+            w[i] = f"new{rng.randrange(10**6)}"
+        rows.append((k, " ".join(w + grown(rng, rng.choice((0, 0, 1, 8))))))
+    want = kept_by_brute_force(rows)
+    assert 5 < len(want) < 80 and kept_near_copies(spark, rows) == want
+
+
+def test_joined_groups():
+    rng = np.random.default_rng(6)
+    base = rng.integers(0, 2**63, 100, np.uint64)
+    sets = [np.unique(np.concatenate([rng.permutation(base)[: rng.integers(70, 101)], rng.integers(0, 2**63, 5, np.uint64)])) for _ in range(60)]
+    group = simhash.joined_groups(sets, np.arange(60), None, 0.8)
+    want = np.arange(60)
+    for i in range(60):
+        for j in range(i):
+            if simhash.similar(sets[i], sets[j], 0.8):
+                want[want == want[i]] = want[j]
+    assert len({*zip(group.tolist(), want.tolist(), strict=True)}) == len(set(group.tolist())) == len(set(want.tolist())) < 60
+
+
 def test_near_copies_below_a_common_centre(spark):
     """Many texts within reach of one fingerprint that are not similar to it hold near copies of each other."""
     rng = random.Random(3)

@@ -145,8 +145,16 @@ def test_contaminated_pairs(docs, none, items):
 def test_filters_keep_columns(docs, none, labels):
     kept = simhash.drop_near_copies(docs)
     assert kept.dtypes == docs.dtypes
-    # 1, 2 and 8 have no words; the texts with the passage differ too much; of the two equal rows one stays.
-    assert sorted((r["doc_id"] or 0) for r in kept.collect()) == [0, 1, 3, 4, 5, 6, 7]
+    # 1, 2 and 8 have no words; the three texts with the passage share 0.84 and more of their shingles, so the
+    # smallest id stays; of the two equal rows one stays.
+    assert sorted((r["doc_id"] or 0) for r in kept.collect()) == [1, 3, 4, 6, 7]
+    # 26 of 33 shingles are shared, just under 0.8: both stay.
+    less = PASSAGE.rsplit(" ", 3)[0] + " a b c d"
+    pair = docs.where("doc_id = 5").withColumn("text", F.lit(f"second {PASSAGE}"))
+    pair = pair.unionByName(pair.withColumns({"doc_id": F.lit(11).cast("long"), "text": F.lit(f"second {less}")}))
+    x, y = (simhash.shingle_set(r["text"], 5) for r in pair.collect())
+    assert 0.7 < len(set(x) & set(y)) / len(set(x) | set(y)) < 0.8
+    assert sorted(r["doc_id"] for r in simhash.drop_near_copies(pair).collect()) == [5, 11]
     cut = anchors.drop_repeated_words(docs)
     assert cut.schema.names == docs.schema.names
     r = by_id(cut)
