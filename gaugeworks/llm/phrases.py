@@ -48,6 +48,7 @@ class _Words:
         for i, text in zip(chunk.ids.tolist(), chunk.documents(), strict=True):
             texts.setdefault(i, []).append(text)
         self.words, self.lang, ids, hashes = [], [], [], []
+        self.passed: dict[int, np.ndarray] = {}  # by size, once known
         for lang, parts in texts.items():
             tokens = _BREAK.join(parts).lower().translate(_LETTERS).replace(_BREAK, b" \xff ").split()
             number = {w: k for k, w in enumerate(dict.fromkeys(tokens), len(self.words))}
@@ -97,6 +98,8 @@ class Counting:
 
     def _passed(self, words: _Words, answers: dict, size: int) -> np.ndarray:
         """Places where a phrase of that size starts that may be frequent, by the answers to its round."""
+        if size in words.passed:
+            return words.passed[size]
         good = self._open(words, answers, size)
         start = np.flatnonzero(good)
         distinct, index, _ = self._asked(words, start, size)
@@ -105,6 +108,7 @@ class Counting:
             told = C.thaw(answers[(size, bucket)])[0]
             hit[part] = np.unpackbits(told, count=part.stop - part.start).astype(bool)
         good[start] = hit[index]
+        words.passed[size] = good
         return good
 
     def questions(self, size: int):
