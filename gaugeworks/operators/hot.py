@@ -14,14 +14,28 @@ from gaugeworks.operators.load import write_partitioned
 KEY = ["entity_id", "tenant_id"]
 
 
+def _plain_number(value: Column) -> Column:
+    """A number written out in digits with its sign and needless zeros trimmed; null for others and for numbers of
+    more than 38 digits, which JSON readers would round."""
+    text = F.trim(value)
+    whole = F.regexp_extract(text, r"^[+-]?0*(\d*)", 1)
+    fraction = F.regexp_extract(text, r"^[+-]?\d*\.(\d*?)0*$", 1)
+    digits = F.concat(F.when(whole == "", "0").otherwise(whole), F.when(fraction == "", "").otherwise(F.concat(F.lit("."), fraction)))
+    sign = F.when(text.startswith("-") & (digits != "0"), "-").otherwise("")
+    short = F.length(F.replace(digits, F.lit("."), F.lit(""))) <= 38
+    return F.when(text.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)$") & short, F.concat(sign, digits))
+
+
 def _typed_value(data_type: Column, value: Column) -> Column:
     """Text value as a JSON fragment of its own type; numbers and booleans in one spelling, so that '+5',
-    '007' and '10.50' are 5, 7 and 10.5. A number without that form (or no number at all) stays text."""
+    '007' and '10.50' are 5, 7 and 10.5, with all digits they have. Numbers with an exponent are written out as
+    decimals of ten places where these hold them; what is no number stays text."""
     quoted = F.to_json(F.to_variant_object(F.struct(value.alias("v"))))
     as_text = F.regexp_extract(quoted, r'^\{"v":(.*)\}$', 1)
-    number = value.try_cast("decimal(38,10)")
-    numeric = data_type.isin("integer", "decimal") & number.isNotNull()
-    plain = F.regexp_replace(number.cast("string"), r"\.?0+$", "")
+    other = value.try_cast("decimal(38,10)")
+    exact = (other.cast("double") == value.try_cast("double")) & value.rlike("[eE]")
+    plain = F.coalesce(_plain_number(value), F.when(exact, F.regexp_replace(other.cast("string"), r"\.?0+$", "")))
+    numeric = data_type.isin("integer", "decimal") & plain.isNotNull()
     truth = value.try_cast("boolean")
     return (
         F.when(value.isNull(), "null")

@@ -167,22 +167,65 @@ def archive_manifest(values: DataFrame, *, as_of=None, keep_months: int = 12) ->
     )
 
 
+ARCHIVE_LOG = "year_month string, row_count long, action string, at timestamp, load_id string"
+
+
+def read_archive_log(spark: SparkSession, path: str) -> DataFrame:
+    """All decisions on months so far; empty before the first run."""
+    try:
+        return spark.read.schema(ARCHIVE_LOG).parquet(f"{path}/*")
+    except AnalysisException:
+        return spark.createDataFrame([], ARCHIVE_LOG)
+
+
+def folded_manifest(log: DataFrame) -> DataFrame:
+    """What holds for each month: archived for good once it was, else what the last run said.
+
+    The rows of an archived month are those of all its loads. Months that live history has no row of any more
+    stay listed.
+    """
+    gone = F.col("action") == "archive"
+    kept = F.max_by("row_count", F.when(~gone, F.col("at")))
+    return log.groupBy("year_month").agg(
+        F.coalesce(F.sum(F.when(gone, F.col("row_count"))), kept).alias("row_count"),
+        F.when(F.max(gone.cast("int")) == 1, "archive").otherwise("keep").alias("action"),
+    )
+
+
 def archive_partitions(
     values: DataFrame, archive_path: str, manifest_path: str, *, as_of=None, keep_months: int = 12
 ) -> DataFrame:
-    """Copy expired months to the archive, then publish the manifest that hides them from readers.
+    """Copy expired months to the archive, then log what was done; returns the manifest over all runs.
 
-    The live files are not rewritten: ``live_months`` reads only what the manifest keeps, and the
-    storage can drop the archived month folders at any later time.
+    The log only grows, by a row per month and run, so a month stays archived when its live folders are gone. Rows
+    of an archived month that the archive lacks, late ones, are added as a load of their own; a run that dies
+    before it is logged is repeated under the same ``as_of`` and writes over itself. The live files are not
+    rewritten: ``live_months`` reads only what the manifest keeps, and the storage can drop the archived month
+    folders at any later time.
     """
-    spark = values.sparkSession
+    spark, now = values.sparkSession, timefn.resolve_as_of(as_of)
+    load_id = f"{now:%Y%m%dT%H%M%S%f}"
+    log = read_archive_log(spark, manifest_path).where(F.col("load_id") != load_id)
+    before = folded_manifest(log).where("action = 'archive'").select("year_month")
     monthly = values.withColumn("year_month", timefn.year_month(F.col("ingested_at")))
-    now = timefn.resolve_as_of(as_of)
     cutoff = timefn.add_months(timefn.month_start(now), -keep_months)
     expired = monthly.where(F.col("ingested_at") < timefn.ts(cutoff))
-    write_fact(expired, archive_path)
-    archive_manifest(values, as_of=now, keep_months=keep_months).write.mode("overwrite").parquet(manifest_path)
-    return spark.read.parquet(manifest_path)
+    fresh = expired.join(before, "year_month", "left_anti").select(monthly.columns)
+    again = expired.join(before, "year_month", "left_semi").select(monthly.columns)
+    if not before.isEmpty():
+        stored = spark.read.parquet(archive_path).where(F.col("load_id") != load_id)
+        fresh = fresh.unionByName(again.exceptAll(stored.select(*[F.col(c).cast(t) for c, t in monthly.dtypes])))
+    write_fact(fresh.withColumn("load_id", F.lit(load_id)), archive_path, partitions=("year_month", "load_id"))
+    told = archive_manifest(values, as_of=now, keep_months=keep_months).where("action = 'keep'")
+    try:
+        moved = spark.read.parquet(archive_path).where(F.col("load_id") == load_id)
+        moved = moved.groupBy(F.col("year_month").cast("string").alias("year_month")).agg(F.count("*").alias("row_count"))
+        told = told.unionByName(moved.withColumn("action", F.lit("archive")))
+    except AnalysisException:  # nothing was ever archived
+        pass
+    entry = told.withColumns({"at": timefn.ts(now), "load_id": F.lit(load_id)}).coalesce(1)
+    entry.write.mode("overwrite").parquet(f"{manifest_path}/run-{load_id}")
+    return folded_manifest(read_archive_log(spark, manifest_path)).orderBy("year_month")
 
 
 def live_months(monthly: DataFrame, manifest: DataFrame) -> DataFrame:

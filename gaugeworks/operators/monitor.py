@@ -98,6 +98,23 @@ def latest_heartbeat(beats: DataFrame) -> DataFrame:
     return beats.groupBy("source").agg(F.max("timestamp").alias("timestamp"))
 
 
+def retained_heartbeats(beats: DataFrame, *, as_of=None, hours: int = 24) -> DataFrame:
+    """Heartbeats of the last hours; older ones have no reader any more."""
+    now = timefn.resolve_as_of(as_of)
+    return beats.where(F.col("timestamp") >= timefn.ts(now - dt.timedelta(hours=hours)))
+
+
+def prune_heartbeats(path: str, beats: DataFrame, *, as_of=None, hours: int = 24) -> DataFrame:
+    """Store the heartbeats that are retained in a folder of their own; returns them.
+
+    The table is small, as its retention bounds it; readers go on with the folder they have.
+    """
+    now = timefn.resolve_as_of(as_of)
+    kept = retained_heartbeats(beats, as_of=now, hours=hours)
+    kept.write.mode("overwrite").parquet(f"{path}/at={now:%Y%m%dT%H%M%S%f}")
+    return beats.sparkSession.read.schema(kept.schema).parquet(f"{path}/at={now:%Y%m%dT%H%M%S%f}")
+
+
 def _lag_label(lag_ms: Column) -> Column:
     return (
         F.when(lag_ms.isNull(), "NO_HEARTBEAT").when(lag_ms > 5000, "CRITICAL").when(lag_ms > 3000, "WARNING")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from gaugeworks import schemas
 from gaugeworks.functions import jsonfn, timefn
-from gaugeworks.operators import cdc, eav, hot, load, rollups, scd, scope
+from gaugeworks.operators import cdc, eav, hot, load, monitor, rollups, scd, scope
 from gaugeworks.plans.registry import AS_OF, NOW, num, over, query
 from gaugeworks.sources import cdc as cdc_source
 from gaugeworks.sources.model import status_of
@@ -176,6 +176,47 @@ query(
     FROM orders GROUP BY ALL""",
 )(_archive)
 
+
+def _archive_again(m):
+    """A second run a year later, when the months the first run archived have left live history but for late rows."""
+    from gaugeworks.session import work_path
+
+    history = m.order_fact.select("tenant_id", "entity_id", "value", "ingested_at")
+    paths = work_path(m.spark, "archive"), work_path(m.spark, "manifest")
+    late = F.col("entity_id") % 10 == 0
+    load.archive_partitions(history.where(~late), *paths, as_of="2000-07-20", keep_months=24)
+    live = history.where((F.col("ingested_at") >= F.expr("TIMESTAMP '1998-07-01 00:00:00+00:00'")) | late)
+    return load.archive_partitions(live, *paths, as_of="2001-07-20", keep_months=24)
+
+
+query(
+    "a9_archive_log",
+    """SELECT strftime(o_orderdate, '%Y-%m') AS year_month, count(*) AS row_count,
+        CASE WHEN o_orderdate < TIMESTAMP '1999-07-01' THEN 'archive' ELSE 'keep' END AS action
+    FROM orders GROUP BY ALL""",
+)(_archive_again)
+
+
+def _beats(m):
+    return m.fact.select(F.col("tenant_name").alias("source"), F.col("ingested_at").alias("timestamp"))
+
+
+def _pruned(m):
+    from gaugeworks.session import work_path
+
+    kept = monitor.prune_heartbeats(work_path(m.spark, "beats"), _beats(m), as_of="2024-01-20 06:00:00")
+    return kept.groupBy("source").agg(F.count("*").alias("beats"), F.min("timestamp").alias("oldest"))
+
+
+query(
+    "a9_heartbeat_retention",
+    over(
+        "fact",
+        """SELECT tenant_name AS source, count(*) AS beats, min(ingested_at) AS oldest FROM fact
+        WHERE ingested_at >= TIMESTAMP '2024-01-19 06:00:00' GROUP BY ALL""",
+    ),
+)(_pruned)
+
 _STATS_SQL = """SELECT tenant_id, attribute_id, attribute_name,
     count(DISTINCT entity_id) AS distinct_entities, count(*) AS total_values,
     min(ingested_at) AS oldest, max(ingested_at) AS newest FROM fact GROUP BY ALL"""
@@ -320,6 +361,26 @@ query("b6_build_hot_projection", over("fact", _HOT_SQL))(
 )
 
 
+def _long_digits(m):
+    """Readings of one attribute with more digits than a decimal of ten places holds, spelt in different ways."""
+    hot_view = m.attributes.where("attribute_id = 5").withColumn("is_hot", F.lit(True))
+    spelt = F.concat(F.lit("+0"), "event_id", F.lit("9876543210.1234567890123450"))
+    values = m.values.select("entity_id", "tenant_id", F.lit(5).cast("long").alias("attribute_id"), spelt.alias("value"), "ingested_at")
+    return hot.build_hot_projection(values, hot_view)
+
+
+query(
+    "b6_hot_digits",
+    over(
+        "fact",
+        """SELECT entity_id, tenant_id, max(ingested_at) AS updated_at,
+            '{"view":' || CASE WHEN arg_max(event_id, ingested_at) = 0 THEN '' ELSE
+            CAST(arg_max(event_id, ingested_at) AS VARCHAR) END || '9876543210.123456789012345}' AS hot_attrs
+        FROM fact GROUP BY entity_id, tenant_id""",
+    ),
+)(_long_digits)
+
+
 def _static_store(m):
     """A store that holds two attributes of every entity."""
     doc = jsonfn.build_object(environment=F.col("entity_type"), priority=F.lit("unset"))

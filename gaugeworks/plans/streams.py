@@ -12,7 +12,8 @@ from gaugeworks.plans.registry import num, over, query
 from gaugeworks.session import work_path
 from gaugeworks.sources import cdc as cdc_source
 from gaugeworks.sources.model import DriverModel
-from gaugeworks.streaming import pipeline, rollups, state
+from gaugeworks.streaming import partials, pipeline, state
+from gaugeworks.streaming.snapshots import SnapshotTable
 
 
 CUTS = ("2024-01-23", "2024-01-16", "2024-01-08")  # the newest part of the events arrives first
@@ -25,6 +26,28 @@ class StreamModel(DriverModel):
         return self.event_stream() if table == "events" else super().read(table)
 
 
+class DisorderModel(DriverModel):
+    """The driver model with the events in parts of four days, one file in each micro-batch; every fifth event
+    comes with the part after its own."""
+
+    @cached_property
+    def parts(self) -> str:
+        folder, events = work_path(self.spark, "events-in"), super().read("events")
+        day = F.datediff("ts", F.lit("2024-01-01"))
+        part = F.floor(day / 4) + F.when(F.pmod("event_id", F.lit(5)) == 0, 1).otherwise(0)
+        numbered = events.withColumn("part", F.greatest(part, F.lit(0)))
+        for i in range(9):
+            here = F.col("part") == i if i < 8 else F.col("part") >= i
+            numbered.where(here).drop("part").coalesce(1).write.parquet(f"{folder}/{i}")
+        return folder
+
+    def read(self, table: str):
+        if table != "events":
+            return DriverModel.read(self, table)
+        reader = self.spark.readStream.schema(DriverModel.read(self, "events").schema)
+        return reader.options(maxFilesPerTrigger="1", recursiveFileLookup="true").parquet(self.parts)
+
+
 class LateStreamModel(DriverModel):
     """The driver model with the events in four parts, newest first, one file in each micro-batch."""
 
@@ -40,8 +63,8 @@ class LateStreamModel(DriverModel):
 
     def read(self, table: str):
         if table != "events":
-            return super().read(table)
-        reader = self.spark.readStream.schema(super().read("events").schema)
+            return DriverModel.read(self, table)
+        reader = self.spark.readStream.schema(DriverModel.read(self, "events").schema)
         return reader.options(maxFilesPerTrigger="1", recursiveFileLookup="true").parquet(self.parts)
 
 
@@ -76,15 +99,28 @@ def _enrichment(m):
     return m.spark.read.parquet(out)
 
 
+class CopiedStreamModel(DriverModel):
+    """The driver model with the events in two parts, newest first, and both once more: four micro-batches."""
+
+    @cached_property
+    def parts(self) -> str:
+        folder, events = work_path(self.spark, "events-in"), super().read("events")
+        newest = F.col("ts") >= F.expr(f"TIMESTAMP '{CUTS[1]} 00:00:00+00:00'")
+        for i, part in enumerate((newest, ~newest, newest, ~newest)):
+            events.where(part).coalesce(1).write.parquet(f"{folder}/{i}")
+        return folder
+
+    read = LateStreamModel.read
+
+
 @query("d2_stream_dedup", over("fact", _FACT))
 def _dedup(m):
-    """Every reading arrives twice, older ones after newer ones; the fact table holds it once."""
-    s = _stream(m)
-    fact = s.fact.drop("event_id")
+    """Every reading arrives again in a later micro-batch, older ones after newer ones; the fact holds it once."""
+    fact = CopiedStreamModel(m.spark, m.directory).fact.drop("event_id")
     fact_path, audit_path = work_path(m.spark, "fact"), work_path(m.spark, "audit")
     _drain(
         pipeline.start_merge_load(
-            fact.unionByName(fact), fact_path, audit_path, work_path(m.spark, "ckpt"), interval=None
+            fact, fact_path, audit_path, work_path(m.spark, "ckpt"), interval=None
         )
     )
     from gaugeworks.operators.load import read_fact
@@ -92,10 +128,11 @@ def _dedup(m):
     return read_fact(m.spark, fact_path).select(*_FACT_COLUMNS)
 
 
-def _latest_updates(m, rollup, keys):
-    out = work_path(m.spark, "updates")
-    _drain(rollups.start_updates(rollup, out, work_path(m.spark, "ckpt"), interval=None))
-    return rollups.read_updates(m.spark, out, keys)
+def _rolled_up(m, rows, rollup):
+    """Partial rows of every micro-batch, folded; compacted on the way."""
+    table = SnapshotTable(m.spark, work_path(m.spark, "partials"))
+    _drain(partials.start_partials(rows, rollup, table, work_path(m.spark, "ckpt"), interval=None, compact_every=3))
+    return partials.read_rollup(table, rollup, rows)
 
 
 query(
@@ -106,9 +143,9 @@ query(
             count(*) AS events FROM fact GROUP BY ALL""",
     ),
 )(
-    lambda m: _latest_updates(
-        m, pipeline.batch_counts(_stream(m).values), ["window_start", "tenant_id"]
-    )
+    lambda m: _rolled_up(
+        m, _stream(m).values, partials.count_rollup("ingested_at", "30 seconds", "window_start", "tenant_id")
+    ).drop("entities")
 )
 
 query(
@@ -165,13 +202,48 @@ query(
             {num('stddev_samp(value_decimal::DOUBLE)')} AS stddev_value FROM fact GROUP BY ALL""",
     ),
 )(
-    lambda m: _latest_updates(
-        m,
-        rollups.hourly_attribute_rollup(_stream(m).fact),
-        ["hour", "tenant_id", "attribute_id", "attribute_name"],
-    ).drop("approx_entities")
+    lambda m: partials.attribute_statistics(_rolled_up(m, _stream(m).fact, partials.hourly_rollup())).select(
+        "hour", "tenant_id", "attribute_id", "attribute_name", "sample_count", "min_value", "max_value",
+        "avg_value", "stddev_value",
+    )
 )
 
+
+def _sketched_days(m):
+    """Days added up from the hours of the stream, against exact ranks and counts of the readings."""
+    hours = _rolled_up(m, _stream(m).fact, partials.hourly_rollup())
+    keys = ["date", "tenant_id", "attribute_id"]
+    days = partials.attribute_statistics(partials.daily_from_hours(hours))
+    readings = m.fact.select(F.to_date("ingested_at").alias("date"), *keys[1:], "entity_id", F.col("value_decimal").cast("double").alias("v"))
+    # Between the share of values below a percentile and that of values up to it lies the rank asked for.
+    joined = readings.join(days, keys)
+    close = {}
+    for name, p in partials.PERCENTILES.items():
+        n = F.count("v")
+        below = F.count(F.when(F.col("v") < F.col(f"approx_{name}"), 1)) / n
+        upto = F.count(F.when(F.col("v") <= F.col(f"approx_{name}"), 1)) / n
+        room = F.lit(partials.RANK_ERROR) + 1 / n
+        close[name] = F.when(n > 0, (below <= p + room) & (upto >= p - room))
+    entities = F.abs(F.count_distinct("entity_id") / F.max("approx_entities") - 1) <= 0.1
+    return joined.groupBy(*keys).agg(
+        F.max("sample_count").alias("sample_count"),
+        *[c.alias(f"{n}_close") for n, c in close.items()],
+        entities.alias("entities_close"),
+    )
+
+
+query(
+    "d6_stream_sketches",
+    over(
+        "fact",
+        """SELECT CAST(ingested_at AS DATE) AS date, tenant_id, attribute_id, count(*) AS sample_count,
+            CASE WHEN count(value_decimal) > 0 THEN true END AS percentile_50_close,
+            CASE WHEN count(value_decimal) > 0 THEN true END AS percentile_95_close,
+            CASE WHEN count(value_decimal) > 0 THEN true END AS percentile_99_close,
+            true AS entities_close FROM fact GROUP BY ALL""",
+    ),
+)(_sketched_days)
+
 query(
     "d7_stream_throughput",
     over(
@@ -180,11 +252,38 @@ query(
             count(*) AS events_per_minute FROM fact GROUP BY ALL""",
     ),
 )(
-    lambda m: _latest_updates(
-        m, rollups.minute_throughput(_stream(m).values), ["minute", "tenant_id"]
-    ).drop("approx_entities")
+    lambda m: _rolled_up(
+        m, _stream(m).values, partials.count_rollup("ingested_at", "1 minute", "minute", "tenant_id")
+    ).select("minute", "tenant_id", F.col("events").alias("events_per_minute"))
 )
 
+query(
+    "d8_stream_missing",
+    over(
+        "fact",
+        """SELECT source, last_beat, last_beat + INTERVAL 6 HOUR AS missing_at FROM (
+            SELECT tenant_name AS source, ingested_at AS last_beat,
+                lead(ingested_at) OVER (PARTITION BY tenant_name ORDER BY ingested_at) AS next_beat,
+                max(ingested_at) OVER () - INTERVAL 9 DAY AS known
+            FROM (SELECT DISTINCT tenant_name, ingested_at FROM fact
+                  WHERE attribute_name = 'error' AND entity_type = 'BUILDING'))
+        WHERE last_beat + INTERVAL 6 HOUR < coalesce(least(next_beat, known), known)""",
+    ),
+)(lambda m: _missing(m))
+
+
+def _missing(m):
+    """Errors of one kind of entity as beats of their tenant, in files that overlap in time."""
+    fact = DisorderModel(m.spark, m.directory).fact
+    beats = fact.where("attribute_name = 'error' AND entity_type = 'BUILDING'")
+    beats = beats.select(F.col("tenant_name").alias("source"), F.col("ingested_at").alias("timestamp"))
+    out = work_path(m.spark, "missing")
+    _drain(
+        state.missing_heartbeats(beats, 6 * 3600, "9 days").writeStream.format("parquet")
+        .option("checkpointLocation", work_path(m.spark, "ckpt")).trigger(availableNow=True).start(out)
+    )
+    return m.spark.read.schema("source string, last_beat timestamp, missing_at timestamp").parquet(out)
+
 query(
     "d10_stream_alarm",
     over(
@@ -202,8 +301,8 @@ query(
 def _stream_alarm(m):
     from gaugeworks.operators import monitor
 
-    periods = rollups.metric_periods(monitor.metric_points(_stream(m).fact), "click", 3600)
-    stats = _latest_updates(m, periods, ["resource", "period"])
+    points = monitor.metric_points(_stream(m).fact)
+    stats = _rolled_up(m, points, partials.metric_rollup("click", 3600))
     return monitor.evaluate_alarm(
         stats.select("resource", "period", F.col("Maximum").alias("stat")),
         period_seconds=3600, comparison=">", threshold=20.0, evaluation_periods=2,
@@ -219,6 +318,9 @@ def _ingested(m):
     ingest.write_ingest(m.values.drop("event_id"), f"{landing}/good")
     broken = m.read("events").where("event_type = 'error'")
     broken.select(F.concat(F.lit("broken line "), "event_id").alias("line")).write.text(f"{landing}/bad")
+    nameless = m.read("events").where("event_type = 'signup'")
+    text = F.concat(F.lit("\\N\t7\t4\tsignup "), "event_id", F.lit("\t\\N\t1.50000\t2024-01-05 10:00:00"))
+    nameless.select(text.alias("line")).write.text(f"{landing}/nameless")
     history, quarantine = work_path(m.spark, "history"), work_path(m.spark, "quarantine")
 
     def load(batch, epoch):
@@ -250,5 +352,7 @@ query(
 
 query(
     "a2_ingest_quarantine",
-    "SELECT 'broken line ' || event_id AS line FROM events WHERE event_type = 'error'",
+    """SELECT 'broken line ' || event_id AS line FROM events WHERE event_type = 'error' UNION ALL
+    SELECT '\\N' || chr(9) || '7' || chr(9) || '4' || chr(9) || 'signup ' || event_id || chr(9) || '\\N' || chr(9)
+        || '1.50000' || chr(9) || '2024-01-05 10:00:00' FROM events WHERE event_type = 'signup'""",
 )(lambda m: m.spark.read.schema("line string").parquet(_ingested(m)[1]).select("line"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeworks import schemas
@@ -42,17 +42,20 @@ def well_formed(lines: DataFrame) -> DataFrame:
     )
 
 
+def _text() -> Column:
+    """A parsed line in the ingest file format."""
+    text = [F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in schemas.columns(schemas.INGEST_FILE)]
+    return F.concat_ws("\t", *text)
+
+
 def malformed(lines: DataFrame) -> DataFrame:
-    """Lines for quarantine."""
+    """Lines for quarantine: as they came if they did not parse, put together again from their fields if they
+    parsed but name no entity."""
     return lines.where(F.col(_BAD).isNotNull() | F.col("entity_id").isNull()).select(
-        F.col(_BAD).alias("line")
+        F.coalesce(_BAD, _text()).alias("line")
     )
 
 
 def write_ingest(values: DataFrame, path: str) -> None:
     """Write staged values in the ingest file format."""
-    text = [
-        F.coalesce(F.col(c).cast("string"), F.lit("\\N"))
-        for c in schemas.columns(schemas.INGEST_FILE)
-    ]
-    values.select(F.concat_ws("\t", *text).alias("line")).write.mode("overwrite").text(path)
+    values.select(_text().alias("line")).write.mode("overwrite").text(path)

@@ -71,7 +71,8 @@ def status_of(event_type: Column) -> Column:
     )
 
 
-_STORED: dict[tuple[str, str, str], tuple[str, StructType]] = {}  # tables refreshed by this application
+# Tables refreshed by this application: by name and folder, from which files, where, of which columns.
+_STORED: dict[tuple[str, str, str], tuple[tuple, str, StructType]] = {}
 
 
 class DriverModel:
@@ -240,13 +241,26 @@ class DriverModel:
         )
 
     # --- current state ----------------------------------------------------------------------
+    def input_files(self) -> tuple:
+        """Name, size and time of every file of the driver tables, as the file system lists them."""
+        context = self.spark.sparkContext
+        new_path, conf = context._jvm.org.apache.hadoop.fs.Path, context._jsc.hadoopConfiguration()
+        found = []
+        for table in sorted(_DRIVER_SCHEMAS):
+            for pattern in (f"{self.directory}/{table}.parquet", f"{self.directory}/{table}.parquet/*"):
+                path = new_path(pattern)
+                for f in path.getFileSystem(conf).globStatus(path) or []:
+                    found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+        return tuple(found)
+
     def stored_table(self, name: str, refresh: Callable[[str], DataFrame]) -> DataFrame:
-        """A table that ``refresh`` has written below a path: once per application and directory, then read."""
-        key = (self.spark.sparkContext.applicationId, self.directory, name)
-        if key not in _STORED:
+        """A table that ``refresh`` has written below a path: written anew whenever the input files are others than
+        those it was made from, else read."""
+        key, files = (self.spark.sparkContext.applicationId, self.directory, name), self.input_files()
+        if key not in _STORED or _STORED[key][0] != files:
             path = work_path(self.spark, name)
-            _STORED[key] = (path, refresh(path).schema)
-        path, schema = _STORED[key]
+            _STORED[key] = (files, path, refresh(path).schema)
+        _, path, schema = _STORED[key]
         return self.spark.read.schema(schema).parquet(path)
 
     @property

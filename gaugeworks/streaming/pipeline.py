@@ -11,6 +11,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from gaugeworks import schemas
 from gaugeworks.functions import timefn
+from gaugeworks.functions.relations import join_null_safe, latest_by
 from gaugeworks.operators.enrich import enrich_fact
 from gaugeworks.operators.load import run_fact_load
 
@@ -88,12 +89,13 @@ def start_merge_load(
 
     A batch is reduced to one row per reading key and compared with the stored fact, of which only the months
     and the time span of the batch are read. Late rows are thus merged, repeated ones dropped; there is no
-    state to bound. A repeated epoch compares with the other loads and writes over itself.
+    state to bound. A repeated epoch compares with the other loads and writes over itself. Of readings of one batch
+    that share a key the largest by content stays, so a repeated epoch picks the same; null keys are keys.
     """
 
     def load(batch: DataFrame, epoch: int) -> None:
         spark, label = batch.sparkSession, f"{name}-{epoch:012d}"
-        fresh = batch.dropDuplicates(READING_KEY).persist()
+        fresh = latest_by(batch, READING_KEY, [c for c in batch.columns if c not in READING_KEY]).persist()
         try:
             low, high, months = fresh.agg(
                 F.min("ingested_at"), F.max("ingested_at"), F.collect_set("year_month")
@@ -103,11 +105,13 @@ def start_merge_load(
             except AnalysisException:
                 known = None
             rows = fresh
-            if known is not None and months:
+            if known is not None:
                 near = known.where(
-                    F.col("year_month").isin(months) & F.col("ingested_at").between(low, high) & (F.col("load_id") != label)
+                    (F.col("year_month").isin(months or []) | F.col("year_month").isNull())
+                    & (F.col("ingested_at").between(low, high) | F.col("ingested_at").isNull())
+                    & (F.col("load_id") != label)
                 )
-                rows = fresh.join(near.select(*READING_KEY), READING_KEY, "left_anti")
+                rows = join_null_safe(fresh, near.select(*READING_KEY), READING_KEY, "left_anti")
             staged = rows.withColumn("batch_id", F.lit(label))
             run_fact_load(spark, staged, fact_path, audit_path, load_id=label)
         finally:

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 from gaugeworks.operators.cdc import newest_change
 from gaugeworks.streaming.pipeline import trigger_of
@@ -125,3 +126,72 @@ def watch_heartbeats(beats: DataFrame, timeout_ms: int = 5000) -> DataFrame:
     return beats.groupBy("source").applyInPandasWithState(
         _watch(timeout_ms), _BEAT_OUTPUT, "last_us long", "update", GroupStateTimeout.ProcessingTimeTimeout
     )
+
+
+_GAPS = "source string, last_beat timestamp, missing_at timestamp"
+_PENDING = "last_us long, told boolean, pending array<long>"
+
+
+class _Silence(StatefulProcessor):
+    """Per source the last beat before the watermark, whether its silence was told, and the beats after it."""
+
+    def __init__(self, limit_us: int):
+        self.limit = limit_us
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.beats = handle.getValueState("beats", _PENDING)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        fresh = set()
+        for part in rows:
+            fresh |= set((part["timestamp"].astype("datetime64[us]").astype("int64")).tolist())
+        yield self._advance(key, fresh, timerValues.getCurrentWatermarkInMs())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        yield self._advance(key, set(), timerValues.getCurrentWatermarkInMs())
+
+    def _advance(self, key, fresh: set[int], watermark_ms: int) -> pd.DataFrame:
+        last, told, waiting = self.beats.get() if self.beats.exists() else (None, False, [])
+        known = max(watermark_ms, 0) * 1000  # every beat up to here has come
+        pending = sorted(fresh.union(waiting or []))
+        silent = []
+        while pending and pending[0] <= known:
+            beat = pending.pop(0)
+            if last is not None and beat - last > self.limit and not told:
+                silent.append(last)
+            if last is None or beat > last:
+                last, told = beat, False
+        if last is not None and not told and last + self.limit <= known:
+            silent.append(last)
+            told = True
+        self.beats.update((last, told, pending))
+        due = pending[:1] + ([last + self.limit] if last is not None and not told else [])
+        if due:
+            self.handle.registerTimer(max(min(due) // 1000 + 1, watermark_ms + 1))
+        return pd.DataFrame(
+            {
+                "source": pd.Series([key[0]] * len(silent), dtype=object),
+                "last_beat": pd.to_datetime(silent, unit="us"),
+                "missing_at": pd.to_datetime([t + self.limit for t in silent], unit="us"),
+            }
+        )
+
+    def close(self) -> None:
+        pass
+
+
+def missing_heartbeats(beats: DataFrame, limit_seconds: float = 5, delay: str = "10 seconds") -> DataFrame:
+    """A row for every silence of a source longer than the limit, in event time: its last beat and when it was due.
+
+    A silence is told as soon as the watermark passes the time the next beat was due, also while the source stays
+    silent, by an event-time timer; the wall clock plays no part, so a replay gives the same rows. Beats may come in
+    any order within ``delay``; later ones are dropped, as the silence they would have filled was told. State per
+    source are its beats within the delay. A beat without time or source is no beat.
+    """
+    told = beats.where("source IS NOT NULL AND timestamp IS NOT NULL").select("source", "timestamp")
+    return (
+        told.withWatermark("timestamp", delay)
+        .groupBy("source")
+        .transformWithStateInPandas(_Silence(round(limit_seconds * 1_000_000)), _GAPS, "append", "eventTime")
+    )

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from gaugeworks.operators import cdc
 from gaugeworks.sources import cdc as cdc_source
-from gaugeworks.streaming import pipeline, rollups, state
+from gaugeworks.streaming import partials, pipeline, rollups, state
+from gaugeworks.streaming.snapshots import SnapshotTable
 
 SCHEMA = "entity_id long, tenant_id long, attribute_id long, value string, ingested_at timestamp"
 BASE = dt.datetime(2024, 1, 5, 10, 0, 0)
@@ -180,3 +181,140 @@ def test_missing_heartbeat_is_reported(spark, tmp_path):
     finally:
         q.stop()
     assert ("OK", _at(5)) in seen and ("NO_HEARTBEAT", _at(5)) in seen
+
+
+BEATS = "source string, timestamp timestamp"
+
+
+def _silences(stream, tmp_path, **options):
+    out = str(tmp_path / "out")
+    _drain(state.missing_heartbeats(stream, **options), out, str(tmp_path / "ck"))
+    return rows(stream.sparkSession.read.schema(state._GAPS).parquet(out))
+
+
+def test_silences_are_told_in_event_time(spark, tmp_path):
+    batches = [
+        [("a", _at(0)), ("a", _at(9)), ("b", _at(1))],
+        [("a", _at(4)), ("a", _at(13)), ("b", _at(7)), ("a", _at(9))],  # 4 fills the gap of 0 to 9 in time
+        [("a", _at(30)), (None, _at(31)), ("c", None)],
+        [("a", _at(60)), ("a", _at(2))],  # 2 is far too late and changes nothing
+    ]
+    got = _silences(_feed(spark, tmp_path / "in", batches, BEATS), tmp_path)
+    # The watermark ends at 50: b is silent after 7 although nothing comes of it, a after 13 and 30.
+    want = [("a", _at(13), _at(18)), ("a", _at(30), _at(35)), ("b", _at(1), _at(6)), ("b", _at(7), _at(12))]
+    assert got == sorted(want, key=repr)
+
+
+def test_silences_survive_a_restart(spark, tmp_path):
+    folder = tmp_path / "in"
+    stream = _feed(spark, folder, [[("a", _at(0))], [("a", _at(3)), ("b", _at(40))]], BEATS)
+    assert _silences(stream, tmp_path) == [("a", _at(3), _at(8))]
+    spark.createDataFrame([("a", _at(50)), ("b", _at(90))], BEATS).coalesce(1).write.parquet(f"{folder}/002")
+    want = [("a", _at(3), _at(8)), ("a", _at(50), _at(55)), ("b", _at(40), _at(45))]
+    assert _silences(stream, tmp_path) == want
+
+
+def _table(spark, tmp_path):
+    return SnapshotTable(spark, str(tmp_path / "table"))
+
+
+def test_snapshots_stay_few_and_readers_keep_theirs(spark, tmp_path):
+    table, schema = _table(spark, tmp_path), "k long, n long"
+    fold = lambda df: df.groupBy("k").agg(F.sum("n").alias("n"))
+    assert table.read(schema).count() == 0
+    most, pinned = 0, None
+    for epoch in range(40):
+        assert table.append(spark.range(2).select(F.col("id").alias("k"), F.lit(1).cast("long").alias("n")), epoch)
+        if epoch == 18:
+            pinned = table.read(schema)
+        if epoch % 10 == 9:
+            table.compact(schema, fold)
+        if epoch == 19:  # compacted, but the snapshot read before is whole
+            assert rows(fold(pinned)) == [(0, 19), (1, 19)]
+        most = max(most, len(table._children("data")))
+    assert most <= 23 and len(table._children("log")) <= 12
+    assert rows(fold(table.read(schema))) == [(0, 40), (1, 40)]
+    assert not table.append(spark.range(1).selectExpr("id AS k", "5L AS n"), 39)  # a repeated epoch, compacted or not
+    table.append(spark.range(1).selectExpr("id AS k", "1L AS n"), 40)
+    assert not table.append(spark.range(1).selectExpr("id AS k", "5L AS n"), 40)
+    # A folder that was written but not published is no part of the table.
+    spark.range(1).selectExpr("id AS k", "99L AS n").write.parquet(f"{table.path}/data/epoch-{41:012d}-dead")
+    assert rows(fold(table.read(schema))) == [(0, 41), (1, 40)]
+    assert table.append(spark.range(1).selectExpr("id AS k", "1L AS n"), 41)
+    table.vacuum(1)
+    assert not [f for f in table._children("data") if f.endswith("dead")]
+    assert rows(fold(table.read(schema))) == [(0, 42), (1, 40)]
+
+
+FACT = "entity_id long, tenant_id long, attribute_id long, attribute_name string, value_decimal decimal(20,5), ingested_at timestamp"
+
+
+def _readings(n):
+    from decimal import Decimal
+
+    month = 30 * 24 * 3600
+    value = lambda i: None if i % 5 == 0 else Decimal(10**9) + Decimal(i * i % 97) / 7
+    return [
+        (i % 11, i % 2, i % 3, f"a{i % 3}", value(i), _at((i % 4) * month + i % 7000)) for i in range(n)
+    ]
+
+
+def test_partial_rollups_need_no_order_and_no_state(spark, tmp_path):
+    data = _readings(900)
+    newest_first = sorted(data, key=lambda r: r[5], reverse=True)
+    batches = [newest_first[k : k + 180] for k in range(0, 900, 180)]
+    stream = _feed(spark, tmp_path / "in", batches, FACT)
+    rollup, table = partials.hourly_rollup(), _table(spark, tmp_path)
+    q = partials.start_partials(stream, rollup, table, str(tmp_path / "ck"), interval=None, compact_every=2)
+    q.awaitTermination()
+    assert q.lastProgress["stateOperators"] == []
+    got = partials.attribute_statistics(partials.read_rollup(table, rollup, stream))
+    batch = spark.createDataFrame(data, FACT)
+    direct = partials.attribute_statistics(rollup.fold(rollup.partial(batch)))
+    exact = ["hour", "tenant_id", "attribute_id", "sample_count", "avg_value", "min_value", "max_value", "approx_entities"]
+    assert rows(got, *exact) == rows(direct, *exact)
+    plain = batch.groupBy(F.date_trunc("hour", "ingested_at").alias("hour"), "tenant_id", "attribute_id").agg(
+        F.stddev(F.col("value_decimal").cast("double")).alias("s"), F.count_distinct("entity_id").alias("d")
+    )
+    both = got.join(plain, ["hour", "tenant_id", "attribute_id"]).collect()
+    assert len(both) == got.count()
+    for r in both:
+        assert r["approx_entities"] == r["d"]  # small counts are exact
+        assert (r["s"] is None) == (r["stddev_value"] is None) or r["s"] == 0
+        assert r["s"] is None or abs(r["s"] - r["stddev_value"]) <= 1e-6 * max(1, r["s"])
+
+
+def test_sketched_days_equal_days_made_directly(spark):
+    data = spark.createDataFrame(_readings(4000), FACT)
+    rollup = partials.hourly_rollup()
+    days = partials.attribute_statistics(partials.daily_from_hours(rollup.fold(rollup.partial(data))))
+    keys = ["date", "tenant_id", "attribute_id"]
+    seen = data.withColumn("date", F.to_date("ingested_at")).join(days, keys).groupBy(*keys)
+    v = F.col("value_decimal").cast("double")
+    n = F.count(v)
+    for name, p in partials.PERCENTILES.items():
+        q = F.col(f"approx_{name}")
+        below, upto = F.count(F.when(v < q, 1)) / n, F.count(F.when(v <= q, 1)) / n
+        for r in seen.agg(below.alias("b"), upto.alias("u"), n.alias("n")).collect():
+            assert r["b"] <= p + partials.RANK_ERROR + 1 / r["n"] and r["u"] >= p - partials.RANK_ERROR - 1 / r["n"]
+    assert days.agg(F.sum("sample_count")).first()[0] == 4000
+
+
+def test_merge_load_takes_null_keys_and_conflicting_readings_once(spark, tmp_path):
+    from gaugeworks.operators.load import read_fact
+    from gaugeworks.sources.model import DriverModel
+
+    model = DriverModel(spark, "/root/testdata/sf0.001")
+    some = model.fact.drop("event_id").limit(3).withColumn("entity_type", F.lit("x"))
+    nameless = some.withColumn("attribute_id", F.lit(None).cast("long"))
+    other = some.withColumn("value", F.concat(F.lit("~"), "value"))  # same key, larger content
+    folder = tmp_path / "in"
+    for i in range(3):
+        some.unionByName(nameless).unionByName(other).coalesce(1).write.parquet(f"{folder}/{i}")
+        time.sleep(0.02)
+    stream = spark.readStream.schema(some.schema).options(recursiveFileLookup="true", maxFilesPerTrigger="1").parquet(str(folder))
+    args = [str(tmp_path / p) for p in ("fact", "audit", "ck")]
+    pipeline.start_merge_load(stream, *args, interval=None).awaitTermination()
+    loaded = read_fact(spark, args[0])
+    assert loaded.count() == 6
+    assert loaded.where("attribute_id IS NOT NULL AND value LIKE '~%'").count() == 3
