@@ -3,7 +3,9 @@
 The built-in ``percentile`` holds all distinct values of a group in one buffer. Here a group is first
 reduced to (value, count) rows, which spread over the cluster by value. Values fall into buckets of a
 fixed relative width, so the counts per bucket are a small histogram; it tells which buckets hold a wanted
-rank, and only their values are ordered. The same steps serve groups of all sizes.
+rank. A bucket that holds one is cut again, between its least and its largest value, into pieces by its number
+of distinct values, since a narrow band of values may lie in one bucket; only the values of pieces that hold a
+wanted rank are ordered. The same steps serve groups of all sizes.
 """
 
 from __future__ import annotations
@@ -16,6 +18,8 @@ from pyspark.sql import functions as F
 from gaugeworks.functions.relations import join_null_safe
 
 STEPS = 512  # buckets per doubling of a value
+PIECE_ROWS = 20_000  # distinct values of a piece if a bucket's values lie evenly
+FINER = 16  # pieces are this many times smaller, for values that do not
 
 
 def value_counts(
@@ -65,28 +69,51 @@ def bucket_of(v: Column) -> Column:
     return F.when(v > 0, number).when(v < 0, -number).otherwise(F.lit(0)).cast("long")
 
 
-def percentiles_of_counts(counts: DataFrame, keys: Sequence[str], probs: Mapping[str, float]) -> DataFrame:
-    """Continuous percentiles (linear interpolation) from (keys, v, c) rows: keys + one column each."""
-    placed = counts.withColumn("_bucket", bucket_of(F.col("v")))
-    whole = Window.partitionBy(*keys)  # a row per bucket
-    before = whole.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+def _ranges(histogram: DataFrame, keys: Sequence[str], group: Sequence[str], number: str, probs: Mapping[str, float]) -> DataFrame:
+    """The rows of a histogram (_size per ``number``, within ``group``) that hold a wanted rank, with the rank _start
+    of their first value; _base is the rank of the first value of the group, _n the size of the whole."""
+    before = Window.partitionBy(*group).orderBy(number).rowsBetween(Window.unboundedPreceding, -1)
     holds = " OR ".join(
         f"({near}((_n - 1) * {float(p)}D) BETWEEN _start AND _start + _size - 1)"
         for p in sorted(set(probs.values()))
         for near in ("floor", "ceil")
     )
-    offsets = (
+    start = F.col("_base") + F.coalesce(F.sum("_size").over(before), F.lit(0))
+    return histogram.withColumn("_start", start).where(holds)
+
+
+def pieces(counts: DataFrame, keys: Sequence[str], probs: Mapping[str, float]) -> DataFrame:
+    """The (keys, v, c) rows of the pieces that hold a wanted rank, with _bucket, _piece, _start and _n."""
+    placed = counts.withColumn("_bucket", bucket_of(F.col("v")))
+    whole = Window.partitionBy(*keys)  # a row per bucket
+    buckets = (
         placed.groupBy(*keys, "_bucket")
-        .agg(F.sum("c").alias("_size"))
-        .withColumn("_start", F.coalesce(F.sum("_size").over(before), F.lit(0)))
-        .withColumn("_n", F.sum("_size").over(whole))
-        .where(holds)
-        .select(*keys, "_bucket", "_start", "_n")
+        .agg(
+            F.sum("c").alias("_size"), F.count("*").alias("_rows"),
+            F.min("v").alias("_least"), F.max("v").alias("_most"),
+        )
+        .withColumns({"_n": F.sum("_size").over(whole), "_base": F.lit(0)})
+    )
+    buckets = _ranges(buckets, keys, keys, "_bucket", probs)
+    many = F.when(F.col("_rows") > PIECE_ROWS, F.ceil(F.col("_rows") * FINER / F.lit(PIECE_ROWS))).otherwise(F.lit(1))
+    share = (F.col("v") - F.col("_least")) / (F.col("_most") - F.col("_least"))
+    piece = F.when(many == 1, F.lit(0)).otherwise(F.floor(share * many)).cast("long")
+    held = buckets.select(*keys, "_bucket", "_rows", "_least", "_most", F.col("_start").alias("_base"), "_n")
+    cut = join_null_safe(placed, held, [*keys, "_bucket"]).select(
+        *keys, "_bucket", "v", "c", piece.alias("_piece"), "_base", "_n"
     )
+    group = [*keys, "_bucket"]
+    histogram = cut.groupBy(*group, "_piece").agg(F.sum("c").alias("_size"), F.max("_base").alias("_base"), F.max("_n").alias("_n"))
+    wanted = _ranges(histogram, keys, group, "_piece", probs).select(*group, "_piece", "_start")
+    return join_null_safe(cut, wanted, [*group, "_piece"])
+
+
+def percentiles_of_counts(counts: DataFrame, keys: Sequence[str], probs: Mapping[str, float]) -> DataFrame:
+    """Continuous percentiles (linear interpolation) from (keys, v, c) rows: keys + one column each."""
     running = (
-        Window.partitionBy(*keys, "_bucket").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+        Window.partitionBy(*keys, "_bucket", "_piece").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     )
-    cut = join_null_safe(placed, offsets, [*keys, "_bucket"]).select(
+    cut = pieces(counts, keys, probs).select(
         *keys, "v", "c", (F.col("_start") + F.sum("c").over(running)).alias("_end"), "_n"
     )
     return _interpolate(cut, keys, probs)

@@ -33,48 +33,75 @@ def join_null_safe(
     return joined if how == "left_anti" else joined.drop(*[f"_r_{k}" for k in keys])
 
 
+SLICE_ROWS = 500_000  # rows of a key that one task sorts as they are
+
+
+def cuts_of_large_keys(df: DataFrame, keys: Sequence[str], at: Column, limit: int = SLICE_ROWS) -> DataFrame | None:
+    """Keys with more than ``limit`` rows by the hours of their time, and whether the hour too has more (``_fine``);
+    None when there is no such key.
+
+    Runs a job: counts per key and hour, which combine before the shuffle. With the answer known, ordinary data get
+    the plain plan, and nothing is scanned or shuffled again for keys that do not exist.
+    """
+    hours = df.groupBy(*keys, F.date_trunc("hour", at).alias("_hour")).agg(F.count("*").alias("_n"))
+    total = F.sum("_n").over(Window.partitionBy(*keys))
+    cuts = hours.withColumn("_total", total).where(F.col("_total") > limit)
+    cuts = cuts.select(*keys, "_hour", (F.col("_n") > limit).alias("_fine"))
+    return None if cuts.isEmpty() else cuts
+
+
+def sliced(df: DataFrame, keys: Sequence[str], at: Column, cuts: DataFrame, unit: str = "second") -> DataFrame:
+    """The rows with a column ``_slice``: null for ordinary keys, the hour for those in ``cuts``, and in hours with
+    too many rows the time by ``unit``, which is a part of an hour."""
+    marked = join_null_safe(df.withColumn("_hour", F.date_trunc("hour", at)), cuts, [*keys, "_hour"], "left")
+    cut = F.when(F.col("_fine"), F.date_trunc(unit, at)).when(~F.col("_fine"), F.col("_hour"))
+    return marked.withColumn("_slice", cut).drop("_hour", "_fine")
+
+
 def previous_in_slices(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
     take: Sequence[str],
-    slice_of: Column,
+    at: Column,
+    cuts: DataFrame | None,
     name: str = "_prev",
+    unit: str = "second",
 ) -> DataFrame:
     """``lag`` of the columns ``take`` per key, safe for a key of any size.
 
-    The rows of a key are cut into slices by a monotone function of the first order column, and ``lag``
-    runs inside a slice. Only the first row of a slice lacks its predecessor, which is the last row of
-    the slice before: these edge rows, two per slice, get a second ``lag`` per key. No task ever sorts
-    more than one slice of one key, and both branches read the same shuffle. ``order`` must tell any two rows with different
-    ``take`` apart.
+    Without large keys (``cuts_of_large_keys`` of the same rows or more of them) it is a plain ``lag``. The rows of a
+    large key, which are in the order of their time ``at``, rising or falling, get it inside their slice; only the
+    first row of a slice lacks its predecessor then, the last row of the slice before: these edge rows, two per slice,
+    get a second ``lag`` per key. Slices are hours unless an hour has too many rows, so the edges are few against the
+    rows of the key. ``order`` must tell any two rows with different ``take`` apart.
     """
-    inside = Window.partitionBy(*keys, "_slice").orderBy(*order)
     payload = F.struct(*[F.col(c) for c in take])
-    cut = df.withColumn("_slice", slice_of)
-    lagged = cut.withColumn("_in", F.lag(payload).over(inside))
-    followers = lagged.where(F.col("_in").isNotNull()).select(*df.columns, F.col("_in").alias(name))
     across = Window.partitionBy(*keys).orderBy(*order)
-    edges = lagged.withColumn("_next", F.lead(F.lit(1)).over(inside)).where(
-        F.col("_in").isNull() | F.col("_next").isNull()
-    )
-    firsts = (
-        edges.withColumn(name, F.lag(payload).over(across))
-        .where(F.col("_in").isNull())
-        .select(*df.columns, name)
+    if cuts is None:
+        return df.withColumn(name, F.lag(payload).over(across))
+    inside = Window.partitionBy(*keys, "_slice").orderBy(*order)
+    cut = sliced(df, keys, at, cuts, unit)
+    whole = F.col("_slice").isNull()
+    lagged = cut.withColumn("_in", F.lag(payload).over(inside))
+    told = lagged.where(whole | F.col("_in").isNotNull()).select(*df.columns, F.col("_in").alias(name))
+    of_large = cut.where(~whole).withColumns(
+        {"_in": F.lag(payload).over(inside), "_next": F.lead(F.lit(1)).over(inside)}
     )
-    return followers.unionByName(firsts)
+    edges = of_large.where(F.col("_in").isNull() | F.col("_next").isNull())
+    firsts = edges.withColumn(name, F.lag(payload).over(across)).where(F.col("_in").isNull())
+    return told.unionByName(firsts.select(*df.columns, name))
 
 
 def asof_backward(
     left: DataFrame, right: DataFrame, keys: Sequence[str], at: str, take: Sequence[str],
-    slice_unit: str = "second",
+    slice_unit: str = "second", limit: int = SLICE_ROWS,
 ) -> DataFrame:
     """Attach to each left row the newest right row of its key at or before its time.
 
-    Both sides run through one time-ordered stream per key, cut into slices: inside a slice the last
-    right row is carried forward, across slices the last one of the slice before. No join on ranges and
-    no task with all rows of a key.
+    Both sides run through one time-ordered stream per key, which carries the last right row forward. The stream
+    of a large key (``cuts_of_large_keys``, which runs a job) is cut into slices, and the last row of the slices
+    before is joined to a slice. No join on ranges and no task with all rows of a large key.
     """
     payload = F.struct(*take)
     left_columns = left.columns
@@ -85,24 +112,30 @@ def asof_backward(
         right.select(*keys, at, F.lit(0).alias("_side"), payload.alias("_right")),
         allowMissingColumns=True,
     )
-    cut = events.withColumn("_slice", F.date_trunc(slice_unit, at))
+    times = left.select(*keys, at).unionByName(right.select(*keys, at))
+    cuts = cuts_of_large_keys(times, keys, F.col(at), limit)
+    cut = events if cuts is None else sliced(events, keys, F.col(at), cuts, slice_unit)
     inside = (
-        Window.partitionBy(*keys, "_slice")
+        Window.partitionBy(*keys, *([] if cuts is None else ["_slice"]))
         .orderBy(at, "_side", "_right")  # of right rows with one time the largest counts, as in the tails
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    here = cut.withColumn("_here", F.last("_right", ignorenulls=True).over(inside))
-    tails = cut.groupBy(*keys, "_slice").agg(
-        F.max_by("_right", F.when(F.col("_side") == 0, F.struct(at, "_right"))).alias("_tail")
-    )
-    before = (
-        Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    )  # one row per slice
-    carried = tails.select(
-        *keys, "_slice", F.last("_tail", ignorenulls=True).over(before).alias("_carry")
-    )
-    joined = here.where(F.col("_side") == 1).join(carried, [*keys, "_slice"], "left")
-    return joined.select("_left.*", F.coalesce("_here", "_carry").alias("_found")).select(
+    here = cut.withColumn("_here", F.last("_right", ignorenulls=True).over(inside)).where(F.col("_side") == 1)
+    if cuts is None:
+        found = here.withColumn("_found", F.col("_here"))
+    else:
+        tails = cut.where("_slice IS NOT NULL").groupBy(*keys, "_slice").agg(
+            F.max_by("_right", F.when(F.col("_side") == 0, F.struct(at, "_right"))).alias("_tail")
+        )
+        before = (
+            Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+        )  # one row per slice
+        carried = tails.select(
+            *keys, "_slice", F.last("_tail", ignorenulls=True).over(before).alias("_carry")
+        )
+        found = join_null_safe(here, carried, [*keys, "_slice"], "left")
+        found = found.withColumn("_found", F.coalesce("_here", "_carry"))
+    return found.select("_left.*", "_found").select(
         *left_columns, *[F.col(f"_found.{c}").alias(c) for c in take]
     )
 

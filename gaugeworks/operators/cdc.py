@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugeworks.functions import jsonfn, timefn
-from gaugeworks.functions.relations import previous_in_slices
+from gaugeworks.functions.relations import cuts_of_large_keys, previous_in_slices
 
 
 def newest_change(changes: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -52,10 +52,9 @@ def change_feed(
     are compared with their predecessor. The first version of an entity changes all its keys from null.
     """
     now = timefn.ts(timefn.resolve_as_of(processed_at))
-    paired = previous_in_slices(
-        versions, ["entity_id", "tenant_id"], list(order), ["hot_attrs"],
-        F.date_trunc(slice_unit, "occurred_at"),
-    )
+    key, at = ["entity_id", "tenant_id"], F.col("occurred_at")
+    cuts = cuts_of_large_keys(versions, key, at)
+    paired = previous_in_slices(versions, key, list(order), ["hot_attrs"], at, cuts, unit=slice_unit)
     new = jsonfn.as_text_map(F.col("hot_attrs"))
     old = F.coalesce(jsonfn.as_text_map(F.col("_prev.hot_attrs")), F.create_map().cast("map<string,string>"))
 

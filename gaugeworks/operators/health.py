@@ -8,21 +8,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugeworks.functions import timefn
-from gaugeworks.functions.relations import exact_mean, previous_in_slices, ratio
+from gaugeworks.functions.relations import cuts_of_large_keys, exact_mean, previous_in_slices, ratio
 
 
 def status_gaps(status: DataFrame, slice_unit: str = "second") -> DataFrame:
     """Status events with the previous event of their entity (``prev_status``, ``prev_timestamp``).
 
-    ``status`` has tenant_id, entity_id, status, ingested_at; an entity is known by tenant and id. The first event of an entity has no predecessor and is dropped. The lag runs in time slices, so an
-    entity with any number of events is spread over many tasks.
+    ``status`` has tenant_id, entity_id, status, ingested_at; an entity is known by tenant and id. The first event of an entity has no predecessor and is dropped. An
+    entity with very many events is cut into time slices, which spread over many tasks.
     """
+    key, at = ["tenant_id", "entity_id"], F.col("ingested_at")
+    cuts = cuts_of_large_keys(status, key, at)
     lagged = previous_in_slices(
-        status,
-        ["tenant_id", "entity_id"],
-        ["ingested_at", "status"],
-        ["status", "ingested_at"],
-        F.date_trunc(slice_unit, "ingested_at"),
+        status, key, ["ingested_at", "status"], ["status", "ingested_at"], at, cuts, unit=slice_unit
     )
     return (
         lagged.where(F.col("_prev.status").isNotNull())

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from gaugeworks import schemas
 from gaugeworks.functions import timefn
-from gaugeworks.functions.relations import asof_backward, latest_by, previous_in_slices
+from gaugeworks.functions.relations import asof_backward, cuts_of_large_keys, latest_by, previous_in_slices
 
 
 def _end_of_time() -> Column:
@@ -67,18 +67,18 @@ def scd2_merge(
 
 
 def scd2_from_history(
-    history: DataFrame, key: Sequence[str], tracked: Sequence[str], at: str, slice_of: Column
+    history: DataFrame, key: Sequence[str], tracked: Sequence[str], at: str
 ) -> DataFrame:
     """Versions of a dimension from a full change history: consecutive equal states collapse."""
     state = F.struct(*tracked)
-    rows = history.select(*key, at, state.alias("_state"), slice_of.alias("_cut"))
+    rows = history.select(*key, at, state.alias("_state"))
+    cuts = cuts_of_large_keys(rows, key, F.col(at))  # the changes among the rows are fewer
     changed = previous_in_slices(
-        rows, key, [at, "_state"], ["_state"], F.col("_cut")
+        rows, key, [at, "_state"], ["_state"], F.col(at), cuts
     ).where(F.col("_prev").isNull() | ~F.col("_prev._state").eqNullSafe(F.col("_state")))
     # The end of a version is the start of the next one: a lag over descending time.
-    micros = -F.unix_micros(F.col(at))
-    backwards = changed.drop("_prev").withColumn("_neg", micros)
-    closed = previous_in_slices(backwards, key, ["_neg"], [at], -F.unix_micros(F.col("_cut")), "_next")
+    backwards = changed.drop("_prev").withColumn("_neg", -F.unix_micros(F.col(at)))
+    closed = previous_in_slices(backwards, key, ["_neg"], [at], F.col(at), cuts, "_next")
     return closed.select(
         *key,
         "_state.*",

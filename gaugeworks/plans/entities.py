@@ -363,9 +363,9 @@ query("b6_build_hot_projection", over("fact", _HOT_SQL))(
 
 def _long_digits(m):
     """Readings of one attribute with more digits than a decimal of ten places holds, spelt in different ways."""
-    hot_view = m.attributes.where("attribute_id = 5").withColumn("is_hot", F.lit(True))
+    hot_view = m.attributes.withColumn("is_hot", F.col("attribute_name") == "view")
     spelt = F.concat(F.lit("+0"), "event_id", F.lit("9876543210.1234567890123450"))
-    values = m.values.select("entity_id", "tenant_id", F.lit(5).cast("long").alias("attribute_id"), spelt.alias("value"), "ingested_at")
+    values = m.values.select("entity_id", "tenant_id", "attribute_id", spelt.alias("value"), "ingested_at")
     return hot.build_hot_projection(values, hot_view)
 
 
@@ -376,7 +376,7 @@ query(
         """SELECT entity_id, tenant_id, max(ingested_at) AS updated_at,
             '{"view":' || CASE WHEN arg_max(event_id, ingested_at) = 0 THEN '' ELSE
             CAST(arg_max(event_id, ingested_at) AS VARCHAR) END || '9876543210.123456789012345}' AS hot_attrs
-        FROM fact GROUP BY entity_id, tenant_id""",
+        FROM fact WHERE attribute_name = 'view' GROUP BY entity_id, tenant_id""",
     ),
 )(_long_digits)
 
@@ -497,7 +497,7 @@ def _status_dimension(m, until=None):
     if until is not None:
         history = history.where(F.col("changed_at") < F.expr(f"TIMESTAMP '{until} 00:00:00+00:00'"))
     return scd.scd2_from_history(
-        history, ["entity_id", "tenant_id"], ["status"], "changed_at", F.date_trunc("second", "changed_at")
+        history, ["entity_id", "tenant_id"], ["status"], "changed_at"
     )
 
 

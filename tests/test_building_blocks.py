@@ -113,10 +113,13 @@ def _events(spark, n=4000, seed=3):
     return spark.createDataFrame(data, "k long, t timestamp, v double, id long")
 
 
-@pytest.mark.parametrize("unit", ["minute", "hour", "day", "year"])
-def test_sliced_lag_equals_lag(spark, unit):
+@pytest.mark.parametrize(("unit", "limit"), [("second", 10**6), ("second", 2), ("minute", 20), ("hour", 200)])
+def test_sliced_lag_equals_lag(spark, unit, limit):
     df = _events(spark)
-    sliced = relations.previous_in_slices(df, ["k"], ["t", "id"], ["v", "id"], F.date_trunc(unit, "t"))
+    df = df.unionByName(df.limit(30).withColumns({"k": F.lit(None).cast("long"), "id": -F.col("id")}))
+    cuts = relations.cuts_of_large_keys(df, ["k"], F.col("t"), limit)
+    assert (cuts is None) == (limit == 10**6)
+    sliced = relations.previous_in_slices(df, ["k"], ["t", "id"], ["v", "id"], F.col("t"), cuts, unit=unit)
     plain = df.withColumn("_prev", F.lag(F.struct("v", "id")).over(Window.partitionBy("k").orderBy("t", "id")))
     assert rows(sliced, "id", "_prev.v", "_prev.id") == rows(plain, "id", "_prev.v", "_prev.id")
 
@@ -129,17 +132,22 @@ def test_latest_by_equals_row_number(spark):
 
 
 def test_slices_of_a_hot_key_stay_small(spark):
-    """Nine of ten rows belong to one key in one hour: no slice and no list of edge rows grows with them."""
+    """Nine of ten rows belong to one key, most of them in one hour: no slice and no list of edge rows is large."""
     df = spark.range(20_000).selectExpr(
-        "IF(id % 10 = 0, id, 0) AS k", "timestamp_seconds(1704067200 + (id * 7) % 3600) AS t", "id"
-    )
-    slices = df.groupBy("k", F.date_trunc("second", "t")).count()
-    assert slices.agg(F.max("count")).first()[0] <= 10
-    got = relations.previous_in_slices(df, ["k"], ["t", "id"], ["id"], F.date_trunc("second", "t"))
-    from pyspark.sql import Window
-
-    lag = F.lag("id").over(Window.partitionBy("k").orderBy("t", "id"))
-    assert rows(got.select("id", "_prev.id")) == rows(df.select("id", lag.alias("p")))
+        "IF(id % 10 = 0, id, 0) AS k",
+        "timestamp_seconds(1704067200 + IF(id % 5 = 0, (id * 7) % 3600, (id * 13) % 864000)) AS t", "id",
+    )
+    cuts = relations.cuts_of_large_keys(df, ["k"], F.col("t"), 500)
+    cut = relations.sliced(df, ["k"], F.col("t"), cuts)
+    slices = cut.groupBy("k", "_slice").agg(F.count("*").alias("n"))
+    assert slices.where("_slice IS NULL").agg(F.max("n")).first()[0] <= 500
+    assert slices.where("_slice IS NOT NULL").agg(F.max("n")).first()[0] <= 500
+    assert slices.where("_slice IS NOT NULL").count() < 3600 + 240
+    assert cut.where("_slice IS NOT NULL").select("k").distinct().count() == 1
+    for known in (cuts, None):
+        got = relations.previous_in_slices(df, ["k"], ["t", "id"], ["id"], F.col("t"), known)
+        lag = F.lag("id").over(Window.partitionBy("k").orderBy("t", "id"))
+        assert rows(got.select("id", "_prev.id")) == rows(df.select("id", lag.alias("p")))
 
 
 def test_asof_ties_do_not_depend_on_the_input_order(spark):
@@ -150,11 +158,12 @@ def test_asof_ties_do_not_depend_on_the_input_order(spark):
         assert relations.asof_backward(left, right, ["k"], "t", ["x"]).first().x == "c"
 
 
-def test_asof_backward_equals_last_value(spark):
+@pytest.mark.parametrize("limit", [10**6, 10, 300])
+def test_asof_backward_equals_last_value(spark, limit):
     df = _events(spark)
     left = df.where("id % 2 = 0").select("k", "t", "id")
     right = df.where("id % 2 = 1").select("k", "t", F.col("id").alias("rid"))
-    got = relations.asof_backward(left, right, ["k"], "t", ["rid"], "hour")
+    got = relations.asof_backward(left, right, ["k"], "t", ["rid"], "minute", limit)
     pairs = left.join(right.withColumnRenamed("t", "rt"), "k").where("rt <= t")
     best = pairs.groupBy("id").agg(F.max(F.struct("rt", "rid"))["rid"].alias("rid"))
     expected = left.join(best, "id", "left")
@@ -181,6 +190,18 @@ def test_percentiles(spark, scale, shift):
     np.testing.assert_allclose(a[list(probs)], b[list(probs)], rtol=1e-12)
 
 
+def test_no_piece_of_a_narrow_band_is_large(spark):
+    """A million distinct values of 1.7e9 and above lie in two buckets; what is ordered stays small."""
+    counts = spark.range(1_000_000).selectExpr("id % 2 AS k", "1.7e9D + id / 3 AS v", "1L AS c")
+    held = quantiles.pieces(counts, ["k"], {"a": 0.5, "b": 0.99})
+    sizes = held.groupBy("k", "_bucket", "_piece").count().agg(F.max("count"), F.count("*")).first()
+    assert sizes[0] <= quantiles.PIECE_ROWS and sizes[1] <= 8
+    got = rows(quantiles.percentiles_of_counts(counts, ["k"], {"a": 0.5, "b": 0.99}))
+    for k, a, b in got:
+        v = 1.7e9 + np.arange(k, 1_000_000, 2) / 3
+        assert np.allclose([a, b], np.percentile(v, [50, 99]), rtol=0, atol=1e-6)
+
+
 def test_weighted_percentiles_equal_repeated_rows(spark):
     df = _events(spark, 600).withColumn("w", F.col("id") % 4)
     repeated = df.where("w > 0").withColumn("x", F.explode(F.sequence(F.lit(1), F.col("w"))))

@@ -422,7 +422,7 @@ def test_scd2_history_never_overlaps(spark):
     data = [(int(k), str(rng.choice(["a", "b"])), dt.datetime(2024, 1, 1) + dt.timedelta(minutes=int(m)))
             for k, m in zip(rng.integers(0, 5, 400), rng.permutation(20_000)[:400])]
     history = spark.createDataFrame(data, "k long, s string, t timestamp")
-    dim = scd.scd2_from_history(history, ["k"], ["s"], "t", F.date_trunc("day", "t"))
+    dim = scd.scd2_from_history(history, ["k"], ["s"], "t")
     by_key = {}
     for r in dim.orderBy("k", "valid_from").collect():
         before = by_key.get(r.k)
