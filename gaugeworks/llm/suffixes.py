@@ -29,6 +29,7 @@ GRAM = 16
 SHALLOW = 32
 ANCHOR_BUCKET_BYTES = 24 << 20  # text whose anchors one bucket of the first round takes
 PIECES_PER_BUCKET = 40_000
+HOT_PIECES = 10_000  # pieces of one anchor beyond which its windows travel one by one
 CHUNK_BYTES = 4 << 20
 
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -195,6 +196,20 @@ class _Pieces:
         self.start, self.windows, self.anchor = start[good], size[good], C.mixed(least[start[good]])
         self.doc = np.searchsorted(chunk.ends, self.start, side="right")
 
+    def cut(self, rows: np.ndarray, hot: np.ndarray, length: int, gram: int) -> np.ndarray:
+        """Make pieces of one window of the hot ones among the rows; their anchor is a hash of the window, which
+        spreads them over the buckets and which equal windows share. Returns the rows in their new places."""
+        wide = rows[hot]
+        n = self.windows[wide]
+        at = len(self.start)
+        self.start = np.concatenate([self.start, np.repeat(self.start[wide], n) + _ramp(n)])
+        self.windows = np.concatenate([self.windows, np.ones(int(n.sum()), self.windows.dtype)])
+        self.doc = np.concatenate([self.doc, np.repeat(self.doc[wide], n)])
+        self.anchor = np.concatenate([self.anchor, np.zeros(int(n.sum()), np.uint64)])
+        single = np.arange(at, len(self.start))
+        self.anchor[single] = C.mixed(self.prints(single, length, gram) ^ _STEP)
+        return np.concatenate([rows[~hot], single])
+
     def prints(self, rows: np.ndarray, length: int, gram: int) -> np.ndarray:
         """A hash of the whole text of pieces, from the hashes of the strings that tile it."""
         start, last = self.start[rows], self.start[rows] + self.windows[rows] - 1 + length - gram
@@ -227,31 +242,37 @@ class Dedup:
         np.minimum.at(low, index, pieces.doc)
         np.maximum.at(high, index, pieces.doc)
         several = (low < high).astype(np.uint8)
+        count = np.bincount(index, minlength=len(distinct)).astype(np.uint32)
         for bucket, part in C.bucket_slices(distinct, self.bits, self.buckets):
-            yield bucket, C.freeze(np.diff(distinct[part], prepend=np.uint64(0)), several[part])
+            yield bucket, C.freeze(np.diff(distinct[part], prepend=np.uint64(0)), several[part], count[part])
 
     @staticmethod
     def shared(payloads: list[bytes]) -> list[tuple[bytes, int]]:
-        """One bit per anchor: it stands in several documents."""
+        """Two bits per anchor: it stands in several documents, and it has more than HOT_PIECES pieces. The hits are
+        the pieces of shared anchors."""
         parts = [C.thaw(p) for p in payloads]
-        values = np.concatenate([np.cumsum(d, dtype=np.uint64) for d, _ in parts])
-        several = np.concatenate([s for _, s in parts])
+        values = np.concatenate([np.cumsum(d, dtype=np.uint64) for d, _, _ in parts])
+        several, pieces = (np.concatenate([p[k] for p in parts]) for k in (1, 2))
         distinct, index, count = np.unique(values, return_inverse=True, return_counts=True)
         good = count > 1
         good[index[several > 0]] = True
-        cut = np.split(good[index], np.cumsum([len(s) for _, s in parts])[:-1])
-        return [(C.freeze(np.packbits(c)), int(c.sum())) for c in cut]
+        hot = good & (np.bincount(index, pieces, len(distinct)) > HOT_PIECES)
+        cut = np.cumsum([len(s) for _, s, _ in parts])[:-1]
+        told = zip(*(np.split(x, cut) for x in (good[index], hot[index], pieces)), strict=True)
+        return [(C.freeze(np.packbits(g), np.packbits(h)), int(n[g].sum(dtype=np.int64))) for g, h, n in told]
 
     def _shared_pieces(self, chunk: C.Chunk, answers: dict):
         """Pieces whose anchor stands in several documents, in order of the anchor; the group of equal pieces
         each belongs to, the first one of each group, and the smallest doc_id of each group."""
         pieces = _Pieces(chunk, self.length, self.gram)
         distinct, index = self._distinct(pieces)
-        hit = np.zeros(len(distinct), bool)
+        hit, hot = np.zeros(len(distinct), bool), np.zeros(len(distinct), bool)
         for bucket, part in C.bucket_slices(distinct, self.bits, self.buckets):
-            bits = C.thaw(answers[(1, bucket)])[0]
-            hit[part] = np.unpackbits(bits, count=part.stop - part.start).astype(bool)
+            for flags, bits in zip((hit, hot), C.thaw(answers[(1, bucket)]), strict=True):
+                flags[part] = np.unpackbits(bits, count=part.stop - part.start).astype(bool)
         chosen = np.flatnonzero(hit[index])
+        if hot.any():
+            chosen = pieces.cut(chosen, hot[index[chosen]], self.length, self.gram)
         prints = pieces.prints(chosen, self.length, self.gram)
         order = np.lexsort((prints, pieces.anchor[chosen]))
         chosen, prints = chosen[order], prints[order]
