@@ -4,7 +4,7 @@ Test items are the indexed documents. Impacts are BM25 weights divided by the sc
 itself, so one threshold between 0 and 1 holds for all items and a passage that contains a whole item scores
 1. Every passage (half-overlapping windows of words) is a query; all items at or above the threshold are
 retrieved, none is cut off by a k. A retrieved pair is verified by the runs of words that the item's question
-and its answer share with the passage.
+and its answer share with the passage; a question, or an answer, of WHOLE words or more that is there alone is enough.
 
 The index is built on the driver from at most SHARD_ITEMS items and travels with the tasks; more items make
 more indexes, each applied to all documents. Documents are read where they are: nothing is shuffled.
@@ -24,9 +24,10 @@ from pyspark.sql import functions as F
 from gaugeworks.llm.common import body, slim
 
 TELLING = 0.75  # share of an item's own score that its telling (long) words make
-THRESHOLD = 0.6  # share of an item's own score a passage must reach
+THRESHOLD = 0.45  # share of an item's own score a passage must reach; a question without its answer does
 OVERLAP = 0.6  # share of the question's and of the answer's word runs that must be in the passage
 RUN = 5  # words of a run
+WHOLE = 8  # words of a question or answer that tells its item alone
 K1, B = 1.2, 0.75
 BLOCK = 16  # postings of a block
 SHARD_ITEMS = 20_000
@@ -56,11 +57,28 @@ def runs(words: list[bytes], size: int = RUN) -> set[tuple]:
 
 
 def shared_runs(part: list[bytes], passage: list[bytes], size: int = RUN) -> float:
-    """Share of the part's word runs that the passage has; 1 for a part without words."""
+    """Share of the part's word runs that the passage has; 1 for a part without words.
+
+    Runs of a part of fewer than 4 * ``size`` words are shorter, down to two words, so that one changed word leaves
+    more than half of them.
+    """
+    size = min(size, max(2, len(part) // 4))
     wanted = runs(part, size)
     return len(wanted & runs(passage, min(size, len(part)))) / len(wanted) if wanted else 1.0
 
 
+def holds(passage: list[bytes], question: list[bytes], answer: list[bytes], overlap: float) -> tuple[float, float] | None:
+    """Overlaps of question and answer if the passage holds the item: enough of both, or one of them, of WHOLE words
+    or more, all but for a changed word."""
+    q, a = shared_runs(question, passage), shared_runs(answer, passage)
+    if min(q, a) >= overlap:
+        return q, a
+    for part, share in ((question, q), (answer, a)):
+        if len(part) >= WHOLE and share >= 1 - RUN / max(1, len(part) - RUN + 1) - 1e-9 and share >= overlap:
+            return q, a
+    return None
+
+
 class Index:
     """Inverted index of items with block maxima, for one fixed threshold."""
 
@@ -170,8 +188,8 @@ class Index:
             passage = words[start * step : (start + 2) * step]
             for item, score in self.search(set(passage)):
                 _, q, a = self.items[item]
-                shared = shared_runs(q, passage), shared_runs(a, passage)
-                if min(shared) >= overlap and (score, *shared) > best.get(item, ()):
+                shared = holds(passage, q, a, overlap)
+                if shared and (score, *shared) > best.get(item, ()):
                     best[item] = (score, *shared)
         return best
 

@@ -24,6 +24,7 @@ from gaugeworks.llm import (
     suffixes,
     toxicity,
 )
+from gaugeworks.llm import chunks as C
 from gaugeworks.llm.common import stored
 
 DIRECTORY = "/root/testdata/sf0.001"
@@ -248,6 +249,64 @@ def test_repeated_bytes(spark, texts):
         assert r["kept_sha256"] == hashlib.sha256(kept).hexdigest()
 
 
+def test_pieces_of_a_hot_anchor_spread_over_buckets(spark, monkeypatch):
+    """A short phrase in differing surroundings stands in all texts; longer ones repeat around it in some."""
+    rng = random.Random(4)
+    letters = lambda n: "".join(rng.choice("abcdefghijklmnopqrst") for _ in range(n))
+    phrase, rows = letters(20), []
+    around = [(letters(40), letters(40)) for _ in range(3)]
+    for i in range(1_500):
+        before, after = rng.choice(around) if i % 10 == 0 else (letters(40), letters(40))
+        rows.append((i, before + phrase + after))
+    monkeypatch.setattr(suffixes, "HOT_PIECES", 60)
+    monkeypatch.setattr(suffixes, "PIECES_PER_BUCKET", 100)
+    sent = Counter()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    chunks = C.chunked(docs)
+    dedup = suffixes.Dedup(50, chunks.agg({"n_bytes": "sum"}).first()[0])
+    first = {}
+    packets = [(c, b, p) for c in map(lambda r: C.Chunk(r["chunk_id"], r["data"]), chunks.collect()) for b, p in dedup.anchors(c, {})]
+    for bucket in {b for _, b, _ in packets}:
+        mine = [(c, p) for c, b, p in packets if b == bucket]
+        for (c, _), (answer, n) in zip(mine, dedup.shared([p for _, p in mine]), strict=True):
+            first.setdefault(c, {})[(1, bucket)] = answer
+            sent["hits"] += n
+    dedup.text_buckets = max(1, sent["hits"] // suffixes.PIECES_PER_BUCKET)
+    pieces = Counter()
+    for c, answers in first.items():
+        for bucket, payload in dedup.send_texts(c, answers):
+            pieces[bucket] += len(C.thaw(payload)[0]) / 35  # windows of a piece
+    assert dedup.text_buckets > 2 and max(pieces.values()) < 2 * suffixes.PIECES_PER_BUCKET
+    seen, want = {}, {}
+    for i, t in rows:
+        gone = set()
+        for k in range(len(t) - 49):
+            if seen.setdefault(t[k : k + 50], i) < i:
+                gone |= set(range(k, k + 50))
+        want[i] = len(gone)
+    got = {r["doc_id"]: r["n_removed"] for r in suffixes.repeated_bytes(docs).collect()}
+    assert got == want and sum(n > 0 for n in want.values()) > 100
+
+
+def test_changed_and_partial_items_are_found():
+    rng = random.Random(8)
+    vocabulary = grown(rng, 3_000)
+    items = [(i, " ".join(rng.choices(vocabulary, k=rng.randint(10, 40))) + ". " + " ".join(rng.choices(vocabulary, k=rng.randint(1, 12)))) for i in range(100)]
+    frequency = Counter(w for _, t in items for w in set(decontaminate.words_of(t)))
+    parts = [(i, *decontaminate.question_and_answer(t)) for i, t in items]
+    index = decontaminate.Index(parts, frequency, 100, 30.0, decontaminate.THRESHOLD)
+    found = Counter()
+    for i, q, a in parts:
+        changed, answer = (q + " " + a).split(), a.split()
+        changed[rng.randrange(len(changed))] = "other"
+        answer[len(answer) // 2] = "other"
+        for kind, text in (("changed", " ".join(changed)), ("answer", q + " " + " ".join(answer)), ("question", q)):
+            around = [" ".join(rng.choices(vocabulary, k=50)) for _ in range(2)]
+            found[kind] += i in {index.items[k][0] for k in index.matches(text.join((around[0] + " ", " " + around[1])))}
+        assert not index.matches(" ".join(rng.choices(vocabulary, k=400)))
+    assert min(found[k] for k in ("changed", "answer", "question")) >= 90
+
+
 def test_deep_shallow_sort():
     rng = random.Random(0)
     for k in range(60):
