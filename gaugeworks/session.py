@@ -24,18 +24,6 @@ RUNTIME_CONF = {
 }
 
 
-def conf_for_input(input_bytes: int, partition_mb: int = 128) -> dict[str, str]:
-    """Settings for a job over that much input: enough initial shuffle partitions for tasks of the given
-    size. The runtime merges the small ones, so the number is an upper bound, not a cost."""
-    size = partition_mb * 1024 * 1024
-    partitions = min(max(input_bytes // size, 200), 100_000)
-    return {
-        "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(size),
-        "spark.sql.files.maxPartitionBytes": str(size),
-    }
-
-
 def build_session(app: str = "gaugeworks", master: str | None = None, **conf: str) -> SparkSession:
     """Create (or reuse) a session with the settings the operators assume."""
     builder = SparkSession.builder.appName(app)

@@ -52,8 +52,8 @@ def test_month_predicate_only_on_stored_months(spark, tmp_path):
 
 
 MERGES = [
-    ('{"status":"online","priority":5}', '{"priority":8,"alert_count":3}',
-     '{"alert_count":3,"priority":8,"status":"online"}'),
+    ('{"zone":"north","valve":true,"level":2}', '{"level":7.5,"tags":["x"]}',
+     '{"level":7.5,"tags":["x"],"valve":true,"zone":"north"}'),
     ('{"a":1}', '{"a":null}', '{"a":null}'),
     ('{"a":{"x":1,"y":2}}', '{"a":{"z":3}}', '{"a":{"z":3}}'),
     ('{"a":1}', '{"a":"1"}', '{"a":"1"}'),
