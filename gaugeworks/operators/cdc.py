@@ -51,12 +51,18 @@ def change_feed(
     ``versions`` has entity_id, tenant_id, hot_attrs (JSON object) and occurred_at; versions of an entity
     are compared with their predecessor. The first version of an entity changes all its keys from null.
     """
-    now = timefn.ts(timefn.resolve_as_of(processed_at))
     key, at = ["entity_id", "tenant_id"], F.col("occurred_at")
     cuts = cuts_of_large_keys(versions, key, at)
     paired = previous_in_slices(versions, key, list(order), ["hot_attrs"], at, cuts, unit=slice_unit)
+    return changes_between(paired.withColumn("previous_attrs", F.col("_prev.hot_attrs")), processed_at=processed_at)
+
+
+def changes_between(paired: DataFrame, *, processed_at=None) -> DataFrame:
+    """Feed rows of versions that carry their predecessor's object as ``previous_attrs`` (null: none), batch or
+    stream. A version that changes nothing, or has no object, gives no row."""
+    now = timefn.ts(timefn.resolve_as_of(processed_at))
     new = jsonfn.as_text_map(F.col("hot_attrs"))
-    old = F.coalesce(jsonfn.as_text_map(F.col("_prev.hot_attrs")), F.create_map().cast("map<string,string>"))
+    old = F.coalesce(jsonfn.as_text_map(F.col("previous_attrs")), F.create_map().cast("map<string,string>"))
 
     def pair(_: Column, was: Column, now_: Column) -> Column:
         return F.struct(was.alias("old"), now_.alias("new"))

@@ -738,9 +738,9 @@ def _late_changes(m):
     return state.where("op <> 'd'").drop("op", "ts_ms", "lsn")
 
 
-@query(
-    "d9_change_feed",
-    over(
+def change_feed_sql(condition: str) -> str:
+    """The feed of every entity's versions that meet a condition."""
+    return over(
         "fact",
         f"""SELECT 'entity.updated' AS event_type, entity_id, tenant_id,
             '{{' || array_to_string(list_filter([
@@ -751,18 +751,22 @@ def _late_changes(m):
                 lambda x: x IS NOT NULL), ',') || '}}' AS changes,
             ingested_at AS occurred_at, {NOW} AS processed_at,
             {num(f"(epoch_us({NOW}) - epoch_us(ingested_at)) / 1000000.0")} AS lag_seconds
-        FROM v WHERE p0 IS DISTINCT FROM k OR s0 IS DISTINCT FROM status""",
+        FROM v WHERE (p0 IS DISTINCT FROM k OR s0 IS DISTINCT FROM status) AND {condition}""",
         v="""SELECT *, lag(k) OVER (PARTITION BY entity_id ORDER BY ingested_at) AS p0,
             lag(status) OVER (PARTITION BY entity_id ORDER BY ingested_at) AS s0 FROM fact""",
-    ),
-)
-def _change_feed(m):
+    )
+
+
+def entity_versions(m):
+    """Every event as a version of its entity's object."""
     owned = m.owned(m.read("events").withColumnRenamed("user_id", "entity_id"), names=False)
-    versions = owned.select(
+    return owned.select(
         "entity_id", "tenant_id", F.col("ts").alias("occurred_at"),
         jsonfn.build_object(
             status=status_of(F.col("event_type")),
             priority=F.get_json_object("props", "$.k").cast("int"),
         ).alias("hot_attrs"),
     )
-    return cdc.change_feed(versions, processed_at=AS_OF)
+
+
+query("d9_change_feed", change_feed_sql("true"))(lambda m: cdc.change_feed(entity_versions(m), processed_at=AS_OF))

@@ -7,12 +7,12 @@ from functools import cached_property
 from pyspark.sql import functions as F
 
 from gaugeworks import schemas
-from gaugeworks.plans.entities import CDC_ROW, change_messages
-from gaugeworks.plans.registry import num, over, query
+from gaugeworks.plans.entities import CDC_ROW, change_feed_sql, change_messages, entity_versions
+from gaugeworks.plans.registry import AS_OF, num, over, query
 from gaugeworks.session import work_path
 from gaugeworks.sources import cdc as cdc_source
 from gaugeworks.sources.model import DriverModel
-from gaugeworks.streaming import partials, pipeline, state
+from gaugeworks.streaming import feed, partials, pipeline, state
 from gaugeworks.streaming.snapshots import SnapshotTable
 
 
@@ -284,6 +284,41 @@ def _missing(m):
     )
     return m.spark.read.schema("source string, last_beat timestamp, missing_at timestamp").parquet(out)
 
+
+# Versions up to this moment are released when the stream of the disordered model has been read.
+_RELEASED = "(SELECT date_trunc('millisecond', max(ingested_at)) FROM fact) - INTERVAL 9 DAY"
+
+
+@query("d9_stream_change_feed", change_feed_sql(f"ingested_at <= {_RELEASED}"))
+def _feed(m):
+    """Versions of entities in files that overlap in time."""
+    out = work_path(m.spark, "feed")
+    versions = entity_versions(DisorderModel(m.spark, m.directory))
+    _drain(feed.start_change_feed(versions, out, work_path(m.spark, "ckpt"), delay="9 days", interval=None))
+    return feed.read_feed(m.spark, out, processed_at=AS_OF)
+
+
+@query(
+    "d9_stream_late_versions",
+    over(
+        "fact",
+        f"""SELECT entity_id, tenant_id, ingested_at AS occurred_at FROM (
+            SELECT *, max(ingested_at) FILTER (ingested_at <= (SELECT date_trunc('millisecond', max(ingested_at))
+                FROM fact)) OVER (PARTITION BY entity_id) AS newest FROM fact)
+        WHERE (ingested_at < TIMESTAMP '{CUTS[2]}' AND newest >= TIMESTAMP '{CUTS[2]}')
+            OR (ingested_at >= TIMESTAMP '{CUTS[2]}' AND ingested_at < TIMESTAMP '{CUTS[1]}'
+                AND newest >= TIMESTAMP '{CUTS[1]}')""",
+    ),
+)
+def _late_versions(m):
+    """The two newest files are released together, so versions in the files after them are late where their entity
+    has a version released."""
+    out = work_path(m.spark, "feed")
+    versions = entity_versions(_stream(m))
+    _drain(feed.start_change_feed(versions, out, work_path(m.spark, "ckpt"), delay="0 seconds", interval=None))
+    return feed.read_late_versions(m.spark, out).drop("hot_attrs")
+
+
 query(
     "d10_stream_alarm",
     over(
