@@ -74,33 +74,44 @@ def _objects(rows: DataFrame, updated: Column) -> DataFrame:
     return merged.select(*KEY, "hot_attrs", "updated_at")
 
 
-def upsert_hot(state: DataFrame, deltas: DataFrame, *, as_of=None) -> DataFrame:
-    """Merge JSON deltas into the store: the delta's keys win, other keys stay, new entities are added.
-
-    Several deltas of one entity in a batch are folded key by key, the newest (by ``occurred_at``, then
-    by content) winning. The fold is an aggregation per key, so many deltas on one entity are combined
-    before the shuffle.
+def fold_deltas(deltas: DataFrame) -> DataFrame:
+    """One object per entity, ``folded``, from all its JSON deltas: key by key the newest (by ``occurred_at``, then
+    by content) wins. An aggregation per key, so many deltas on one entity are combined before the shuffle.
     """
-    now = timefn.ts(timefn.resolve_as_of(as_of))
     exploded = deltas.select(
         *KEY, "occurred_at", F.explode_outer(jsonfn.as_typed_map(F.col("delta"))).alias("attribute_name", "_value")
     ).select(*KEY, "attribute_name", "occurred_at", F.to_json("_value").alias("fragment"))
     newest = latest_by(exploded, [*KEY, "attribute_name"], ["occurred_at"])
-    folded = newest.groupBy(*KEY).agg(
-        jsonfn.object_agg(F.col("attribute_name"), F.col("fragment")).alias("_delta")
+    return newest.groupBy(*KEY).agg(
+        jsonfn.object_agg(F.col("attribute_name"), F.col("fragment")).alias("folded")
     )
+
+
+def merge_folded(state: DataFrame, folded: DataFrame, now: Column) -> DataFrame:
+    """The store after folded deltas: a delta's keys win, other keys stay, new entities are added."""
     joined = state.join(folded, KEY, "full_outer")
     return joined.select(
         *KEY,
-        jsonfn.merge(F.col("hot_attrs"), F.col("_delta")).alias("hot_attrs"),
-        F.when(F.col("_delta").isNotNull(), now).otherwise(F.col("updated_at")).alias("updated_at"),
+        jsonfn.merge(F.col("hot_attrs"), F.col("folded")).alias("hot_attrs"),
+        F.when(F.col("folded").isNotNull(), now).otherwise(F.col("updated_at")).alias("updated_at"),
     )
 
 
-def reconcile_hot(
-    values: DataFrame, attributes: DataFrame, state: DataFrame, *, as_of=None, hours: int = 1
-) -> DataFrame:
-    """Rebuild the hot values of the last hours from history and merge them into the store.
+def upsert_hot(state: DataFrame, deltas: DataFrame, *, as_of=None) -> DataFrame:
+    """Merge JSON deltas into the store: the delta's keys win, other keys stay, new entities are added.
+
+    Several deltas of one entity in a batch are folded first. ``HotStore`` does the same in place, on the folders
+    that a batch touches.
+    """
+    return merge_folded(state, fold_deltas(deltas), timefn.ts(timefn.resolve_as_of(as_of)))
+
+
+def _as_deltas(objects: DataFrame) -> DataFrame:
+    return objects.select(*KEY, F.col("hot_attrs").alias("delta"), F.col("updated_at").alias("occurred_at"))
+
+
+def recent_deltas(values: DataFrame, attributes: DataFrame, *, as_of=None, hours: int = 1) -> DataFrame:
+    """Deltas that rebuild the hot values of the last hours from history.
 
     The value is taken in the attribute's own type, so text attributes survive the repair.
     """
@@ -108,26 +119,30 @@ def reconcile_hot(
     recent = timefn.since(values, now - dt.timedelta(hours=hours)).where(
         F.col("ingested_at") <= timefn.ts(now)
     )
-    rebuilt = build_hot_projection(recent, attributes).select(
-        *KEY, F.col("hot_attrs").alias("delta"), F.col("updated_at").alias("occurred_at")
+    return _as_deltas(build_hot_projection(recent, attributes))
+
+
+def promoted_deltas(values: DataFrame, attributes: DataFrame, attribute_name: str) -> DataFrame:
+    """Deltas that bring a cold attribute's newest value per entity. Entities without a value are left alone."""
+    promoted = attributes.where(F.col("attribute_name") == attribute_name).withColumn(
+        "is_hot", F.lit(True)
     )
-    return upsert_hot(state, rebuilt, as_of=now)
+    return _as_deltas(build_hot_projection(values, promoted))
+
+
+def reconcile_hot(
+    values: DataFrame, attributes: DataFrame, state: DataFrame, *, as_of=None, hours: int = 1
+) -> DataFrame:
+    """Rebuild the hot values of the last hours from history and merge them into the store."""
+    now = timefn.resolve_as_of(as_of)
+    return upsert_hot(state, recent_deltas(values, attributes, as_of=now, hours=hours), as_of=now)
 
 
 def backfill_hot(
     values: DataFrame, attributes: DataFrame, state: DataFrame, attribute_name: str, *, as_of=None
 ) -> DataFrame:
-    """Promote a cold attribute: its newest value per entity is merged into the store.
-
-    Entities without a value are left alone.
-    """
-    promoted = attributes.where(F.col("attribute_name") == attribute_name).withColumn(
-        "is_hot", F.lit(True)
-    )
-    newest = build_hot_projection(values, promoted).select(
-        *KEY, F.col("hot_attrs").alias("delta"), F.col("updated_at").alias("occurred_at")
-    )
-    return upsert_hot(state, newest, as_of=as_of)
+    """Promote a cold attribute: its newest value per entity is merged into the store."""
+    return upsert_hot(state, promoted_deltas(values, attributes, attribute_name), as_of=as_of)
 
 
 def divergence_report(values: DataFrame, attributes: DataFrame, state: DataFrame) -> DataFrame:

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from gaugeworks import schemas
 from gaugeworks.functions import jsonfn, timefn
 from gaugeworks.operators import cdc, eav, hot, load, monitor, rollups, scd, scope
+from gaugeworks.operators.hotstore import HotStore
 from gaugeworks.plans.registry import AS_OF, NOW, num, over, query
+from gaugeworks.session import work_path
 from gaugeworks.sources import cdc as cdc_source
 from gaugeworks.sources.model import status_of
 
@@ -42,8 +44,6 @@ query("a5_enrich_fact", over("fact", f"SELECT event_id, {_FACT_SQL} FROM fact"))
 
 def _stored_fact(m):
     """Write the fact as the monthly columnar table and read it back with month pruning."""
-    from gaugeworks.session import work_path
-
     path = work_path(m.spark, "fact")
     load.write_fact(m.fact.drop("event_id"), path)
     return timefn.since(load.read_fact(m.spark, path), dt.datetime(2024, 1, 1))
@@ -151,8 +151,6 @@ query(
 
 def _archive(m):
     """Archive old order months, then count what is live and what is archived."""
-    from gaugeworks.session import work_path
-
     history = m.order_fact.select("tenant_id", "entity_id", "value", "ingested_at")
     archive = work_path(m.spark, "archive")
     manifest = load.archive_partitions(
@@ -179,8 +177,6 @@ query(
 
 def _archive_again(m):
     """A second run a year later, when the months the first run archived have left live history but for late rows."""
-    from gaugeworks.session import work_path
-
     history = m.order_fact.select("tenant_id", "entity_id", "value", "ingested_at")
     paths = work_path(m.spark, "archive"), work_path(m.spark, "manifest")
     late = F.col("entity_id") % 10 == 0
@@ -202,8 +198,6 @@ def _beats(m):
 
 
 def _pruned(m):
-    from gaugeworks.session import work_path
-
     kept = monitor.prune_heartbeats(work_path(m.spark, "beats"), _beats(m), as_of="2024-01-20 06:00:00")
     return kept.groupBy("source").agg(F.count("*").alias("beats"), F.min("timestamp").alias("oldest"))
 
@@ -390,7 +384,7 @@ def _static_store(m):
     )
 
 
-def _deltas(m):
+def hot_deltas(m):
     """One JSON delta per event; errors also carry their own key."""
     base = {"status": status_of(F.col("event_type")), "priority": F.get_json_object("props", "$.k").cast("int")}
     doc = F.when(
@@ -402,73 +396,105 @@ def _deltas(m):
     return m.owned(events, names=False).drop("entity_type")
 
 
-query(
-    "b7_upsert_hot",
-    over(
-        "fact",
-        f"""SELECT entity_id, ent.tenant_id,
-            '{{"environment":"' || ent.entity_type || '"' ||
-            coalesce(',"last_error":' || last_error, '') || ',"priority":' ||
-            coalesce(CAST(priority AS VARCHAR), '"unset"') ||
-            coalesce(',"status":"' || status || '"', '') || '}}' AS hot_attrs,
-            CASE WHEN l.entity_id IS NULL THEN TIMESTAMP '2023-12-01' ELSE {NOW} END AS updated_at
-        FROM ent LEFT JOIN l USING (entity_id)""",
-        l="""SELECT entity_id, arg_max(status, ingested_at) AS status, arg_max(k, ingested_at) AS priority,
-            arg_max(event_id, ingested_at) FILTER (attribute_name = 'error') AS last_error
-        FROM fact GROUP BY entity_id""",
-    ),
-)(lambda m: hot.upsert_hot(_static_store(m), _deltas(m), as_of=AS_OF))
+UPSERT_SQL = over(
+    "fact",
+    f"""SELECT entity_id, ent.tenant_id,
+        '{{"environment":"' || ent.entity_type || '"' ||
+        coalesce(',"last_error":' || last_error, '') || ',"priority":' ||
+        coalesce(CAST(priority AS VARCHAR), '"unset"') ||
+        coalesce(',"status":"' || status || '"', '') || '}}' AS hot_attrs,
+        CASE WHEN l.entity_id IS NULL THEN TIMESTAMP '2023-12-01' ELSE {NOW} END AS updated_at
+    FROM ent LEFT JOIN l USING (entity_id)""",
+    l="""SELECT entity_id, arg_max(status, ingested_at) AS status, arg_max(k, ingested_at) AS priority,
+        arg_max(event_id, ingested_at) FILTER (attribute_name = 'error') AS last_error
+    FROM fact GROUP BY entity_id""",
+)
+query("b7_upsert_hot", UPSERT_SQL)(lambda m: hot.upsert_hot(_static_store(m), hot_deltas(m), as_of=AS_OF))
 
-query(
-    "b8_reconcile_hot",
-    over(
-        "fact",
-        f"""SELECT entity_id, ent.tenant_id,
-            CASE WHEN l.entity_id IS NULL THEN '{{"environment":"' || ent.entity_type || '","priority":"unset"}}'
-                 ELSE {_hot_json('status', 'priority', 'ent.entity_type', 'ent.tenant_name')} END AS hot_attrs,
-            CASE WHEN l.entity_id IS NULL THEN TIMESTAMP '2023-12-01' ELSE {NOW} END AS updated_at
-        FROM ent LEFT JOIN l USING (entity_id)""",
-        l=f"""SELECT entity_id, arg_max(status, ingested_at) AS status, arg_max(k, ingested_at) AS priority
-        FROM fact WHERE ingested_at >= {NOW} - INTERVAL 24 HOUR GROUP BY entity_id""",
-    ),
-)(lambda m: hot.reconcile_hot(m.hot_values, m.attributes, _static_store(m), as_of=AS_OF, hours=24))
+_RECONCILE_SQL = over(
+    "fact",
+    f"""SELECT entity_id, ent.tenant_id,
+        CASE WHEN l.entity_id IS NULL THEN '{{"environment":"' || ent.entity_type || '","priority":"unset"}}'
+             ELSE {_hot_json('status', 'priority', 'ent.entity_type', 'ent.tenant_name')} END AS hot_attrs,
+        CASE WHEN l.entity_id IS NULL THEN TIMESTAMP '2023-12-01' ELSE {NOW} END AS updated_at
+    FROM ent LEFT JOIN l USING (entity_id)""",
+    l=f"""SELECT entity_id, arg_max(status, ingested_at) AS status, arg_max(k, ingested_at) AS priority
+    FROM fact WHERE ingested_at >= {NOW} - INTERVAL 24 HOUR GROUP BY entity_id""",
+)
+query("b8_reconcile_hot", _RECONCILE_SQL)(
+    lambda m: hot.reconcile_hot(m.hot_values, m.attributes, _static_store(m), as_of=AS_OF, hours=24)
+)
 
-query(
-    "b9_backfill_hot",
-    over(
-        "fact",
-        f"""SELECT entity_id, ent.tenant_id,
-            '{{' || coalesce('"click":' || click || ',', '') || '"environment":"' || ent.entity_type ||
-                '","priority":"unset"}}' AS hot_attrs,
-            CASE WHEN l.entity_id IS NULL THEN TIMESTAMP '2023-12-01' ELSE {NOW} END AS updated_at
-        FROM ent LEFT JOIN l USING (entity_id)""",
-        l="""SELECT entity_id, regexp_replace(arg_max(value, ingested_at), '\\.0$', '') AS click
-        FROM fact WHERE attribute_name = 'click' GROUP BY entity_id""",
-    ),
-)(lambda m: hot.backfill_hot(m.values, m.attributes, _static_store(m), "click", as_of=AS_OF))
+_BACKFILL_SQL = over(
+    "fact",
+    f"""SELECT entity_id, ent.tenant_id,
+        '{{' || coalesce('"click":' || click || ',', '') || '"environment":"' || ent.entity_type ||
+            '","priority":"unset"}}' AS hot_attrs,
+        CASE WHEN l.entity_id IS NULL THEN TIMESTAMP '2023-12-01' ELSE {NOW} END AS updated_at
+    FROM ent LEFT JOIN l USING (entity_id)""",
+    l="""SELECT entity_id, regexp_replace(arg_max(value, ingested_at), '\\.0$', '') AS click
+    FROM fact WHERE attribute_name = 'click' GROUP BY entity_id""",
+)
+query("b9_backfill_hot", _BACKFILL_SQL)(
+    lambda m: hot.backfill_hot(m.values, m.attributes, _static_store(m), "click", as_of=AS_OF)
+)
+
+
+def hot_store(m):
+    """The static store as a table in eight buckets."""
+    store = HotStore(m.spark, work_path(m.spark, "hot-buckets"), buckets=8)
+    store.rebuild(_static_store(m))
+    return store
+
+
+def _after(store, change):
+    change(store)
+    return store.read()
+
+
+query("b8_reconcile_store", _RECONCILE_SQL)(
+    lambda m: _after(hot_store(m), lambda s: s.reconcile(m.hot_values, m.attributes, as_of=AS_OF, hours=24))
+)
+
+query("b9_backfill_store", _BACKFILL_SQL)(
+    lambda m: _after(hot_store(m), lambda s: s.backfill(m.values, m.attributes, "click", as_of=AS_OF))
+)
 
 
 def _old_store(m):
+    """A store some days old: entities without a reading by then hold what the static store has, a third of all
+    entities another environment."""
     cutoff = F.expr("TIMESTAMP '2024-01-25 00:00:00+00:00'")
-    return hot.build_hot_projection(m.hot_values.where(F.col("ingested_at") < cutoff), m.attributes)
+    old = hot.build_hot_projection(m.hot_values.where(F.col("ingested_at") < cutoff), m.attributes)
+    deltas = old.select(
+        "entity_id", "tenant_id", F.col("hot_attrs").alias("delta"), F.col("updated_at").alias("occurred_at")
+    )
+    moved = m.entities.where("entity_id % 3 = 0").select(
+        "entity_id", "tenant_id", F.lit('{"environment":"moved"}').alias("delta"), cutoff.alias("occurred_at")
+    )
+    return hot.upsert_hot(_static_store(m), deltas.unionByName(moved), as_of=AS_OF)
 
 
 query(
     "b10_divergence_report",
     over(
         "fact",
-        """SELECT name AS attribute_name, count(*) FILTER (in_store AND now_v = then_v) AS matching,
-            count(*) FILTER (in_store AND now_v <> then_v) AS differing,
-            count(*) FILTER (NOT in_store) AS missing_in_store, CAST(0 AS BIGINT) AS missing_in_history
+        """SELECT name AS attribute_name, count(*) FILTER (now_v = then_v) AS matching,
+            count(*) FILTER (now_v <> then_v) AS differing,
+            count(*) FILTER (now_v IS NOT NULL AND then_v IS NULL) AS missing_in_store,
+            count(*) FILTER (now_v IS NULL AND then_v IS NOT NULL) AS missing_in_history
         FROM both_sides GROUP BY name""",
-        per="""SELECT entity_id, arg_max(status, ingested_at) AS s1, CAST(arg_max(k, ingested_at) AS VARCHAR) AS p1,
+        per="""SELECT entity_id, any_value(ent.entity_type) AS kind, any_value(ent.tenant_name) AS place,
+            arg_max(status, ingested_at) AS s1, CAST(arg_max(k, ingested_at) AS VARCHAR) AS p1,
             arg_max(status, ingested_at) FILTER (ingested_at < TIMESTAMP '2024-01-25') AS s0,
             CAST(arg_max(k, ingested_at) FILTER (ingested_at < TIMESTAMP '2024-01-25') AS VARCHAR) AS p0
-        FROM fact GROUP BY entity_id""",
-        both_sides="""SELECT 'status' AS name, s1 AS now_v, s0 AS then_v, s0 IS NOT NULL AS in_store FROM per
-        UNION ALL SELECT 'priority', p1, p0, p0 IS NOT NULL FROM per
-        UNION ALL SELECT 'environment', 'x', 'x', s0 IS NOT NULL FROM per
-        UNION ALL SELECT 'region', 'x', 'x', s0 IS NOT NULL FROM per""",
+        FROM ent LEFT JOIN fact USING (entity_id) GROUP BY entity_id""",
+        both_sides="""SELECT 'status' AS name, s1 AS now_v, s0 AS then_v FROM per
+        UNION ALL SELECT 'priority', p1, coalesce(p0, 'unset') FROM per
+        UNION ALL SELECT 'environment', CASE WHEN s1 IS NOT NULL THEN kind END,
+            CASE WHEN entity_id % 3 = 0 THEN 'moved' ELSE kind END FROM per
+        UNION ALL SELECT 'region', CASE WHEN s1 IS NOT NULL THEN place END,
+            CASE WHEN s0 IS NOT NULL THEN place END FROM per""",
     ),
 )(lambda m: hot.divergence_report(m.hot_values, m.attributes, _old_store(m)))
 

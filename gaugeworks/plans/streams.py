@@ -7,7 +7,9 @@ from functools import cached_property
 from pyspark.sql import functions as F
 
 from gaugeworks import schemas
-from gaugeworks.plans.entities import CDC_ROW, change_feed_sql, change_messages, entity_versions
+from gaugeworks.plans.entities import (
+    CDC_ROW, UPSERT_SQL, change_feed_sql, change_messages, entity_versions, hot_deltas, hot_store,
+)
 from gaugeworks.plans.registry import AS_OF, num, over, query
 from gaugeworks.session import work_path
 from gaugeworks.sources import cdc as cdc_source
@@ -285,6 +287,32 @@ def _missing(m):
     return m.spark.read.schema("source string, last_beat timestamp, missing_at timestamp").parquet(out)
 
 
+class DailyModel(LateStreamModel):
+    """The driver model with the events in parts, oldest first."""
+
+    @cached_property
+    def parts(self) -> str:
+        folder, events = work_path(self.spark, "events-in"), DriverModel.read(self, "events")
+        marks = [F.expr(f"TIMESTAMP '{c} 00:00:00+00:00'") for c in sorted(CUTS)]
+        part = sum((F.col("ts") >= mark).cast("int") for mark in marks)
+        for i in range(len(marks) + 1):
+            events.where(part == i).coalesce(1).write.parquet(f"{folder}/{i}")
+        return folder
+
+
+@query("b7_hot_store_stream", UPSERT_SQL)
+def _hot_store(m):
+    """Deltas in order of time, a micro-batch per part, merged into the buckets they touch."""
+    store = hot_store(m)
+    deltas = hot_deltas(DailyModel(m.spark, m.directory))
+    _drain(
+        state.start_hot_upserts(
+            deltas, store, work_path(m.spark, "ckpt"), interval=None, vacuum_every=2, as_of=AS_OF
+        )
+    )
+    return store.read()
+
+
 # Versions up to this moment are released when the stream of the disordered model has been read.
 _RELEASED = "(SELECT date_trunc('millisecond', max(ingested_at)) FROM fact) - INTERVAL 9 DAY"
 

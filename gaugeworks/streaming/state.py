@@ -1,4 +1,4 @@
-"""Current state from change events, and detection of missing heartbeats."""
+"""Current state from change events, hot objects from deltas, and detection of missing heartbeats."""
 
 from __future__ import annotations
 
@@ -14,6 +14,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 from gaugeworks.operators.cdc import newest_change
+from gaugeworks.operators.hotstore import HotStore
 from gaugeworks.streaming.pipeline import trigger_of
 
 
@@ -95,6 +96,26 @@ def start_change_state(
     )
 
 
+def start_hot_upserts(
+    deltas: DataFrame, store: HotStore, checkpoint: str, *, interval: str | None = "30 seconds",
+    vacuum_every: int = 20, as_of=None,
+) -> StreamingQuery:
+    """Merge a stream of JSON deltas into a hot store, each micro-batch into the buckets it touches. Of deltas in
+    different micro-batches the one that comes later wins; ``as_of`` stamps the changed objects (default: now)."""
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        store.upsert(batch, epoch, as_of=as_of)
+        if vacuum_every and epoch and epoch % vacuum_every == 0:
+            store.vacuum()
+
+    return (
+        deltas.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger_of(interval))
+        .start()
+    )
+
+
 _BEAT_OUTPUT = "source string, last_beat timestamp, status string"
 
 
