@@ -30,7 +30,7 @@ def join_null_safe(
     renamed = right.selectExpr(*[f"`{k}` AS `_r_{k}`" for k in keys], *[f"`{c}`" for c in rest])
     condition = F.expr(" AND ".join(f"`{k}` <=> `_r_{k}`" for k in keys))
     joined = left.join(renamed, condition, how)
-    return joined if how == "left_anti" else joined.drop(*[f"_r_{k}" for k in keys])
+    return joined if how in ("left_anti", "left_semi") else joined.drop(*[f"_r_{k}" for k in keys])
 
 
 SLICE_ROWS = 500_000  # rows of a key that one task sorts as they are

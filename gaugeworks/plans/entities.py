@@ -211,10 +211,10 @@ query(
     ),
 )(_pruned)
 
-_STATS_SQL = """SELECT tenant_id, attribute_id, attribute_name,
+STATS_SQL = """SELECT tenant_id, attribute_id, attribute_name,
     count(DISTINCT entity_id) AS distinct_entities, count(*) AS total_values,
-    min(ingested_at) AS oldest, max(ingested_at) AS newest FROM fact GROUP BY ALL"""
-query("a10_attribute_stats", over("fact", _STATS_SQL))(
+    min(ingested_at) AS oldest, max(ingested_at) AS newest FROM live GROUP BY ALL"""
+query("a10_attribute_stats", over("fact", STATS_SQL, live="SELECT * FROM fact"))(
     lambda m: rollups.attribute_stats(m.values, m.attributes)
 )
 

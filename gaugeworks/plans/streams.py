@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 
 from gaugeworks import schemas
 from gaugeworks.plans.entities import (
-    CDC_ROW, UPSERT_SQL, change_feed_sql, change_messages, entity_versions, hot_deltas, hot_store,
+    CDC_ROW, STATS_SQL, UPSERT_SQL, change_feed_sql, change_messages, entity_versions, hot_deltas, hot_store,
 )
 from gaugeworks.plans.registry import AS_OF, num, over, query
 from gaugeworks.session import work_path
 from gaugeworks.sources import cdc as cdc_source
 from gaugeworks.sources.model import DriverModel
-from gaugeworks.streaming import feed, partials, pipeline, state
+from gaugeworks.streaming import attribute_counts, feed, partials, pipeline, state
 from gaugeworks.streaming.snapshots import SnapshotTable
 
 
@@ -150,6 +150,21 @@ query(
     ).drop("entities")
 )
 
+_GONE = "event_id % 10 = 0 OR ingested_at < TIMESTAMP '2024-01-03 00:00:00'"
+
+
+@query("a10_stats_from_deltas", over("fact", STATS_SQL, live=f"SELECT * FROM fact WHERE NOT ({_GONE})"))
+def _stats_from_deltas(m):
+    """Readings arrive in disorder; then a tenth of them and all of the first days are deleted."""
+    table, rollup = SnapshotTable(m.spark, work_path(m.spark, "counts")), attribute_counts.count_rollup()
+    came, gone = _stream(m).values.withColumn("sign", F.lit(1)), m.values.where(_GONE).withColumn("sign", F.lit(-1))
+    _drain(partials.start_partials(came, rollup, table, work_path(m.spark, "ckpt"), interval=None))
+    table.append(rollup.partial(gone), 1_000_000)
+    attribute_counts.compact_counts(table)
+    live = m.values.where(f"NOT ({_GONE})")
+    return attribute_counts.attribute_stats_of(partials.read_rollup(table, rollup, gone), m.attributes, live)
+
+
 query(
     "d4_stream_late_routing",
     over(
