@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gaugeworks.llm.common import body, held_out, slim
+from gaugeworks.llm.common import body, first_by_hash, held_out, slim
 
 FIT_ROWS = 60_000  # most labelled rows the model is fitted on
 THRESHOLD = 0.7
@@ -207,9 +207,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) ->
     marked = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("double").alias("quality"))
         .where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & ~held_out(F.col("doc_id")))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(fit_rows)
     )
+    marked = first_by_hash(marked, fit_rows)
 
     def measure(batches):
         for pdf in batches:

@@ -6,7 +6,7 @@ risk on positives; where a batch drives that difference below zero the step goes
 model cannot profit from memorising (non-negative correction).
 
 Features are the distinct words and word beginnings of a document, hashed; only those markedly more frequent
-in positives than in unlabelled text get a weight, so long texts gather no noise.
+in positives than in all text get a weight, so long texts gather no noise.
 """
 
 from __future__ import annotations
@@ -21,10 +21,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeworks.llm.common import held_out, slim
+from gaugeworks.llm.common import first_by_hash, held_out, slim
 
 POSITIVE_ROWS = 6_000  # most confirmed toxic rows the model is fitted on
-UNLABELLED_ROWS = 12_000  # most unlabelled rows
+UNLABELLED_ROWS = 12_000  # most unlabelled rows of the gradient steps
 THRESHOLD = 0.3
 BUCKETS = 1 << 22
 PREFIXES = (4, 5, 7)
@@ -125,50 +125,112 @@ def _sigmoid(z):
     return 1.0 / (1.0 + np.exp(-np.clip(z, -40, 40)))
 
 
-def _voices(rows: list[np.ndarray]) -> np.ndarray:
-    """Weight of each document: one vote for all documents with the same least hashed feature, so that a
-    group of (near) copies counts about once."""
-    if not rows:
-        return np.zeros(0)
-    mixed = [(r.astype(np.int64) * 0x9E3779B1) % (1 << 32) for r in rows]
-    least = np.array([m.min() if len(m) else -1 for m in mixed], np.int64)
-    _, group, size = np.unique(least, return_inverse=True, return_counts=True)
-    return 1.0 / size[group]
+def _group(found: np.ndarray) -> int:
+    """Least mixed feature of a document, -1 without any: (near) copies mostly share it."""
+    return int(((found.astype(np.int64) * 0x9E3779B1) % (1 << 32)).min()) if len(found) else -1
 
 
 def _shares(rows: list[np.ndarray]) -> tuple[np.ndarray, float]:
-    """Votes per bucket, and all votes."""
-    voice = _voices(rows)
-    flat = np.concatenate([*rows, np.zeros(0, np.int64)]).astype(np.int64)
-    votes = np.bincount(flat, np.repeat(voice, [len(r) for r in rows]), BUCKETS)
+    """Votes per bucket, and all votes. All documents of a group together have one vote."""
+    if not rows:
+        return np.zeros(BUCKETS), 0.0
+    _, group, size = np.unique([_group(r) for r in rows], return_inverse=True, return_counts=True)
+    voice = 1.0 / size[group]
+    votes = np.bincount(np.concatenate(rows).astype(np.int64), np.repeat(voice, [len(r) for r in rows]), BUCKETS)
     return votes, float(voice.sum())
 
 
-def _select(
-    positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, least: float = 1.5, share: float = 0.015
-) -> np.ndarray:
-    """Buckets in a fair share of the positives that are far rarer in the rest of the text."""
+_SIZES = np.unique([bucket(SIZE_MARK % k) for k in range(32)])
+
+
+def candidates(positive: list[np.ndarray], least: float = 1.5, share: float = 0.015) -> np.ndarray:
+    """Buckets in a fair share of the positives, and those of the sizes."""
     p, n_p = _shares(positive)
-    u, n_u = _shares(unlabelled)
+    return np.union1d(np.flatnonzero(p >= max(least, share * n_p)), _SIZES)
+
+
+def select(asked: np.ndarray, positive: list[np.ndarray], u: np.ndarray, n_u: float, prior: float) -> np.ndarray:
+    """Those candidates that are far rarer in the rest of the text. ``u`` are the candidates' votes in all text, ``n_u``
+    all votes there."""
+    p, n_p = _shares(positive)
+    p = p[asked]
     clean = np.maximum(u / max(1.0, n_u) - prior * p / max(1.0, n_p), 0.0) / max(1e-9, 1.0 - prior)
     expected = (clean + 0.5 / max(1.0, n_u)) * n_p
     z = (p - expected) / np.sqrt(expected + 1.0)
-    chosen = np.flatnonzero((p >= max(least, share * n_p)) & (p > 4 * expected) & (z > 1.0))
-    return np.union1d(chosen, [bucket(SIZE_MARK % k) for k in range(32)])
+    return np.union1d(asked[(p > 4 * expected) & (z > 1.0)], _SIZES)
+
+
+def corpus_votes(docs: DataFrame, asked: np.ndarray) -> tuple[np.ndarray, float]:
+    """Votes of some buckets over all documents, and all votes, as ``_shares`` counts them.
+
+    Each task adds up its documents by group before the shuffle, so a group with a third of all documents is a row per
+    batch. What is shuffled is a number of at most four bytes for each candidate of a document; a task reads its groups
+    in order and holds one of them. A row per candidate comes back.
+    """
+    asked_bytes = asked.astype("<i4").tobytes()
+    kind = "<u2" if len(asked) < 1 << 16 else "<u4"
+
+    def by_group(batches):
+        place = np.full(BUCKETS, -1, np.int32)
+        wanted = np.frombuffer(asked_bytes, "<i4")
+        place[wanted] = np.arange(len(wanted), dtype=np.int32)
+        for pdf in batches:
+            size, hits = Counter(), {}
+            for text in pdf["text"]:
+                found = buckets_of(text)
+                group, at = _group(found), place[found]
+                size[group] += 1
+                hits.setdefault(group, []).append(at[at >= 0])
+            rows = []
+            for group, parts in hits.items():
+                which, times = np.unique(np.concatenate(parts), return_counts=True)
+                counts = times.astype("<u4").tobytes() if size[group] > 1 else None  # alone: one each
+                rows.append((group, size[group], which.astype(kind).tobytes(), counts))
+            yield pd.DataFrame(rows, columns=["grp", "n", "which", "times"])
+
+    def vote(batches):
+        votes, everyone = np.zeros(len(asked_bytes) // 4), 0
+        now, n, sums = None, 0, None
+
+        def close():
+            if now is not None:
+                np.add(votes, sums / n, out=votes)
+
+        for pdf in batches:
+            for group, size, which, times in pdf.itertuples(index=False):
+                if group != now:
+                    close()
+                    now, n, sums, everyone = group, 0, np.zeros(len(votes)), everyone + 1
+                at = np.frombuffer(which, kind)
+                sums[at] += np.frombuffer(times, "<u4") if times is not None else 1
+                n += size
+        close()
+        some = np.flatnonzero(votes)
+        yield pd.DataFrame({"at": np.append(some, -1), "votes": np.append(votes[some], float(everyone))})
+
+    parts = slim(docs).select("text").mapInPandas(by_group, "grp long, n long, which binary, times binary")
+    summed = (
+        parts.repartition("grp").sortWithinPartitions("grp").mapInPandas(vote, "at long, votes double")
+        .groupBy("at").agg(F.sum("votes").alias("votes")).toPandas()
+    )
+    u = np.zeros(len(asked))
+    inside = summed[summed["at"] >= 0]
+    u[inside["at"].to_numpy()] = inside["votes"].to_numpy()
+    return u, float(summed.loc[summed["at"] < 0, "votes"].sum())
 
 
 def fit_nnpu(
     positive: list[np.ndarray],
     unlabelled: list[np.ndarray],
     prior: float,
+    chosen: np.ndarray,
     epochs: int = 60,
     rate: float = 0.05,
     decay: float = 1e-3,
     batch: int = 2_000,
     seed: int = 0,
 ) -> Linear:
-    """Linear model over selected buckets by the non-negative PU risk, logistic loss and Adam steps."""
-    chosen = _select(positive, unlabelled, prior)
+    """Linear model over the chosen buckets by the non-negative PU risk, logistic loss and Adam steps."""
     table = np.full(BUCKETS, -1, np.int64)
     table[chosen] = np.arange(len(chosen))
 
@@ -247,8 +309,9 @@ def fit_toxicity(
 ) -> Linear:
     """Fit from at most so many confirmed toxic and unlabelled rows, the first of each by a hash.
 
-    The prior is the share of toxic rows among labelled ones outside the held-out fold; those rows also
-    calibrate the scores.
+    Which features count is judged from all documents; the bounded rows serve the gradient steps alone. The prior is
+    the share of toxic rows among labelled ones outside the held-out fold; those rows, negatives as well (which PU
+    learning itself does not need), calibrate the scores.
     """
     doc = F.col("doc_id")
     marked = labels.select(doc.cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where(
@@ -257,31 +320,36 @@ def fit_toxicity(
     tally = marked.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     prior = min(max((tally[1] + 0.5) / (tally[0] + 1.0), 1e-3), 0.9)
 
-    def first(rows: DataFrame, n: int) -> DataFrame:
-        return rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
-
-    positive = first(marked.where("toxic = 1"), positive_rows)
-    negative = first(marked.where("toxic = 0"), unlabelled_rows // 2)
-    others = first(slim(docs).select("doc_id").where(doc.isNotNull()), unlabelled_rows)
-    picked = positive.unionByName(negative).unionByName(others.withColumn("toxic", F.lit(-1)))
-
-    def measure(batches):
-        for pdf in batches:
-            x = [buckets_of(t).astype("<i4").tobytes() for t in pdf["text"]]
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "toxic": pdf["toxic"], "x": x})
-
-    rows = (
-        slim(docs)
-        .join(F.broadcast(picked), "doc_id")  # bounded by the row limits above
-        .mapInPandas(measure, "doc_id long, toxic int, x binary")
-        .toPandas()
-        .sort_values(["doc_id", "toxic"], kind="stable")
-    )
-    x = [np.frombuffer(v, "<i4") for v in rows["x"]]
-    toxic = rows["toxic"].to_numpy()
+    def measured(picked: DataFrame, only: np.ndarray | None) -> tuple[list[np.ndarray], np.ndarray]:
+        kept = None if only is None else only.astype("<i4").tobytes()
+
+        def measure(batches):
+            wanted = None if kept is None else np.frombuffer(kept, "<i4")
+            for pdf in batches:
+                x = [buckets_of(t) for t in pdf["text"]]
+                x = x if wanted is None else [np.intersect1d(v, wanted, assume_unique=True) for v in x]
+                x = [v.astype("<i4").tobytes() for v in x]
+                yield pd.DataFrame({"doc_id": pdf["doc_id"], "toxic": pdf["toxic"], "x": x})
+
+        rows = (
+            slim(docs)
+            .join(F.broadcast(picked), "doc_id")  # bounded by the row limits above
+            .mapInPandas(measure, "doc_id long, toxic int, x binary")
+            .toPandas()
+            .sort_values(["doc_id", "toxic"], kind="stable")
+        )
+        return [np.frombuffer(v, "<i4") for v in rows["x"]], rows["toxic"].to_numpy()
+
+    positive, _ = measured(first_by_hash(marked.where("toxic = 1"), positive_rows), None)
+    asked = candidates(positive)
+    u, n_u = corpus_votes(docs, asked)
+    chosen = select(asked, positive, u, n_u, prior)
+    negative = first_by_hash(marked.where("toxic = 0"), unlabelled_rows // 2)
+    others = first_by_hash(slim(docs).select("doc_id").where(doc.isNotNull()), unlabelled_rows)
+    x, toxic = measured(negative.unionByName(others.withColumn("toxic", F.lit(-1))), chosen)
     of = lambda kind: [x[i] for i in np.flatnonzero(toxic == kind)]
-    positive, negative = of(1), of(0)
-    model = fit_nnpu(positive, of(-1), prior)
+    negative = of(0)
+    model = fit_nnpu(positive, of(-1), prior, chosen)
     table = model.lookup()
     margins = np.array([model.margin(v, table) for v in positive + negative])
     return calibrate(model, margins, np.array([1.0] * len(positive) + [0.0] * len(negative)))
