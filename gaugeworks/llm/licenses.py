@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from gaugeworks.llm.common import slim, stored
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 THRESHOLD = 0.8
 BLOCK_WORDS = 64
 
@@ -78,10 +79,10 @@ def needed(n_tokens: int, threshold: float) -> int:
 
 
 def _worded(docs: DataFrame) -> DataFrame:
-    """Slim documents with their words in lower case and a key that tells rows apart by content."""
+    """Slim documents with their words, A-Z lowered and no other letter, and a key that tells rows apart by content."""
     return (
         slim(docs)
-        .withColumn("text", F.lower("text"))
+        .withColumn("text", F.translate("text", UPPER, UPPER.lower()))
         .select(
             "doc_id",
             F.xxhash64("doc_id", "text").alias("row_hash"),
@@ -175,7 +176,9 @@ def scan_licenses(
     reaches the threshold, else 0.
 
     Missing texts count as empty ones: no words, no labels, score 0. Repeated rows get one row each; a
-    missing doc_id stays missing.
+    missing doc_id stays missing. Equal containments of several templates give all their labels. Very long texts
+    are cut into blocks like others; an empty table gives no rows; further columns, whatever their names, are left
+    out.
     """
     phrases = PHRASES if phrases is None else phrases
     worded = _worded(docs)
