@@ -4,8 +4,10 @@ A 64-bit fingerprint is read as three blocks of at most 23 bits. The anchors of
 the binary Golay code: every 23-bit word lies within distance 3 of exactly one of them. Two fingerprints that
 differ in at most k bits differ in at most k // 3 bits of some block, so one of them has its nearest anchor
 within 3 + k // 3 of the other. Each distinct fingerprint is replicated to all anchors within that radius, and
-fingerprints are compared per anchor. With ``refine`` groups an anchor is cut further by the value of a group
-of the other bits: of k + 1 groups at least one is equal.
+fingerprints are compared per anchor. With ``refine`` groups an anchor is cut further by the other bits: of
+``refine`` groups of them at least ``refine - k`` are equal, so a fingerprint goes to the value of every such choice.
+More groups mean more copies of a row but longer, hence many more, keys: their number follows the number of
+fingerprints (``groups_for``).
 
 Distinct fingerprints, not documents, are replicated: copies are one row before any comparison. What one
 anchor holds is bounded by the ball around it. Within an anchor up to PAIRWISE fingerprints are compared
@@ -38,6 +40,7 @@ SHINGLE = 4
 SEED = 42
 PAIRWISE = 64
 ROWS_PER_BUCKET = 250_000
+ROWS_PER_KEY = 512  # fingerprints that an anchor, cut by groups, holds where they are spread evenly
 PAIR_ROWS = 500
 BLOCK_BYTES = 8 << 20  # text of a cluster that one task compares with itself
 BANDS, BAND_ROWS = 32, 4  # a pair at similarity 0.8 shares no key with probability (1 - 0.8**4)**32 = 5e-8
@@ -105,7 +108,8 @@ def fingerprints(docs: DataFrame, of=text_fingerprint, key: str = "doc_id") -> D
 
 
 def anchor_keys(fp: np.ndarray, bits: int, refine: int) -> tuple[np.ndarray, np.ndarray]:
-    """Anchors of fingerprints as (row, key); ``refine`` groups of the other bits, or none with 0."""
+    """Anchors of fingerprints as (row, key), cut by each choice of ``refine - bits`` of ``refine`` groups of the other
+    bits, or not at all with 0."""
     patterns = _PATTERNS.setdefault(3 + bits // 3, None)
     if patterns is None:
         patterns = _PATTERNS[3 + bits // 3] = _patterns(3 + bits // 3)
@@ -123,16 +127,30 @@ def anchor_keys(fp: np.ndarray, bits: int, refine: int) -> tuple[np.ndarray, np.
         high = fp >> np.uint64(first + width) if first + width < 64 else np.zeros_like(fp)
         rest, n = low | high << np.uint64(first), 64 - width
         cuts = [n * g // refine for g in range(refine + 1)]
-        for g in range(refine):
-            value = rest[row] >> np.uint64(cuts[g]) & np.uint64((1 << (cuts[g + 1] - cuts[g])) - 1)
+        choices = list(combinations(range(refine), refine - bits))
+        for c, chosen in enumerate(choices):
+            value = np.zeros(len(row), np.uint64)
+            for g in chosen:
+                wide = np.uint64(cuts[g + 1] - cuts[g])
+                value = value << wide | rest[row] >> np.uint64(cuts[g]) & np.uint64((1 << int(wide)) - 1)
             rows.append(row)
-            keys.append((anchor * np.uint64(refine) + np.uint64(g)) << np.uint64(24) | value)
+            keys.append((anchor * np.uint64(len(choices)) + np.uint64(c)) << np.uint64(32) | value)
     return np.concatenate(rows), np.concatenate(keys)
 
 
 _PATTERNS: dict[int, np.ndarray | None] = {}
 
 
+def groups_for(n: int, bits: int) -> int:
+    """Groups of the other bits so that ``n`` fingerprints, evenly spread, put ROWS_PER_KEY rows or fewer on a key."""
+    each = len(anchor_keys(np.ones(1, np.uint64), bits, 0)[0])
+    anchors = len(BLOCKS) * len(_HIGH)
+    groups = bits + 1
+    while groups < 2 * bits and n * each / anchors > ROWS_PER_KEY * 2 ** (42 * (groups - bits) / groups):
+        groups += 1
+    return groups
+
+
 def _centre_out(fp: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Links that connect what is connected in one anchor: a search from the member nearest to the majority."""
     middle = np.uint64(fingerprint(fp))
@@ -175,9 +193,9 @@ def linked(key: np.ndarray, fp: np.ndarray, bits: int, pairwise: int = PAIRWISE)
 
 def fingerprint_links(nodes: DataFrame, bits: int = BITS, refine: int | None = None) -> DataFrame:
     """(a, b) links between distinct fingerprints (column fp) at most ``bits`` apart; all that connect them."""
-    groups = bits + 1 if refine is None else refine
     nodes = nodes.select("fp")
     n = nodes.count()
+    groups = groups_for(n, bits) if refine is None else refine
     per_row = sum(1 for _ in anchor_keys(np.arange(1, 2, dtype=np.uint64), bits, groups)[0])
     buckets = max(1, n * per_row // ROWS_PER_BUCKET)
 
@@ -207,7 +225,9 @@ def near_components(docs: DataFrame, bits: int = BITS, refine: int | None = None
 
     Documents are linked when their fingerprints differ in at most ``bits`` bits; component_id is the smallest
     doc_id reachable. Missing and empty texts have the fingerprint zero and are linked like any other. A
-    missing doc_id stays missing and names a component only if no other does: then component_id is null.
+    missing doc_id stays missing and names a component only if no other does: then component_id is null. Repeated
+    rows get one row each; shingles of very long texts are counted in parts. An empty table gives no rows; further
+    columns, whatever their names, are left out.
     """
     prints = stored(fingerprints(slim(docs)), "simhash-fingerprints")
     nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first_doc")), "simhash-nodes")

@@ -9,6 +9,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from gaugeworks.llm import (
@@ -151,6 +152,15 @@ def test_licenses(spark, texts):
         assert (r["base_labels"], r["labels"]) == (",".join(sorted(labels)), ",".join(sorted(more)))
 
 
+def test_letters_beyond_a_to_z_are_not_lowered(spark):
+    text = "under the mit l\u0130cense UNDER THE MIT LICENSE \u212alicense"
+    r = licenses.scan_licenses(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert (r["n_words"], r["n_base"], r["first_word"], r["base_labels"]) == (9, 1, 4, "mit")
+    lone = [(1, "under the mit l\u0130cense"), (2, "cc by n\u212a"), (3, "Apache License Version 2")]
+    got = licenses.scan_licenses(spark.createDataFrame(lone, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["n_base"] for r in got} == {1: 0, 2: 0, 3: 1}
+
+
 def test_native_queries_have_no_python(spark):
     docs = spark.read.parquet(f"{DIRECTORY}/documents.parquet")
     for df in (licenses.scan_licenses(docs), rules.quality_rules(docs)):
@@ -357,6 +367,21 @@ def test_rules(spark, texts):
         assert r["base_failed"] == failed and not (failed and r["kept"])
 
 
+def test_cascade_order_is_counted(spark):
+    docs = spark.read.parquet(f"{DIRECTORY}/documents.parquet")
+    sample = stored(rules.measured(docs), "rules-test")
+    given = rules.default_rules()
+    orders = {tuple(r.name for r in rules.cascade_order(sample, given)) for _ in range(5)}
+    assert len(orders) == 1
+    # Twins of a rule that touch more come after it; a rule whose failures another one has already is last.
+    short, n = F.col("n_words") < 60, F.col("n_words")
+    cheap, dear = rules.Rule("cheap", short, F.lit(1)), rules.Rule("dear", short, n)
+    inside, other = rules.Rule("inside", F.col("n_words") < 50, F.lit(2)), rules.Rule("other", n > 400, 3 * n)
+    names = [r.name for r in rules.cascade_order(sample, [dear, inside, other, cheap])]
+    assert names == ["cheap", "other", "inside", "dear"]
+    assert [r.name for r in rules.cascade_order(sample.where("false"), given[:2])] == ["symbols", "word_length"]
+
+
 def test_cascade_order_does_not_change_the_verdict(spark):
     docs = spark.read.parquet(f"{DIRECTORY}/documents.parquet")
     given = rules.default_rules()
@@ -390,7 +415,7 @@ def test_simhash(spark, texts):
     assert all(got[i]["component_id"] == min(near[i]) for i in prints)
 
 
-@pytest.mark.parametrize(("bits", "refine"), [(4, 5), (6, 0), (6, 7)])
+@pytest.mark.parametrize(("bits", "refine"), [(4, 5), (4, 6), (4, 8), (6, 0), (6, 7)])
 def test_close_fingerprints_share_an_anchor(bits, refine):
     rng = np.random.default_rng(1)
     x = rng.integers(0, 2**64, 1500, dtype=np.uint64)
@@ -405,6 +430,46 @@ def test_close_fingerprints_share_an_anchor(bits, refine):
     assert {r for r, _ in keys[0] & keys[1]} == set(range(1500))
 
 
+def test_keys_grow_with_the_fingerprints():
+    groups = [simhash.groups_for(n, 4) for n in (0, 10**6, 10**9, 10**10, 10**12)]
+    assert groups == sorted(groups) and groups[:2] == [5, 5] and 5 < groups[2] < groups[-1] <= 8
+    fp = np.random.default_rng(2).integers(0, 2**64, 20_000, dtype=np.uint64)
+    largest = []
+    for n in (5, 6, 7):
+        keys = np.sort(simhash.anchor_keys(fp, 4, n)[1])
+        starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1], [True]]))
+        largest.append(np.diff(starts).max())
+    assert largest[0] > largest[-1]
+
+
+@pytest.mark.parametrize("refine", [5, 6, 7])
+def test_more_groups_link_the_same(spark, refine):
+    rng = random.Random(4)
+    fps = set()
+    for _ in range(60):
+        x = rng.getrandbits(64)
+        for _ in range(6):
+            fps.add(x)
+            for b in rng.sample(range(64), rng.randint(1, 5)):
+                x ^= 1 << b
+    fps = sorted(fps)
+    root = {x: x for x in fps}
+    for x in fps:
+        for y in fps:
+            if (x ^ y).bit_count() <= 4 and root[x] != root[y]:
+                old, new = max(root[x], root[y]), min(root[x], root[y])
+                root = {k: new if r == old else r for k, r in root.items()}
+    signed = lambda x: x - 2**64 if x >= 2**63 else x
+    nodes = spark.createDataFrame([(signed(x),) for x in fps], "fp long")
+    got = {x: x for x in fps}
+    for a, b in simhash.fingerprint_links(nodes, 4, refine).collect():
+        a, b = a % 2**64, b % 2**64
+        assert (a ^ b).bit_count() <= 4
+        old, new = max(got[a], got[b]), min(got[a], got[b])
+        got = {k: new if r == old else r for k, r in got.items()}
+    assert got == root
+
+
 def test_large_anchor_gives_a_tree_of_links():
     rng = np.random.default_rng(0)
     centre = np.uint64(rng.integers(0, 2**63))
