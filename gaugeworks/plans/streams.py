@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from gaugeworks import schemas
@@ -19,6 +20,8 @@ from gaugeworks.streaming.snapshots import SnapshotTable
 
 
 CUTS = ("2024-01-23", "2024-01-16", "2024-01-08")  # the newest part of the events arrives first
+ROWS_PER_FILE = 250_000  # of the largest part
+FILLED = 10_000  # rows for each file of the smallest part, dealt in turn, so that none stays unwritten
 
 
 class StreamModel(DriverModel):
@@ -28,46 +31,49 @@ class StreamModel(DriverModel):
         return self.event_stream() if table == "events" else super().read(table)
 
 
-class DisorderModel(DriverModel):
-    """The driver model with the events in parts of four days, one file in each micro-batch; every fifth event
-    comes with the part after its own."""
+class PartsModel(DriverModel):
+    """The driver model with the events as a stream of parts, a micro-batch each: all parts are written as the same
+    number of files, which is what a micro-batch takes. Large parts are thus many files, and the micro-batches are the
+    same at every size of the table."""
+
+    def conditions(self) -> list[Column]:
+        """The rows of each part, in the order in which parts arrive."""
+        raise NotImplementedError
 
     @cached_property
-    def parts(self) -> str:
-        folder, events = work_path(self.spark, "events-in"), super().read("events")
-        day = F.datediff("ts", F.lit("2024-01-01"))
-        part = F.floor(day / 4) + F.when(F.pmod("event_id", F.lit(5)) == 0, 1).otherwise(0)
-        numbered = events.withColumn("part", F.greatest(part, F.lit(0)))
-        for i in range(9):
-            here = F.col("part") == i if i < 8 else F.col("part") >= i
-            numbered.where(here).drop("part").coalesce(1).write.parquet(f"{folder}/{i}")
-        return folder
+    def parts(self) -> tuple[str, int]:
+        folder, events, conditions = work_path(self.spark, "events-in"), DriverModel.read(self, "events"), self.conditions()
+        rows = events.agg(*[F.count_if(c) for c in conditions]).first()
+        files = max(1, min(max(rows) // ROWS_PER_FILE, min(rows) // FILLED))
+        for i, condition in enumerate(conditions):
+            events.where(condition).repartition(files).write.parquet(f"{folder}/{i}")
+        return folder, files
 
     def read(self, table: str):
         if table != "events":
             return DriverModel.read(self, table)
+        folder, files = self.parts
         reader = self.spark.readStream.schema(DriverModel.read(self, "events").schema)
-        return reader.options(maxFilesPerTrigger="1", recursiveFileLookup="true").parquet(self.parts)
+        return reader.options(maxFilesPerTrigger=str(files), recursiveFileLookup="true").parquet(folder)
 
 
-class LateStreamModel(DriverModel):
-    """The driver model with the events in four parts, newest first, one file in each micro-batch."""
+class DisorderModel(PartsModel):
+    """The events in parts of four days; every fifth event comes with the part after its own."""
 
-    @cached_property
-    def parts(self) -> str:
-        folder, events = work_path(self.spark, "events-in"), super().read("events")
+    def conditions(self):
+        day = F.datediff("ts", F.lit("2024-01-01"))
+        part = F.floor(day / 4) + F.when(F.pmod("event_id", F.lit(5)) == 0, 1).otherwise(0)
+        part = F.greatest(part, F.lit(0))
+        return [part == i for i in range(8)] + [part >= 8]
+
+
+class LateStreamModel(PartsModel):
+    """The events in four parts, newest first."""
+
+    def conditions(self):
         at = F.col("ts")
         cuts = [F.expr(f"TIMESTAMP '{c} 00:00:00+00:00'") for c in CUTS]
-        ranges = [at >= cuts[0], *[(at < b) & (at >= a) for b, a in zip(cuts, cuts[1:], strict=False)], at < cuts[-1]]
-        for i, part in enumerate(ranges):
-            events.where(part).write.parquet(f"{folder}/{i}")
-        return folder
-
-    def read(self, table: str):
-        if table != "events":
-            return DriverModel.read(self, table)
-        reader = self.spark.readStream.schema(DriverModel.read(self, "events").schema)
-        return reader.options(maxFilesPerTrigger="1", recursiveFileLookup="true").parquet(self.parts)
+        return [at >= cuts[0], *[(at < b) & (at >= a) for b, a in zip(cuts, cuts[1:], strict=False)], at < cuts[-1]]
 
 
 def _stream(m: DriverModel) -> LateStreamModel:
@@ -101,18 +107,12 @@ def _enrichment(m):
     return m.spark.read.parquet(out)
 
 
-class CopiedStreamModel(DriverModel):
-    """The driver model with the events in two parts, newest first, and both once more: four micro-batches."""
+class CopiedStreamModel(PartsModel):
+    """The events in two parts, newest first, and both once more: four micro-batches."""
 
-    @cached_property
-    def parts(self) -> str:
-        folder, events = work_path(self.spark, "events-in"), super().read("events")
+    def conditions(self):
         newest = F.col("ts") >= F.expr(f"TIMESTAMP '{CUTS[1]} 00:00:00+00:00'")
-        for i, part in enumerate((newest, ~newest, newest, ~newest)):
-            events.where(part).coalesce(1).write.parquet(f"{folder}/{i}")
-        return folder
-
-    read = LateStreamModel.read
+        return [newest, ~newest, newest, ~newest]
 
 
 @query("d2_stream_dedup", over("fact", _FACT))
@@ -303,16 +303,10 @@ def _missing(m):
 
 
 class DailyModel(LateStreamModel):
-    """The driver model with the events in parts, oldest first."""
+    """The same parts, oldest first."""
 
-    @cached_property
-    def parts(self) -> str:
-        folder, events = work_path(self.spark, "events-in"), DriverModel.read(self, "events")
-        marks = [F.expr(f"TIMESTAMP '{c} 00:00:00+00:00'") for c in sorted(CUTS)]
-        part = sum((F.col("ts") >= mark).cast("int") for mark in marks)
-        for i in range(len(marks) + 1):
-            events.where(part == i).coalesce(1).write.parquet(f"{folder}/{i}")
-        return folder
+    def conditions(self):
+        return super().conditions()[::-1]
 
 
 @query("b7_hot_store_stream", UPSERT_SQL)
