@@ -326,12 +326,17 @@ def _hot_store(m):
 _RELEASED = "(SELECT date_trunc('millisecond', max(ingested_at)) FROM fact) - INTERVAL 9 DAY"
 
 
+def _buckets(m) -> int:
+    """Buckets of some fifty thousand events."""
+    return max(8, m.read("events").count() // 50_000)
+
+
 @query("d9_stream_change_feed", change_feed_sql(f"ingested_at <= {_RELEASED}"))
 def _feed(m):
     """Versions of entities in files that overlap in time."""
     out = work_path(m.spark, "feed")
     versions = entity_versions(DisorderModel(m.spark, m.directory))
-    _drain(feed.start_change_feed(versions, out, work_path(m.spark, "ckpt"), delay="9 days", interval=None))
+    _drain(feed.start_change_feed(versions, out, work_path(m.spark, "ckpt"), delay="9 days", interval=None, buckets=_buckets(m)))
     return feed.read_feed(m.spark, out, processed_at=AS_OF)
 
 
@@ -352,7 +357,7 @@ def _late_versions(m):
     has a version released."""
     out = work_path(m.spark, "feed")
     versions = entity_versions(_stream(m))
-    _drain(feed.start_change_feed(versions, out, work_path(m.spark, "ckpt"), delay="0 seconds", interval=None))
+    _drain(feed.start_change_feed(versions, out, work_path(m.spark, "ckpt"), delay="0 seconds", interval=None, buckets=_buckets(m)))
     return feed.read_late_versions(m.spark, out).drop("hot_attrs")
 
 

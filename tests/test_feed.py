@@ -65,3 +65,16 @@ def test_a_restart_goes_on_where_it_stopped(spark, tmp_path):
     got, late = _run(stream, tmp_path, delay="10 seconds")
     assert rows(got, "entity_id", "occurred_at") == [(1, _at(0)), (1, _at(45)), (2, _at(44)), (2, _at(50))]
     assert late.count() == 0
+
+
+def test_state_follows_buckets_not_entities(spark, tmp_path):
+    ids = [None, *range(2**60 + 1, 2**60 + 800)]
+    versions = [(i, 1, f'{{"a":{n}}}', _at(n)) for n in range(2) for i in ids]
+    stream = _feed(spark, tmp_path / "in", [versions[:800], versions[800:] + [(0, 0, '{"z":1}', _at(500))]], VERSIONS)
+    out = str(tmp_path / "out")
+    handle = feed.start_change_feed(stream, out, str(tmp_path / "ck"), interval=None, delay="60 seconds")
+    handle.awaitTermination()
+    kept = [p["stateOperators"][0]["numRowsTotal"] for p in handle.recentProgress if p["stateOperators"]]
+    assert kept and max(kept) < 400
+    want = cdc.change_feed(spark.createDataFrame(versions, VERSIONS), processed_at=AS_OF)
+    assert rows(feed.read_feed(spark, out, processed_at=AS_OF)) == rows(want)
