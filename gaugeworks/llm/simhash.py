@@ -13,11 +13,11 @@ Distinct fingerprints, not documents, are replicated: copies are one row before
 anchor holds is bounded by the ball around it. Within an anchor up to PAIRWISE fingerprints are compared
 pair by pair; larger ones are searched from their centre, which gives a tree of links instead of all pairs.
 
-Near copies that are verified (``drop_near_copies``) need more than close fingerprints: texts with one side grown
-or cut are far apart in them. Candidates are proposed by min-hashes of the shingle set, whose chance to agree is
-the Jaccard similarity itself, whatever was edited: BANDS keys of BAND_ROWS min-hashes each. What keys connect is
-a cluster; its texts meet once and are compared exactly, those that links connect already not again. Clusters
-with very much text are first thinned by links between close fingerprints, then cut into blocks.
+Near copies that are verified (``drop_near_copies``) are proposed by the same anchors from fingerprints of the shingle
+set. Texts with one side grown or cut are far apart in them, so min-hashes of the set, whose chance to agree is the
+Jaccard similarity itself, whatever was edited, add what fingerprints miss: BANDS keys of BAND_ROWS min-hashes each.
+What either connects is a cluster; its texts meet once and are compared exactly, those that links connect already not
+again. Clusters with very much text are first thinned by links between close fingerprints, then cut into blocks.
 """
 
 from __future__ import annotations
@@ -324,11 +324,12 @@ def _sketches(texts: DataFrame, shingle: int) -> DataFrame:
 
 
 def _clusters(sketches: DataFrame) -> DataFrame:
-    """Stored (node, cluster) of the texts that a chain of shared band keys connects with another one."""
+    """Stored (node, cluster) of the texts that a chain of close fingerprints or shared band keys connects with another
+    one."""
     keys = sketches.select(F.explode("bands").alias("key"), "node")
     heads = keys.groupBy("key").agg(F.min("node").alias("head"), F.max("node").alias("end")).where("head < end")
-    stars = keys.join(heads, "key").where("node <> head")
-    roots = components(stars.select(F.col("node").alias("a"), F.col("head").alias("b")))
+    stars = keys.join(heads, "key").where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b"))
+    roots = components(_fingerprint_pairs(sketches.select("node", "fp")).unionByName(stars))
     return stored(roots.select("node", F.col("root").alias("cluster")), "near-clusters")
 
 
@@ -425,8 +426,8 @@ def drop_near_copies(docs: DataFrame, similarity: float = 0.8, shingle: int = 5)
     """The documents, all columns, without near copies: of each group the smallest doc_id stays.
 
     A link holds when the word-shingle sets have at least the given Jaccard similarity, and a group is what
-    held links connect. Texts that share a band key are candidates; what keys connect is compared exactly, a pair
-    only if links that hold do not connect the two already. Equal texts are one text from the start. Missing and
+    held links connect. Texts with close fingerprints or a shared band key are candidates; what these connect is compared
+    exactly, a pair only if links that hold do not connect the two already. Equal texts are one text from the start. Missing and
     empty texts are copies of each other; a text of any length is compared whole; of rows with equal text and
     doc_id one stays, whichever; a missing doc_id comes last. An empty table stays empty, and columns of any name
     stay as they are.

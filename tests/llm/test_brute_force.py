@@ -616,3 +616,12 @@ def test_pipeline_stages(spark, texts):
     held = lambda t: any(x in b" ".join(decontaminate.words_of(t)) for x in items)
     assert {i for i, t in kept["repeated_passages"].items() if not held(t)} == kept["decontamination"].keys()
     assert {r["doc_id"] for r in docs.collect()} == kept["decontamination"].keys()
+
+
+def test_close_fingerprints_propose_near_copies(spark):
+    far = 0x0F0F_0F0F_0F0F_0F0F
+    sketches = [(1, 9, 0, [1, 2]), (2, 9, 0b1011, [3, 4]), (3, 9, -1, [4, 5]), (4, 9, far, [6, 7]), (5, 9, far, [8, 9])]
+    sketches = stored(spark.createDataFrame(sketches, "node long, size long, fp long, bands array<long>"), "sketches")
+    # 1 and 2 by close fingerprints alone, 2 and 3 by a key alone, 4 and 5 by equal fingerprints.
+    got = {r["node"]: r["cluster"] for r in simhash._clusters(sketches).collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 4: 4, 5: 4}
