@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import numpy as np
 import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -150,11 +151,21 @@ def watch_heartbeats(beats: DataFrame, timeout_ms: int = 5000) -> DataFrame:
 
 
 _GAPS = "source string, last_beat timestamp, missing_at timestamp"
-_PENDING = "last_us long, told boolean, pending array<long>"
+_PENDING = "told_us long, starts array<long>, ends array<long>"
+
+
+def _joined_runs(starts: np.ndarray, ends: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """Runs (first and last beat) after joining those no further apart than the limit."""
+    order = np.argsort(starts, kind="stable")
+    starts, ends = starts[order], np.maximum.accumulate(ends[order])
+    first = np.append(True, starts[1:] - ends[:-1] > limit)[: len(starts)]
+    return starts[first], ends[np.append(first[1:], True)[: len(ends)]]
 
 
 class _Silence(StatefulProcessor):
-    """Per source the last beat before the watermark, whether its silence was told, and the beats after it."""
+    """Per source the last beat whose silence was told, and the runs of beats since: within a run no gap exceeds the
+    limit, and a beat that comes later can only join runs. So a source keeps at most a run per limit of the delay,
+    whatever the number of beats."""
 
     def __init__(self, limit_us: int):
         self.limit = limit_us
@@ -164,32 +175,24 @@ class _Silence(StatefulProcessor):
         self.beats = handle.getValueState("beats", _PENDING)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        fresh = set()
-        for part in rows:
-            fresh |= set((part["timestamp"].astype("datetime64[us]").astype("int64")).tolist())
-        yield self._advance(key, fresh, timerValues.getCurrentWatermarkInMs())
+        fresh = [part["timestamp"].to_numpy("datetime64[us]").astype(np.int64) for part in rows]
+        yield self._advance(key, np.unique(np.concatenate(fresh)), timerValues.getCurrentWatermarkInMs())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield self._advance(key, set(), timerValues.getCurrentWatermarkInMs())
+        yield self._advance(key, np.zeros(0, np.int64), timerValues.getCurrentWatermarkInMs())
 
-    def _advance(self, key, fresh: set[int], watermark_ms: int) -> pd.DataFrame:
-        last, told, waiting = self.beats.get() if self.beats.exists() else (None, False, [])
+    def _advance(self, key, fresh: np.ndarray, watermark_ms: int) -> pd.DataFrame:
+        told, starts, ends = self.beats.get() if self.beats.exists() else (None, [], [])
         known = max(watermark_ms, 0) * 1000  # every beat up to here has come
-        pending = sorted(fresh.union(waiting or []))
-        silent = []
-        while pending and pending[0] <= known:
-            beat = pending.pop(0)
-            if last is not None and beat - last > self.limit and not told:
-                silent.append(last)
-            if last is None or beat > last:
-                last, told = beat, False
-        if last is not None and not told and last + self.limit <= known:
-            silent.append(last)
-            told = True
-        self.beats.update((last, told, pending))
-        due = pending[:1] + ([last + self.limit] if last is not None and not told else [])
-        if due:
-            self.handle.registerTimer(max(min(due) // 1000 + 1, watermark_ms + 1))
+        if told is not None:
+            fresh = fresh[fresh > told]
+        runs = [np.concatenate([np.array(x or [], np.int64), fresh]) for x in (starts, ends)]
+        starts, ends = _joined_runs(*runs, self.limit)
+        over = ends + self.limit <= known
+        silent, starts, ends = ends[over].tolist(), starts[~over].tolist(), ends[~over].tolist()
+        self.beats.update((silent[-1] if silent else told, starts, ends))
+        if ends:
+            self.handle.registerTimer(max((ends[0] + self.limit) // 1000 + 1, watermark_ms + 1))
         return pd.DataFrame(
             {
                 "source": pd.Series([key[0]] * len(silent), dtype=object),
@@ -208,7 +211,7 @@ def missing_heartbeats(beats: DataFrame, limit_seconds: float = 5, delay: str =
     A silence is told as soon as the watermark passes the time the next beat was due, also while the source stays
     silent, by an event-time timer; the wall clock plays no part, so a replay gives the same rows. Beats may come in
     any order within ``delay``; later ones are dropped, as the silence they would have filled was told. State per
-    source are its beats within the delay. A beat without time or source is no beat.
+    source are the runs of its beats within the delay that have no longer gap. A beat without time or source is no beat.
     """
     told = beats.where("source IS NOT NULL AND timestamp IS NOT NULL").select("source", "timestamp")
     return (

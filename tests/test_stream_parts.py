@@ -38,3 +38,22 @@ def test_a_part_is_a_micro_batch(spark, tmp_path, split_events, monkeypatch, kin
         for c in model.conditions()
     ]
     assert seen == want
+
+
+def test_runs_of_beats_replace_beats():
+    import random
+
+    import numpy as np
+
+    from gaugeworks.streaming.state import _joined_runs
+
+    pick = random.Random(7)
+    for _ in range(50):
+        beats = np.array(sorted(pick.sample(range(400), 60)), np.int64)
+        starts = ends = np.zeros(0, np.int64)
+        for part in np.array_split(np.array(pick.sample(beats.tolist(), 60), np.int64), 6):
+            starts, ends = _joined_runs(np.concatenate([starts, part]), np.concatenate([ends, part]), 9)
+        gap = np.diff(beats) > 9
+        assert starts.tolist() == beats[np.append(True, gap)].tolist()
+        assert ends.tolist() == beats[np.append(gap, True)].tolist()
+    assert [len(x) for x in _joined_runs(starts[:0], ends[:0], 9)] == [0, 0]
