@@ -140,10 +140,7 @@ def run_fact_load(
     """
     now = timefn.resolve_as_of(as_of)
     load_id = load_id or f"{now:%Y%m%dT%H%M%S%f}"
-    try:
-        audit = spark.read.schema(schemas.LOAD_AUDIT).parquet(audit_path)
-    except AnalysisException:
-        audit = spark.sql("SELECT '' AS batch_id, now() AS loaded_at, 0L AS rows_loaded WHERE false")
+    audit = _read_audit(spark, audit_path)
     load = load_fact(staging, audit, as_of=now, lookback_hours=lookback_hours)
     write_fact(
         load.rows.drop("batch_id").withColumn("load_id", F.lit(load_id)),
@@ -154,6 +151,35 @@ def run_fact_load(
     load.audit.write.mode("append").parquet(audit_path)
 
 
+def _read_audit(spark: SparkSession, path: str) -> DataFrame:
+    try:
+        return spark.read.schema(schemas.LOAD_AUDIT).parquet(path)
+    except AnalysisException:
+        return spark.sql("SELECT '' AS batch_id, now() AS loaded_at, 0L AS rows_loaded WHERE false")
+
+
+def run_batch_load(
+    spark: SparkSession, rows: DataFrame, fact_path: str, audit_path: str, *, batch_id: str, as_of=None,
+    lookback_hours: float = 1,
+) -> None:
+    """``run_fact_load`` of a single batch whose rows do not repeat, under its id as load id.
+
+    The rows are computed and shuffled once, for the write; the audit counts the load in the files written.
+    """
+    now = timefn.resolve_as_of(as_of)
+    since = timefn.ts(now - dt.timedelta(hours=lookback_hours))
+    known = _read_audit(spark, audit_path).where((F.col("batch_id") == batch_id) & (F.col("loaded_at") >= since))
+    if not known.isEmpty():
+        return
+    loaded = rows.select(*schemas.FACT_COLUMNS).withColumn("load_id", F.lit(batch_id))
+    write_fact(loaded, fact_path, partitions=("year_month", "load_id"))
+    written = spark.read.schema(f"{schemas.FACT}, load_id string").parquet(fact_path)
+    counted = written.where(F.col("load_id") == batch_id).groupBy("load_id").agg(F.count("*").alias("rows_loaded"))
+    counted.select(F.col("load_id").alias("batch_id"), timefn.ts(now).alias("loaded_at"), "rows_loaded").write.mode(
+        "append"
+    ).parquet(audit_path)
+
+
 def archive_manifest(values: DataFrame, *, as_of=None, keep_months: int = 12) -> DataFrame:
     """Months of history with row counts and what to do with them: keep or archive."""
     now = timefn.resolve_as_of(as_of)

@@ -13,7 +13,7 @@ from gaugeworks import schemas
 from gaugeworks.functions import timefn
 from gaugeworks.functions.relations import join_null_safe, latest_by
 from gaugeworks.operators.enrich import enrich_fact
-from gaugeworks.operators.load import run_fact_load
+from gaugeworks.operators.load import run_batch_load, run_fact_load
 
 READING_KEY = ["tenant_id", "entity_id", "attribute_id", "ingested_at"]
 WATERMARK = "10 minutes"
@@ -112,8 +112,7 @@ def start_merge_load(
                     & (F.col("load_id") != label)
                 )
                 rows = join_null_safe(fresh, near.select(*READING_KEY), READING_KEY, "left_anti")
-            staged = rows.withColumn("batch_id", F.lit(label))
-            run_fact_load(spark, staged, fact_path, audit_path, load_id=label)
+            run_batch_load(spark, rows, fact_path, audit_path, batch_id=label)
         finally:
             fresh.unpersist()
 

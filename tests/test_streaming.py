@@ -318,3 +318,33 @@ def test_merge_load_takes_null_keys_and_conflicting_readings_once(spark, tmp_pat
     loaded = read_fact(spark, args[0])
     assert loaded.count() == 6
     assert loaded.where("attribute_id IS NOT NULL AND value LIKE '~%'").count() == 3
+
+
+def test_merge_load_computes_the_rows_to_write_once(spark, tmp_path, monkeypatch):
+    from gaugeworks import schemas
+    from gaugeworks.sources.model import DriverModel
+
+    model = DriverModel(spark, "/root/testdata/sf0.001")
+    readings, folder, calls = model.fact.drop("event_id"), tmp_path / "in", spark.sparkContext.accumulator(0)
+    for i in range(2):
+        readings.where("entity_id % 2 <= " + str(i)).coalesce(1).write.parquet(f"{folder}/{i}")
+        time.sleep(0.02)
+
+    @F.udf("string")
+    def seen(value):
+        calls.add(1)
+        return value
+
+    # Nothing is kept, so that every use of the rows shows.
+    monkeypatch.setattr(type(readings), "persist", lambda self, *level: self)
+    monkeypatch.setattr(
+        pipeline, "latest_by", lambda df, keys, order, latest=pipeline.latest_by: latest(df, keys, order).withColumn("value", seen("value"))
+    )
+    stream = spark.readStream.schema(readings.schema).options(recursiveFileLookup="true", maxFilesPerTrigger="1").parquet(str(folder))
+    args = [str(tmp_path / p) for p in ("fact", "audit", "ck")]
+    pipeline.start_merge_load(stream, *args, interval=None).awaitTermination()
+    even = readings.where("entity_id % 2 = 0").count()
+    # The second batch brings the first one's rows again.
+    audit = spark.read.schema(schemas.LOAD_AUDIT).parquet(args[1])
+    assert rows(audit, "batch_id", "rows_loaded") == [("load-000000000000", even), ("load-000000000001", readings.count() - even)]
+    assert calls.value <= even + readings.count()
