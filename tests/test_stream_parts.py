@@ -57,3 +57,17 @@ def test_runs_of_beats_replace_beats():
         assert starts.tolist() == beats[np.append(True, gap)].tolist()
         assert ends.tolist() == beats[np.append(gap, True)].tolist()
     assert [len(x) for x in _joined_runs(starts[:0], ends[:0], 9)] == [0, 0]
+
+
+@pytest.mark.parametrize("kind", [streams.LateStreamModel, streams.DailyModel])
+def test_a_large_part_is_read_by_many_tasks(spark, tmp_path, split_events, monkeypatch, kind):
+    monkeypatch.setattr(streams, "ROWS_PER_FILE", 50, raising=False)
+    monkeypatch.setattr(streams, "FILLED", 10, raising=False)
+    files = []
+
+    def look(batch, epoch):
+        files.append(batch.select(F.input_file_name()).distinct().count())
+
+    handle = kind(spark, split_events).read("events").writeStream.foreachBatch(look)
+    handle.option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start().awaitTermination()
+    assert len(files) == 4 and len(set(files)) == 1 and files[0] > 1
