@@ -14,7 +14,7 @@ from gaugeworks.plans.entities import (
 from gaugeworks.plans.registry import AS_OF, num, over, query
 from gaugeworks.session import work_path
 from gaugeworks.sources import cdc as cdc_source
-from gaugeworks.sources.model import DriverModel
+from gaugeworks.sources.model import DriverModel, ShuffledModel
 from gaugeworks.streaming import attribute_counts, feed, partials, pipeline, state
 from gaugeworks.streaming.snapshots import SnapshotTable
 
@@ -24,14 +24,14 @@ ROWS_PER_FILE = 250_000  # of the largest part
 FILLED = 10_000  # rows for each file of the smallest part, dealt in turn, so that none stays unwritten
 
 
-class StreamModel(DriverModel):
+class StreamModel(ShuffledModel):
     """The driver model with the events table as a stream, as it is stored."""
 
     def read(self, table: str):
         return self.event_stream() if table == "events" else super().read(table)
 
 
-class PartsModel(DriverModel):
+class PartsModel(ShuffledModel):
     """The driver model with the events as a stream of parts, a micro-batch each: all parts are written as the same
     number of files, which is what a micro-batch takes. Large parts are thus many files, and the micro-batches are the
     same at every size of the table."""
@@ -231,7 +231,8 @@ def _sketched_days(m):
     hours = _rolled_up(m, _stream(m).fact, partials.hourly_rollup())
     keys = ["date", "tenant_id", "attribute_id"]
     days = partials.attribute_statistics(partials.daily_from_hours(hours))
-    readings = m.fact.select(F.to_date("ingested_at").alias("date"), *keys[1:], "entity_id", F.col("value_decimal").cast("double").alias("v"))
+    fact = ShuffledModel(m.spark, m.directory).fact
+    readings = fact.select(F.to_date("ingested_at").alias("date"), *keys[1:], "entity_id", F.col("value_decimal").cast("double").alias("v"))
     # Between the share of values below a percentile and that of values up to it lies the rank asked for.
     joined = readings.join(days, keys)
     close = {}

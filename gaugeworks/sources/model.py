@@ -167,15 +167,19 @@ class DriverModel:
             F.col("ts").alias("ingested_at"),
         )
 
+    def owners(self) -> DataFrame:
+        """Nation and type of every entity, the side that ``owned`` looks up."""
+        return self.read("customer").select(
+            F.col("c_custkey").alias("entity_id"), "c_nationkey", F.col("c_mktsegment").alias("entity_type")
+        )
+
     def owned(self, rows: DataFrame, names: bool = True) -> DataFrame:
         """Add tenant and type of the entity to rows with an entity_id.
 
         Every dimension joins as a plain scan, so the planner sees its true size: nation and region are
         always broadcast, the customers only while they are small.
         """
-        customer = self.read("customer").select(
-            F.col("c_custkey").alias("entity_id"), "c_nationkey", F.col("c_mktsegment").alias("entity_type")
-        )
+        customer = self.owners()
         nation = self.read("nation").select(
             F.col("n_nationkey").alias("c_nationkey"), F.col("n_regionkey").cast("long").alias("tenant_id")
         )
@@ -338,3 +342,14 @@ class DriverModel:
             "current-state",
             lambda path: refresh_current_state(path, self.hot_store, self.entities, self.tenants),
         )
+
+
+class ShuffledModel(DriverModel):
+    """The driver model for queries that look customers up again and again, such as a stream in every micro-batch.
+
+    A broadcast passes through the driver each time, and the planner sizes it by the compressed file, which may be a
+    small part of the rows. Here the customers are shuffled, so nothing that grows with them reaches the driver.
+    """
+
+    def owners(self) -> DataFrame:
+        return super().owners().hint("merge")

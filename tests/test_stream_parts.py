@@ -71,3 +71,22 @@ def test_a_large_part_is_read_by_many_tasks(spark, tmp_path, split_events, monke
     handle = kind(spark, split_events).read("events").writeStream.foreachBatch(look)
     handle.option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start().awaitTermination()
     assert len(files) == 4 and len(set(files)) == 1 and files[0] > 1
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("kind", [streams.StreamModel, streams.LateStreamModel, streams.DailyModel, streams.CopiedStreamModel, streams.DisorderModel])
+def test_customers_of_a_micro_batch_do_not_pass_the_driver(spark, tmp_path, split_events, kind):
+    writer = kind(spark, split_events).fact.writeStream.foreachBatch(lambda batch, epoch: batch.count())
+    handle = writer.option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
+    handle.awaitTermination()
+    plan = handle._jsq.explainInternal(False)
+    assert "SortMergeJoin [entity_id" in plan and "BroadcastHashJoin [entity_id" not in plan
+
+
+def test_customers_of_the_sketched_days_do_not_pass_the_driver(spark):
+    from gaugeworks.plans import load_all
+
+    assert "BroadcastHashJoin [entity_id" not in _plan(load_all()["d6_stream_sketches"].run(spark, SOURCE))
