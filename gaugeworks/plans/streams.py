@@ -157,11 +157,12 @@ _GONE = "event_id % 10 = 0 OR ingested_at < TIMESTAMP '2024-01-03 00:00:00'"
 def _stats_from_deltas(m):
     """Readings arrive in disorder; then a tenth of them and all of the first days are deleted."""
     table, rollup = SnapshotTable(m.spark, work_path(m.spark, "counts")), attribute_counts.count_rollup()
-    came, gone = _stream(m).values.withColumn("sign", F.lit(1)), m.values.where(_GONE).withColumn("sign", F.lit(-1))
+    history = ShuffledModel(m.spark, m.directory).values
+    came, gone = _stream(m).values.withColumn("sign", F.lit(1)), history.where(_GONE).withColumn("sign", F.lit(-1))
     _drain(partials.start_partials(came, rollup, table, work_path(m.spark, "ckpt"), interval=None))
     table.append(rollup.partial(gone), 1_000_000)
     attribute_counts.compact_counts(table)
-    live = m.values.where(f"NOT ({_GONE})")
+    live = history.where(f"NOT ({_GONE})")
     return attribute_counts.attribute_stats_of(partials.read_rollup(table, rollup, gone), m.attributes, live)
 
 

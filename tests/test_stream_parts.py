@@ -86,7 +86,8 @@ def test_customers_of_a_micro_batch_do_not_pass_the_driver(spark, tmp_path, spli
     assert "SortMergeJoin [entity_id" in plan and "BroadcastHashJoin [entity_id" not in plan
 
 
-def test_customers_of_the_sketched_days_do_not_pass_the_driver(spark):
+@pytest.mark.parametrize("name", ["d6_stream_sketches", "a10_stats_from_deltas"])
+def test_customers_of_the_history_do_not_pass_the_driver(spark, name):
     from gaugeworks.plans import load_all
 
-    assert "BroadcastHashJoin [entity_id" not in _plan(load_all()["d6_stream_sketches"].run(spark, SOURCE))
+    assert "BroadcastHashJoin [entity_id" not in _plan(load_all()[name].run(spark, SOURCE))
